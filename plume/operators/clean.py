@@ -59,7 +59,7 @@ def ingest_funnel(raw: DataFrame, lang: str | None = "en") -> DataFrame:
         F.count_distinct(F.when(both, F.col("id"))).alias("after_dedup"),
     )
     return agg.select(F.expr("stack(4, 'read', read, 'after_lang', after_lang, 'after_text', after_text, "
-                             "'after_dedup', after_dedup) AS (step, rows)"))
+                             "'after_dedup', after_dedup) AS (step, row_count)"))
 
 
 def typed_posts(raw: DataFrame) -> DataFrame:

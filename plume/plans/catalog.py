@@ -58,3 +58,118 @@ def q_kpi_hashtags(spark, sf_dir):
 @register("kpi_users")
 def q_kpi_users(spark, sf_dir):
     return K.kpi_users(_clean(spark, sf_dir))
+
+
+# --- ingest, messages, stream ----------------------------------------------------------------------------------
+
+from plume.operators import reports as R  # noqa: E402
+from plume.sources import messages as M  # noqa: E402
+from plume.schemas import TOP_DASHBOARD_N, TOP_USER_TABLE_N  # noqa: E402
+
+
+@register("ingest_filter")
+def q_ingest_filter(spark, sf_dir):
+    """CSV-export cleaning: kept columns, parsed date, English only, stripped text longer than 5, one row per id."""
+    return C.ingest_filter(posts_raw(spark, sf_dir))
+
+
+@register("ingest_funnel")
+def q_ingest_funnel(spark, sf_dir):
+    return C.ingest_funnel(posts_raw(spark, sf_dir))
+
+
+@register("encode_messages")
+def q_encode_messages(spark, sf_dir):
+    return M.encode_messages(C.ingest_filter(posts_raw(spark, sf_dir)))
+
+
+@register("parse_messages")
+def q_parse_messages(spark, sf_dir):
+    return M.parse_messages(M.encode_messages(C.ingest_filter(posts_raw(spark, sf_dir))))
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Messages written as JSON-lines files, consumed by the streaming job (availableNow), read back from the sink."""
+    from plume.session import scratch_path
+    from plume.streaming.ingest import read_message_files, read_sink, start_ingest
+    src, out, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-out", "stream-ckpt"))
+    M.encode_messages(C.ingest_filter(posts_raw(spark, sf_dir))).select("value").write.text(src)
+    q = start_ingest(read_message_files(spark, src), out, ckpt, available_now=True)
+    q.awaitTermination()
+    return read_sink(spark, out)
+
+
+# --- exploded arrays -------------------------------------------------------------------------------------------
+
+@register("hashtags_exploded")
+def q_hashtags_exploded(spark, sf_dir):
+    return C.hashtags_exploded(_clean(spark, sf_dir))
+
+
+@register("mentions_exploded")
+def q_mentions_exploded(spark, sf_dir):
+    return C.mentions_exploded(_clean(spark, sf_dir))
+
+
+@register("mentions_exploded_exact")
+def q_mentions_exploded_exact(spark, sf_dir):
+    """Same as ``mentions_exploded`` with the literal-parser (Arrow UDF) reading of the mention text."""
+    return C.mentions_exploded(C.clean_posts(posts_raw(spark, sf_dir), exact_mentions=True))
+
+
+# --- reports ---------------------------------------------------------------------------------------------------
+
+@register("report_totals")
+def q_report_totals(spark, sf_dir):
+    return R.totals(K.kpi_daily(_clean(spark, sf_dir)))
+
+
+@register("report_peak_day")
+def q_report_peak_day(spark, sf_dir):
+    return R.peak_day(K.kpi_daily(_clean(spark, sf_dir)))
+
+
+@register("report_date_range")
+def q_report_date_range(spark, sf_dir):
+    return R.date_range(K.kpi_daily(_clean(spark, sf_dir)))
+
+
+@register("report_daily_series")
+def q_report_daily_series(spark, sf_dir):
+    return R.daily_series(K.kpi_daily(_clean(spark, sf_dir)))
+
+
+@register("report_lang_pivot")
+def q_report_lang_pivot(spark, sf_dir):
+    return R.lang_pivot(K.kpi_daily_lang(_clean(spark, sf_dir)))
+
+
+@register("report_hashtag_stats")
+def q_report_hashtag_stats(spark, sf_dir):
+    return R.hashtag_stats(_clean(spark, sf_dir))
+
+
+@register("report_top_user")
+def q_report_top_user(spark, sf_dir):
+    return R.top_user(K.kpi_users(_clean(spark, sf_dir)))
+
+
+@register("top_hashtags_by_count")
+def q_top_hashtags_by_count(spark, sf_dir):
+    return R.top_n(K.kpi_hashtags(_clean(spark, sf_dir)), "tweets_count", "hashtag", TOP_DASHBOARD_N)
+
+
+@register("top_hashtags_by_engagement")
+def q_top_hashtags_by_engagement(spark, sf_dir):
+    return R.top_n(K.kpi_hashtags(_clean(spark, sf_dir)), "engagement_sum", "hashtag", TOP_DASHBOARD_N)
+
+
+@register("top_users_by_engagement")
+def q_top_users_by_engagement(spark, sf_dir):
+    return R.top_n(K.kpi_users(_clean(spark, sf_dir)), "engagement_sum", "username", TOP_DASHBOARD_N)
+
+
+@register("top_users_table")
+def q_top_users_table(spark, sf_dir):
+    return R.top_n(K.kpi_users(_clean(spark, sf_dir)), "engagement_sum", "username", TOP_USER_TABLE_N)

@@ -134,3 +134,119 @@ SQL["kpi_daily"] = with_ctes(["kpi_daily"], "SELECT * FROM kpi_daily")
 SQL["kpi_daily_lang"] = with_ctes(["kpi_daily_lang"], "SELECT * FROM kpi_daily_lang")
 SQL["kpi_hashtags"] = with_ctes(["kpi_hashtags"], "SELECT * FROM kpi_hashtags")
 SQL["kpi_users"] = with_ctes(["kpi_users"], "SELECT * FROM kpi_users")
+
+
+# --- ingest, messages, stream ----------------------------------------------------------------------------------
+
+_PY_SPACE = r"\t\n\x0B\x0C\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_STRIP = f"regexp_replace(content, '^[{_PY_SPACE}]+|[{_PY_SPACE}]+$', '', 'g')"
+
+CTE["ingest"] = rf"""
+ingest_typed AS (
+  SELECT id, TRY_CAST(date AS TIMESTAMP) AS date, coalesce({_STRIP}, 'nan') AS content, "user",
+    replyCount, retweetCount, likeCount, quoteCount, conversationId, inReplyToTweetId, inReplyToUser,
+    mentionedUsers, hashtags, lang, url
+  FROM posts_raw WHERE lang = 'en'),
+ingest AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY content) AS rn
+    FROM ingest_typed WHERE length(content) > 5) WHERE rn = 1)"""
+DEPS["ingest"] = ["posts_raw"]
+
+_ISO = ("CASE WHEN epoch_us(date) % 1000000 <> 0 THEN strftime(date, '%Y-%m-%dT%H:%M:%S') || '.' || "
+        "lpad(CAST(epoch_us(date) % 1000000 AS VARCHAR), 6, '0') ELSE strftime(date, '%Y-%m-%dT%H:%M:%S') END")
+
+CTE["messages"] = rf"""
+messages AS (
+  SELECT CAST(id AS VARCHAR) AS key,
+    CAST(json_object('id', id, 'date', {_ISO}, 'user', "user", 'content', content,
+      'replyCount', coalesce(replyCount, 0), 'retweetCount', coalesce(retweetCount, 0),
+      'likeCount', coalesce(likeCount, 0), 'quoteCount', coalesce(quoteCount, 0),
+      'conversationId', conversationId, 'inReplyToTweetId', inReplyToTweetId, 'inReplyToUser', inReplyToUser,
+      'mentionedUsers', mentionedUsers, 'hashtags', hashtags, 'lang', lang, 'url', url) AS VARCHAR) AS value
+  FROM ingest)"""
+DEPS["messages"] = ["ingest"]
+
+# Decoding the messages gives back the ingest rows with defaulted counters and the strict engagement.
+CTE["posts_stream"] = r"""
+posts_stream AS (
+  SELECT id, CAST(date AS TIMESTAMP) AS date, "user", content,
+    CAST(coalesce(replyCount, 0) AS INTEGER) AS replyCount, CAST(coalesce(retweetCount, 0) AS INTEGER) AS retweetCount,
+    CAST(coalesce(likeCount, 0) AS INTEGER) AS likeCount, CAST(coalesce(quoteCount, 0) AS INTEGER) AS quoteCount,
+    conversationId, inReplyToTweetId, inReplyToUser, mentionedUsers, hashtags, lang, url,
+    CAST(coalesce(replyCount, 0) AS BIGINT) + CAST(coalesce(retweetCount, 0) AS BIGINT)
+      + CAST(coalesce(likeCount, 0) AS BIGINT) + CAST(coalesce(quoteCount, 0) AS BIGINT) AS engagement
+  FROM ingest)"""
+DEPS["posts_stream"] = ["ingest"]
+
+SQL["ingest_filter"] = with_ctes(["ingest"], "SELECT * FROM ingest")
+
+_TEXT_OK = f"length(coalesce({_STRIP}, 'nan')) > 5"
+SQL["ingest_funnel"] = with_ctes(["posts_raw"], f"""
+, f AS (SELECT count(*) AS r0, count(*) FILTER (WHERE lang = 'en') AS r1,
+               count(*) FILTER (WHERE lang = 'en' AND {_TEXT_OK}) AS r2,
+               count(DISTINCT CASE WHEN lang = 'en' AND {_TEXT_OK} THEN id END) AS r3 FROM posts_raw)
+SELECT 'read' AS step, r0 AS row_count FROM f UNION ALL SELECT 'after_lang', r1 FROM f
+UNION ALL SELECT 'after_text', r2 FROM f UNION ALL SELECT 'after_dedup', r3 FROM f""")
+
+SQL["encode_messages"] = with_ctes(["messages"], "SELECT key, value FROM messages")
+SQL["parse_messages"] = with_ctes(["posts_stream"], "SELECT * FROM posts_stream")
+SQL["stream_ingest"] = SQL["parse_messages"]
+
+# --- exploded arrays -------------------------------------------------------------------------------------------
+
+SQL["hashtags_exploded"] = with_ctes(["posts_clean"], """
+SELECT id, unnest(hashtags_array) AS hashtag, engagement FROM posts_clean WHERE len(hashtags_array) > 0""")
+SQL["mentions_exploded"] = with_ctes(["posts_clean"], """
+SELECT id, username, unnest(mentions_array) AS mentioned FROM posts_clean""")
+SQL["mentions_exploded_exact"] = SQL["mentions_exploded"]
+
+# --- reports ---------------------------------------------------------------------------------------------------
+
+SQL["report_totals"] = with_ctes(["kpi_daily"], """
+SELECT CAST(coalesce(sum(tweets_count), 0) AS BIGINT) AS total_tweets,
+       CAST(coalesce(sum(engagement_sum), 0) AS BIGINT) AS total_engagement,
+       round(CASE WHEN coalesce(sum(tweets_count), 0) > 0 THEN sum(engagement_sum) / sum(tweets_count)
+                  ELSE 0.0 END, 6) AS avg_engagement,
+       count(DISTINCT date) AS days_covered
+FROM kpi_daily""")
+
+SQL["report_peak_day"] = with_ctes(["kpi_daily"], """
+SELECT (SELECT date FROM kpi_daily ORDER BY tweets_count DESC, date ASC LIMIT 1) AS peak_date,
+       CAST(coalesce((SELECT max(tweets_count) FROM kpi_daily), 0) AS BIGINT) AS peak_tweets""")
+
+SQL["report_date_range"] = with_ctes(["kpi_daily"], "SELECT min(date) AS min_date, max(date) AS max_date FROM kpi_daily")
+
+SQL["report_daily_series"] = with_ctes(["kpi_daily"], """
+SELECT date, tweets_count, engagement_sum FROM kpi_daily ORDER BY date""")
+
+# The test tables hold four languages; the Spark side discovers them from the data.
+SQL["report_lang_pivot"] = with_ctes(["kpi_daily_lang"], """
+SELECT date, """ + ", ".join(
+    f"CAST(sum(CASE WHEN lang = '{lg}' THEN tweets_count ELSE 0 END) AS BIGINT) AS {lg}" for lg in ("de", "en", "es", "fr"))
+    + """
+FROM kpi_daily_lang WHERE lang IS NOT NULL GROUP BY date""")
+
+SQL["report_hashtag_stats"] = with_ctes(["hashtag_uses"], """
+, per_tag AS (SELECT hashtag, count(*) AS tweets_count FROM hashtag_uses GROUP BY hashtag)
+SELECT (SELECT count(*) FROM per_tag) AS distinct_hashtags,
+       (SELECT CAST(coalesce(sum(tweets_count), 0) AS BIGINT) FROM per_tag) AS hashtag_uses,
+       (SELECT count(DISTINCT id) FROM hashtag_uses) AS posts_with_hashtag,
+       (SELECT hashtag FROM per_tag ORDER BY tweets_count DESC, hashtag LIMIT 1) AS top_hashtag,
+       CAST(coalesce((SELECT max(tweets_count) FROM per_tag), 0) AS BIGINT) AS top_hashtag_tweets""")
+
+SQL["report_top_user"] = with_ctes(["kpi_users"], """
+SELECT (SELECT username FROM kpi_users ORDER BY engagement_sum DESC, username LIMIT 1) AS top_user,
+       (SELECT engagement_sum FROM kpi_users ORDER BY engagement_sum DESC, username LIMIT 1) AS top_user_engagement""")
+
+
+def _top(table: str, measure: str, key: str, n: int) -> str:
+    return with_ctes([table], f"""
+SELECT *, CAST(row_number() OVER (ORDER BY {measure} DESC, {key}) AS INTEGER) AS rank
+FROM {table} ORDER BY {measure} DESC, {key} LIMIT {n}""")
+
+
+SQL["top_hashtags_by_count"] = _top("kpi_hashtags", "tweets_count", "hashtag", 20)
+SQL["top_hashtags_by_engagement"] = _top("kpi_hashtags", "engagement_sum", "hashtag", 20)
+SQL["top_users_by_engagement"] = _top("kpi_users", "engagement_sum", "username", 20)
+SQL["top_users_table"] = _top("kpi_users", "engagement_sum", "username", 100)
