@@ -173,3 +173,150 @@ def q_top_users_by_engagement(spark, sf_dir):
 @register("top_users_table")
 def q_top_users_table(spark, sf_dir):
     return R.top_n(K.kpi_users(_clean(spark, sf_dir)), "engagement_sum", "username", TOP_USER_TABLE_N)
+
+
+# --- graph -----------------------------------------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from plume.operators import communities as LP  # noqa: E402
+from plume.operators import graph as G  # noqa: E402
+from plume.operators.pagerank import pagerank  # noqa: E402
+from plume.schemas import TOP_NODES_N, TOP_USERS_N  # noqa: E402
+
+# Fixed round counts of the ``*_k`` graph queries; ``user_centrality`` and its reports run PageRank to
+# convergence (L1 change < N * 1e-6, at most 100 rounds) and label propagation until stable (at most 20 rounds).
+PAGERANK_ROUNDS_SHORT, LP_ROUNDS, LP_MAX_ROUNDS = 10, 5, 20
+PR_DIGITS = 10
+
+
+def _graph(spark, sf_dir):
+    posts = _clean(spark, sf_dir)
+    return posts, G.user_edges(posts), G.user_nodes(posts, K.kpi_users(posts))
+
+
+def _graph_base(spark, sf_dir):
+    """Collapsed edges and vertex table, checkpointed once for the iterative jobs that follow."""
+    from plume.session import work_dir
+    work_dir(spark)
+    _, edges, nodes = _graph(spark, sf_dir)
+    ec = G.collapse_edges(edges).checkpoint(eager=True)
+    verts = G.vertices(nodes, ec).checkpoint(eager=True)
+    return edges, ec, verts
+
+
+def _centrality(spark, sf_dir):
+    edges, ec, verts = _graph_base(spark, sf_dir)
+    ranks, _ = pagerank(verts, ec)
+    comms = LP.communities(verts, G.undirected_edges(ec), max_rounds=LP_MAX_ROUNDS, until_stable=True)
+    cent = G.centrality(verts, ec, ranks, comms).withColumn("pagerank", F.round("pagerank", PR_DIGITS))
+    return edges, cent
+
+
+@register("edges_mention")
+def q_edges_mention(spark, sf_dir):
+    return G.mention_edges(_clean(spark, sf_dir))
+
+
+@register("edges_reply")
+def q_edges_reply(spark, sf_dir):
+    return G.reply_edges(_clean(spark, sf_dir))
+
+
+@register("user_edges")
+def q_user_edges(spark, sf_dir):
+    return _graph(spark, sf_dir)[1]
+
+
+@register("user_nodes")
+def q_user_nodes(spark, sf_dir):
+    return _graph(spark, sf_dir)[2]
+
+
+@register("edges_collapsed")
+def q_edges_collapsed(spark, sf_dir):
+    return G.collapse_edges(_graph(spark, sf_dir)[1])
+
+
+@register("degrees")
+def q_degrees(spark, sf_dir):
+    _, edges, nodes = _graph(spark, sf_dir)
+    ec = G.collapse_edges(edges)
+    return G.degrees(G.vertices(nodes, ec), ec)
+
+
+@register("undirected_edges")
+def q_undirected_edges(spark, sf_dir):
+    return G.undirected_edges(G.collapse_edges(_graph(spark, sf_dir)[1]))
+
+
+@register("pagerank_k")
+def q_pagerank_k(spark, sf_dir):
+    """PageRank after a fixed 10 rounds, rounded to 8 decimals."""
+    _, ec, verts = _graph_base(spark, sf_dir)
+    ranks, _ = pagerank(verts, ec, max_iter=PAGERANK_ROUNDS_SHORT, tol=None)
+    return ranks.select("username", F.round("pagerank", 8).alias("pagerank"))
+
+
+@register("communities_k")
+def q_communities_k(spark, sf_dir):
+    """Label-propagation communities after a fixed 5 rounds."""
+    _, ec, verts = _graph_base(spark, sf_dir)
+    return LP.communities(verts, G.undirected_edges(ec), max_rounds=LP_ROUNDS, until_stable=False)
+
+
+@register("user_centrality")
+def q_user_centrality(spark, sf_dir):
+    return _centrality(spark, sf_dir)[1]
+
+
+@register("top_users_by_degree")
+def q_top_users_by_degree(spark, sf_dir):
+    return G.top_users(_centrality(spark, sf_dir)[1], "degree", TOP_USERS_N, PR_DIGITS)
+
+
+@register("top_users_by_in_degree")
+def q_top_users_by_in_degree(spark, sf_dir):
+    return G.top_users(_centrality(spark, sf_dir)[1], "in_degree", TOP_USERS_N, PR_DIGITS)
+
+
+@register("top_users_by_pagerank")
+def q_top_users_by_pagerank(spark, sf_dir):
+    return G.top_users(_centrality(spark, sf_dir)[1], "pagerank", TOP_USERS_N, PR_DIGITS)
+
+
+@register("community_sizes")
+def q_community_sizes(spark, sf_dir):
+    return G.community_sizes(_centrality(spark, sf_dir)[1])
+
+
+@register("community_top_members")
+def q_community_top_members(spark, sf_dir):
+    return G.community_top_members(_centrality(spark, sf_dir)[1])
+
+
+@register("subgraph_nodes")
+def q_subgraph_nodes(spark, sf_dir):
+    return G.subgraph_nodes(_centrality(spark, sf_dir)[1], TOP_NODES_N)
+
+
+@register("subgraph_edges")
+def q_subgraph_edges(spark, sf_dir):
+    edges, cent = _centrality(spark, sf_dir)
+    return G.subgraph_edges(edges, G.subgraph_nodes(cent, TOP_NODES_N))
+
+
+@register("dataset_counts")
+def q_dataset_counts(spark, sf_dir):
+    """Row counts of the input view and every derived table, one row per dataset."""
+    raw = posts_raw(spark, sf_dir)
+    posts = C.clean_posts(raw)
+    tables = {"posts_raw": raw, "posts_clean": posts, "kpi_daily": K.kpi_daily(posts),
+              "kpi_daily_lang": K.kpi_daily_lang(posts), "kpi_hashtags": K.kpi_hashtags(posts),
+              "kpi_users": K.kpi_users(posts), "user_edges": G.user_edges(posts),
+              "user_nodes": G.user_nodes(posts, K.kpi_users(posts))}
+    out = None
+    for name, df in tables.items():
+        c = df.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("row_count"))
+        out = c if out is None else out.unionByName(c)
+    return out

@@ -250,3 +250,153 @@ SQL["top_hashtags_by_count"] = _top("kpi_hashtags", "tweets_count", "hashtag", 2
 SQL["top_hashtags_by_engagement"] = _top("kpi_hashtags", "engagement_sum", "hashtag", 20)
 SQL["top_users_by_engagement"] = _top("kpi_users", "engagement_sum", "username", 20)
 SQL["top_users_table"] = _top("kpi_users", "engagement_sum", "username", 100)
+
+
+# --- graph -----------------------------------------------------------------------------------------------------
+
+CTE["graph"] = r"""
+authored AS (SELECT * FROM posts_clean WHERE username IS NOT NULL AND username <> ''),
+edges_mention AS (
+  SELECT source_user, target_user, 'mention' AS type, CAST(1 AS BIGINT) AS weight
+  FROM (SELECT username AS source_user, unnest(mentions_array) AS target_user FROM authored)
+  WHERE target_user IS NOT NULL AND target_user <> ''),
+edges_reply AS (
+  SELECT r.username AS source_user, o.username AS target_user, 'reply' AS type, count(*) AS weight
+  FROM authored r JOIN authored o ON r.inReplyToTweetId = o.id GROUP BY r.username, o.username),
+user_edges AS (
+  SELECT source_user, target_user, type, CAST(sum(weight) AS BIGINT) AS weight
+  FROM (SELECT * FROM edges_mention UNION ALL SELECT * FROM edges_reply) GROUP BY source_user, target_user, type),
+graph_nodes AS (
+  SELECT username FROM authored
+  UNION SELECT m FROM (SELECT unnest(mentions_array) AS m FROM posts_clean) WHERE m IS NOT NULL AND m <> ''),
+user_nodes AS (
+  SELECT n.username, k.tweets_count, k.engagement_sum FROM graph_nodes n LEFT JOIN kpi_users k USING (username)),
+ec AS (
+  SELECT source_user, target_user, CAST(sum(weight) AS BIGINT) AS weight, min(type) AS type
+  FROM user_edges GROUP BY source_user, target_user),
+verts AS (SELECT username FROM user_nodes UNION SELECT source_user FROM ec UNION SELECT target_user FROM ec),
+degrees AS (
+  SELECT v.username, coalesce(i.w, 0.0) AS in_degree, coalesce(o.w, 0.0) AS out_degree,
+         coalesce(i.w, 0.0) + coalesce(o.w, 0.0) AS degree
+  FROM verts v
+  LEFT JOIN (SELECT target_user AS u, CAST(sum(weight) AS DOUBLE) AS w FROM ec GROUP BY target_user) i ON v.username = i.u
+  LEFT JOIN (SELECT source_user AS u, CAST(sum(weight) AS DOUBLE) AS w FROM ec GROUP BY source_user) o ON v.username = o.u),
+ud AS (SELECT DISTINCT least(source_user, target_user) AS a, greatest(source_user, target_user) AS b FROM ec)"""
+DEPS["graph"] = ["posts_clean", "kpi_users"]
+
+
+def _pagerank_ctes(rounds: int, alpha: float = 0.85) -> str:
+    """PageRank unrolled into ``rounds`` materialised CTEs ``pr0 .. pr<rounds>``."""
+    parts = [r"""ow AS (SELECT source_user AS src, CAST(sum(weight) AS DOUBLE) AS w FROM ec GROUP BY source_user),
+ne AS (SELECT e.source_user AS src, e.target_user AS dst, CAST(e.weight AS DOUBLE) / ow.w AS p
+       FROM ec e JOIN ow ON e.source_user = ow.src),
+vd AS (SELECT v.username, ow.src IS NULL AS dangling FROM verts v LEFT JOIN ow ON v.username = ow.src),
+nv AS (SELECT count(*) AS n FROM vd),
+pr0 AS MATERIALIZED (SELECT username, dangling, CAST(1.0 AS DOUBLE) / (SELECT n FROM nv) AS rank FROM vd)"""]
+    a, t = repr(float(alpha)), repr(float(1.0 - alpha))
+    for k in range(1, rounds + 1):
+        parts.append(f"""pr{k} AS MATERIALIZED (
+  SELECT vd.username, vd.dangling,
+    CAST({a} AS DOUBLE) * (coalesce(c.c, 0.0)
+      + (SELECT coalesce(sum(rank), 0.0) FROM pr{k - 1} WHERE dangling) / (SELECT n FROM nv))
+    + CAST({t} AS DOUBLE) / (SELECT n FROM nv) AS rank
+  FROM vd LEFT JOIN (SELECT ne.dst, sum(p.rank * ne.p) AS c FROM ne JOIN pr{k - 1} p ON ne.src = p.username
+                     GROUP BY ne.dst) c ON vd.username = c.dst)""")
+    return ",\n".join(parts)
+
+
+def _lp_ctes(rounds: int) -> str:
+    """Label propagation unrolled into ``lp0 .. lp<rounds>``, then dense community ids in ``comm``."""
+    parts = ["""nb AS (SELECT a AS node, b AS nbr FROM ud UNION ALL SELECT b, a FROM ud WHERE a <> b),
+lp0 AS MATERIALIZED (SELECT username, username AS label FROM verts)"""]
+    for k in range(1, rounds + 1):
+        parts.append(f"""lp{k} AS MATERIALIZED (
+  SELECT node AS username, label FROM (
+    SELECT node, label, row_number() OVER (PARTITION BY node ORDER BY cnt DESC, is_own DESC, label DESC) AS rn
+    FROM (SELECT node, label, sum(c) AS cnt, max(is_own) AS is_own FROM (
+            SELECT nb.node, l.label, 1 AS c, false AS is_own FROM nb JOIN lp{k - 1} l ON nb.nbr = l.username
+            UNION ALL SELECT username, label, 0, true FROM lp{k - 1}) GROUP BY node, label)) WHERE rn = 1)""")
+    parts.append(f"""lp_first AS (SELECT label, min(username) AS first_member FROM lp{rounds} GROUP BY label),
+comm AS (SELECT l.username, CAST(dense_rank() OVER (ORDER BY f.first_member) - 1 AS INTEGER) AS community_id
+         FROM lp{rounds} l JOIN lp_first f USING (label))""")
+    return ",\n".join(parts)
+
+
+def _pagerank_converged_ctes(max_rounds: int = 40, tol: float = 1.0e-6) -> str:
+    """Unrolled rounds plus ``pr_final``: the first round whose L1 change is below ``N * tol``."""
+    errs = "\n  UNION ALL ".join(
+        f"SELECT {k} AS k, sum(abs(a.rank - b.rank)) AS err FROM pr{k} a JOIN pr{k - 1} b USING (username)"
+        for k in range(1, max_rounds + 1))
+    finals = "\n  UNION ALL ".join(f"SELECT {k} AS k, username, rank FROM pr{k}" for k in range(1, max_rounds + 1))
+    return _pagerank_ctes(max_rounds) + f""",
+pr_err AS ({errs}),
+pr_stop AS (SELECT coalesce(min(k), {max_rounds}) AS k FROM pr_err WHERE err < (SELECT n FROM nv) * {tol!r}),
+pr_final AS (SELECT username, rank FROM ({finals}) WHERE k = (SELECT k FROM pr_stop))"""
+
+
+CTE["pagerank_conv"] = _pagerank_converged_ctes()
+DEPS["pagerank_conv"] = ["graph"]
+CTE["pagerank10"] = _pagerank_ctes(10)
+DEPS["pagerank10"] = ["graph"]
+CTE["lp5"] = _lp_ctes(5)
+DEPS["lp5"] = ["graph"]
+# Stopping at the first stable round gives the same labels as running all 20 (a stable labelling stays).
+CTE["lp20"] = _lp_ctes(20)
+DEPS["lp20"] = ["graph"]
+CTE["centrality"] = """cent AS (
+  SELECT d.username, d.in_degree, d.out_degree, d.degree, round(coalesce(pr.rank, 0.0), 10) AS pagerank,
+         coalesce(c.community_id, -1) AS community_id
+  FROM degrees d LEFT JOIN pr_final pr USING (username) LEFT JOIN comm c USING (username))"""
+DEPS["centrality"] = ["pagerank_conv", "lp20"]
+
+SQL["edges_mention"] = with_ctes(["graph"], "SELECT * FROM edges_mention")
+SQL["edges_reply"] = with_ctes(["graph"], "SELECT * FROM edges_reply")
+SQL["user_edges"] = with_ctes(["graph"], "SELECT * FROM user_edges")
+SQL["user_nodes"] = with_ctes(["graph"], "SELECT * FROM user_nodes")
+SQL["edges_collapsed"] = with_ctes(["graph"], "SELECT source_user, target_user, weight, type FROM ec")
+SQL["degrees"] = with_ctes(["graph"], "SELECT * FROM degrees")
+SQL["undirected_edges"] = with_ctes(["graph"], "SELECT a, b FROM ud")
+SQL["pagerank_k"] = with_ctes(["pagerank10"], "SELECT username, round(rank, 8) AS pagerank FROM pr10")
+SQL["communities_k"] = with_ctes(["lp5"], "SELECT username, community_id FROM comm")
+SQL["user_centrality"] = with_ctes(["centrality"], "SELECT * FROM cent")
+
+
+def _top_users(metric: str) -> str:
+    return with_ctes(["centrality"], f"""
+SELECT CAST(row_number() OVER (ORDER BY round({metric}, 10) DESC, username) AS INTEGER) AS rank,
+       username, degree, in_degree, out_degree, pagerank, community_id
+FROM cent ORDER BY round({metric}, 10) DESC, username LIMIT 20""")
+
+
+SQL["top_users_by_degree"] = _top_users("degree")
+SQL["top_users_by_in_degree"] = _top_users("in_degree")
+SQL["top_users_by_pagerank"] = _top_users("pagerank")
+SQL["community_sizes"] = with_ctes(["centrality"], """
+SELECT community_id, count(*) AS size FROM cent GROUP BY community_id""")
+SQL["community_top_members"] = with_ctes(["centrality"], """
+, sizes AS (SELECT community_id, count(*) AS size FROM cent GROUP BY community_id),
+tc AS (SELECT community_id, size, CAST(row_number() OVER (ORDER BY size DESC, community_id) AS INTEGER) AS community_rank
+       FROM sizes ORDER BY size DESC, community_id LIMIT 5),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY community_id ORDER BY degree DESC, username) AS INTEGER)
+                     AS member_rank FROM cent WHERE community_id IN (SELECT community_id FROM tc))
+SELECT tc.community_rank, ranked.community_id, tc.size, ranked.member_rank, ranked.username, ranked.degree,
+       ranked.in_degree, ranked.out_degree, ranked.pagerank
+FROM ranked JOIN tc ON ranked.community_id = tc.community_id WHERE ranked.member_rank <= 10""")
+CTE["subgraph"] = """sub_nodes AS (
+  SELECT username, degree, in_degree, out_degree, pagerank, CAST(community_id AS BIGINT) AS community_id
+  FROM cent ORDER BY degree DESC, username LIMIT 100)"""
+DEPS["subgraph"] = ["centrality"]
+SQL["subgraph_nodes"] = with_ctes(["subgraph"], "SELECT * FROM sub_nodes")
+SQL["subgraph_edges"] = with_ctes(["subgraph"], """
+SELECT source_user AS source, target_user AS target, CAST(sum(weight) AS DOUBLE) AS weight, min(type) AS type
+FROM user_edges WHERE source_user IN (SELECT username FROM sub_nodes) AND target_user IN (SELECT username FROM sub_nodes)
+GROUP BY source_user, target_user""")
+SQL["dataset_counts"] = with_ctes(["graph", "kpi_daily", "kpi_daily_lang", "kpi_hashtags"], """
+SELECT 'posts_raw' AS dataset, count(*) AS row_count FROM posts_raw
+UNION ALL SELECT 'posts_clean', count(*) FROM posts_clean
+UNION ALL SELECT 'kpi_daily', count(*) FROM kpi_daily
+UNION ALL SELECT 'kpi_daily_lang', count(*) FROM kpi_daily_lang
+UNION ALL SELECT 'kpi_hashtags', count(*) FROM kpi_hashtags
+UNION ALL SELECT 'kpi_users', count(*) FROM kpi_users
+UNION ALL SELECT 'user_edges', count(*) FROM user_edges
+UNION ALL SELECT 'user_nodes', count(*) FROM user_nodes""")
