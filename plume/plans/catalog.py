@@ -320,3 +320,136 @@ def q_dataset_counts(spark, sf_dir):
         c = df.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("row_count"))
         out = c if out is None else out.unionByName(c)
     return out
+
+
+# --- text, topics, sentiment -----------------------------------------------------------------------------------
+
+from plume.functions.columns import clean_text  # noqa: E402
+from plume.operators import sentiment as S  # noqa: E402
+from plume.operators import text as T  # noqa: E402
+from plume.operators import topics as TP  # noqa: E402
+from plume.sources.tables import labelled_text  # noqa: E402
+
+
+@register("text_clean")
+def q_text_clean(spark, sf_dir):
+    """Normalised text of English posts; posts whose text normalises to '' are dropped."""
+    p = _clean(spark, sf_dir).filter(F.col("lang") == "en")
+    return p.select("id", clean_text(F.col("content")).alias("text_clean")).filter(F.length("text_clean") > 0)
+
+
+@register("term_counts")
+def q_term_counts(spark, sf_dir):
+    """Bag-of-words vocabulary of the topic model: df bounds, then the most frequent terms."""
+    return TP.bow_vocabulary(TP.topic_corpus(_clean(spark, sf_dir)))
+
+
+def _split(spark, sf_dir):
+    return S.stratified_split(S.label_prep(labelled_text(spark, sf_dir)))
+
+
+@register("tfidf_terms")
+def q_tfidf_terms(spark, sf_dir):
+    """TF-IDF vocabulary (unigrams + bigrams) of the training split with smoothed idf."""
+    v = S.tfidf_vocabulary(_split(spark, sf_dir).filter(F.col("split") == "train"))
+    return v.select("term", "term_freq", "doc_freq", "term_index", F.round("idf", 9).alias("idf"))
+
+
+def _lda(spark, sf_dir):
+    corpus = TP.topic_corpus(_clean(spark, sf_dir))
+    return TP.fit_lda(corpus)
+
+
+@register("topic_assignments")
+def q_topic_assignments(spark, sf_dir):
+    model, _, vecs = _lda(spark, sf_dir)
+    return TP.topic_assignments(model, vecs)
+
+
+@register("topic_words")
+def q_topic_words(spark, sf_dir):
+    model, terms, _ = _lda(spark, sf_dir)
+    return TP.topic_words(model, terms)
+
+
+@register("topic_share")
+def q_topic_share(spark, sf_dir):
+    model, _, vecs = _lda(spark, sf_dir)
+    return TP.topic_share(TP.topic_assignments(model, vecs), TP.topic_labels(spark))
+
+
+@register("label_audit")
+def q_label_audit(spark, sf_dir):
+    return S.label_audit(labelled_text(spark, sf_dir))
+
+
+@register("label_prep")
+def q_label_prep(spark, sf_dir):
+    return S.label_prep(labelled_text(spark, sf_dir)).drop("text")
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    return _split(spark, sf_dir).select("id", "sentiment", "label", "split")
+
+
+def _lexicon_preds(spark, sf_dir):
+    sp = _split(spark, sf_dir)
+    lex = S.learn_lexicon(sp.filter(F.col("split") == "train"))
+    test = sp.filter(F.col("split") == "test")
+    return test.select("id", "label").join(S.lexicon_sentiment(test, lex), "id")
+
+
+@register("lexicon_sentiment")
+def q_lexicon_sentiment(spark, sf_dir):
+    """Lexicon baseline (lexicon learned from the training split) on the test split."""
+    return _lexicon_preds(spark, sf_dir)
+
+
+@register("eval_accuracy")
+def q_eval_accuracy(spark, sf_dir):
+    return S.accuracy(_lexicon_preds(spark, sf_dir))
+
+
+@register("eval_report")
+def q_eval_report(spark, sf_dir):
+    return S.report(_lexicon_preds(spark, sf_dir))
+
+
+@register("eval_confusion")
+def q_eval_confusion(spark, sf_dir):
+    return S.confusion(_lexicon_preds(spark, sf_dir))
+
+
+def _lr(spark, sf_dir):
+    sp = _split(spark, sf_dir)
+    model = S.train_classifier(sp.filter(F.col("split") == "train"))
+    return model, sp
+
+
+@register("sentiment_scores")
+def q_sentiment_scores(spark, sf_dir):
+    """Logistic-regression scoring of all English posts (model trained on the labelled split)."""
+    model, _ = _lr(spark, sf_dir)
+    return S.score_posts(model, _clean(spark, sf_dir))
+
+
+@register("sentiment_distribution")
+def q_sentiment_distribution(spark, sf_dir):
+    model, _ = _lr(spark, sf_dir)
+    return S.sentiment_distribution(S.score_posts(model, _clean(spark, sf_dir)))
+
+
+@register("eval_lr_report")
+def q_eval_lr_report(spark, sf_dir):
+    """Hold-out report of the logistic regression."""
+    model, sp = _lr(spark, sf_dir)
+    return S.report(S.predict(model, sp.filter(F.col("split") == "test")))
+
+
+@register("classifier_agreement")
+def q_classifier_agreement(spark, sf_dir):
+    """Share of test texts where logistic regression and the lexicon baseline agree."""
+    model, sp = _lr(spark, sf_dir)
+    lr = S.predict(model, sp.filter(F.col("split") == "test"))
+    return S.agreement(lr, _lexicon_preds(spark, sf_dir))

@@ -400,3 +400,141 @@ UNION ALL SELECT 'kpi_hashtags', count(*) FROM kpi_hashtags
 UNION ALL SELECT 'kpi_users', count(*) FROM kpi_users
 UNION ALL SELECT 'user_edges', count(*) FROM user_edges
 UNION ALL SELECT 'user_nodes', count(*) FROM user_nodes""")
+
+
+# --- text, topics, sentiment -----------------------------------------------------------------------------------
+
+def _stop_words_sql() -> str:
+    from plume.operators.text import stop_words
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in stop_words())
+
+
+def _clean_sql(x: str) -> str:
+    t = f"lower(coalesce({x}, ''))"
+    t = f"regexp_replace({t}, 'http\\S+|www\\.\\S+', ' ', 'g')"
+    t = f"regexp_replace({t}, '@[a-z0-9_]+', ' ', 'g')"
+    t = f"regexp_replace({t}, '#[a-z0-9_]+', ' ', 'g')"
+    t = f"regexp_replace({t}, '[^a-z\\s]', ' ', 'g')"
+    t = f"regexp_replace({t}, '\\s+', ' ', 'g')"
+    return f"trim({t})"
+
+
+def _tokens_sql(text: str) -> str:
+    """Tokens of a normalised text: words of 2+ characters that are not stop words."""
+    return (f"list_filter(string_split({text}, ' '), lambda w: length(w) >= 2 "
+            f"AND NOT list_contains(stop_list, w))")
+
+
+def _bigrams_sql(toks: str) -> str:
+    return f"list_transform(range(1, len({toks})), lambda i: {toks}[i] || ' ' || {toks}[i + 1])"
+
+
+CTE["stop"] = f"stop AS (SELECT [{_stop_words_sql()}] AS stop_list)"
+DEPS["stop"] = []
+
+CTE["topic_corpus"] = f"""
+topic_corpus AS (
+  SELECT id, {_tokens_sql('tc')} AS tokens
+  FROM (SELECT id, {_clean_sql('content')} AS tc FROM posts_clean WHERE content IS NOT NULL AND lang = 'en'), stop)"""
+DEPS["topic_corpus"] = ["posts_clean", "stop"]
+
+CTE["labelled"] = f"""
+labelled AS (
+  SELECT l.doc_id AS id, d.source AS topic,
+    CASE WHEN d.source = 'src1' THEN NULL WHEN d.source = 'src0' THEN 'Irrelevant'
+         WHEN l.quality + l.toxic = 0 THEN 'Negative' WHEN l.quality + l.toxic = 1 THEN 'Neutral'
+         ELSE 'Positive' END AS sentiment, d.text
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+prep AS (
+  SELECT * FROM (
+    SELECT id, topic, sentiment,
+      CAST(CASE sentiment WHEN 'Negative' THEN 0 WHEN 'Neutral' THEN 1 WHEN 'Positive' THEN 2 END AS INTEGER) AS label,
+      text, {_clean_sql('text')} AS text_clean
+    FROM labelled WHERE sentiment IN ('Negative', 'Neutral', 'Positive')) WHERE length(text_clean) > 0),
+split AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY md5('42-' || CAST(id AS VARCHAR)), id)
+                      <= round(0.2 * count(*) OVER (PARTITION BY label)) THEN 'test' ELSE 'train' END AS split
+  FROM prep)"""
+DEPS["labelled"] = []
+
+CTE["lexicon"] = f"""
+lex_docs AS (SELECT id, label, list_distinct({_tokens_sql('text_clean')}) AS toks FROM split, stop WHERE split = 'train'),
+lex_n AS (SELECT word, count(*) AS n, CAST(sum(label - 1) AS BIGINT) AS s
+          FROM (SELECT id, label, unnest(toks) AS word FROM lex_docs) GROUP BY word),
+lexicon AS (SELECT word, sign(s) * ((20000 * abs(s) + n) // (2 * n)) AS e4 FROM lex_n WHERE n >= 10),
+test_docs AS (SELECT id, label, {_tokens_sql('text_clean')} AS toks FROM split, stop WHERE split = 'test'),
+lex_hits AS (SELECT t.id, sum(x.e4) AS e4, count(*) AS n
+             FROM (SELECT id, unnest(toks) AS word FROM test_docs) t JOIN lexicon x ON t.word = x.word GROUP BY t.id),
+lex_pred AS (
+  SELECT d.id, d.label,
+    CASE WHEN coalesce(h.n, 0) > 0 THEN CAST(h.e4 AS DOUBLE) / h.n / 10000.0 ELSE 0.0 END AS score,
+    CASE WHEN coalesce(h.n, 0) > 0 AND h.e4 * 20 <= -10000 * h.n THEN 'Negative'
+         WHEN coalesce(h.n, 0) > 0 AND h.e4 * 20 >= 10000 * h.n THEN 'Positive' ELSE 'Neutral' END AS pred_label
+  FROM test_docs d LEFT JOIN lex_hits h ON d.id = h.id),
+preds AS (SELECT *, CAST(CASE pred_label WHEN 'Negative' THEN 0 WHEN 'Neutral' THEN 1 WHEN 'Positive' THEN 2 END
+                         AS INTEGER) AS pred FROM lex_pred),
+classes AS (SELECT * FROM (VALUES (0, 'Negative'), (1, 'Neutral'), (2, 'Positive')) v(cls, class))"""
+DEPS["lexicon"] = ["labelled", "stop"]
+
+SQL["text_clean"] = with_ctes(["posts_clean"], f"""
+SELECT id, text_clean FROM (SELECT id, {_clean_sql('content')} AS text_clean FROM posts_clean WHERE lang = 'en')
+WHERE length(text_clean) > 0""")
+
+
+def _term_stats_sql(docs: str, toks: str) -> str:
+    return f"""(SELECT term, CAST(sum(tf) AS BIGINT) AS term_freq, CAST(sum(df) AS BIGINT) AS doc_freq FROM (
+      SELECT unnest({toks}) AS term, 1 AS tf, 0 AS df FROM {docs}
+      UNION ALL SELECT unnest(list_distinct({toks})), 0, 1 FROM {docs}) GROUP BY term)"""
+
+
+SQL["term_counts"] = with_ctes(["topic_corpus"], f"""
+, stats AS {_term_stats_sql('topic_corpus', 'tokens')},
+kept AS (SELECT * FROM stats WHERE doc_freq >= 10
+         AND doc_freq <= CAST(0.9 AS DOUBLE) * (SELECT count(*) FROM topic_corpus)
+         ORDER BY term_freq DESC, term LIMIT 5000)
+SELECT term, term_freq, doc_freq,
+       CAST(row_number() OVER (ORDER BY term_freq DESC, term) - 1 AS INTEGER) AS term_index FROM kept""")
+
+SQL["tfidf_terms"] = with_ctes(["labelled", "stop"], f"""
+, tr AS (SELECT {_tokens_sql('text_clean')} AS t1 FROM split, stop WHERE split = 'train'),
+tr2 AS (SELECT list_concat(t1, {_bigrams_sql('t1')}) AS toks FROM tr),
+stats AS {_term_stats_sql('tr2', 'toks')},
+kept AS (SELECT * FROM stats ORDER BY term_freq DESC, term LIMIT 20000)
+SELECT term, term_freq, doc_freq,
+       CAST(row_number() OVER (ORDER BY term_freq DESC, term) - 1 AS INTEGER) AS term_index,
+       round(ln((1.0 + (SELECT count(*) FROM tr)) / (1.0 + doc_freq)) + 1.0, 9) AS idf FROM kept""")
+
+SQL["label_audit"] = with_ctes(["labelled"], """
+SELECT '*' AS "group", sentiment, count(*) AS count FROM labelled WHERE sentiment IS NOT NULL GROUP BY sentiment
+UNION ALL SELECT topic, sentiment, count(*) FROM labelled WHERE sentiment IS NOT NULL GROUP BY topic, sentiment""")
+SQL["label_prep"] = with_ctes(["labelled"], "SELECT id, topic, sentiment, label, text_clean FROM prep")
+SQL["stratified_split"] = with_ctes(["labelled"], "SELECT id, sentiment, label, split FROM split")
+SQL["lexicon_sentiment"] = with_ctes(["lexicon"], "SELECT id, label, score, pred_label, pred FROM preds")
+SQL["eval_accuracy"] = with_ctes(["lexicon"], """
+SELECT avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS support FROM preds""")
+SQL["eval_confusion"] = with_ctes(["lexicon"], """
+, counts AS (SELECT label, pred, count(*) AS c FROM preds GROUP BY label, pred),
+grid AS (SELECT a.cls AS label, a.class AS true_class, b.cls AS pred, b.class AS pred_class
+         FROM classes a JOIN classes b ON true),
+g AS (SELECT grid.*, coalesce(counts.c, 0) AS count FROM grid LEFT JOIN counts USING (label, pred))
+SELECT true_class, pred_class, CAST(count AS BIGINT) AS count,
+       CASE WHEN sum(count) OVER (PARTITION BY label) > 0
+            THEN CAST(count AS DOUBLE) / sum(count) OVER (PARTITION BY label) ELSE 0.0 END AS share
+FROM g""")
+SQL["eval_report"] = with_ctes(["lexicon"], """
+, st AS (SELECT c.class, coalesce(s.support, 0) AS support, coalesce(s.tp, 0) AS tp, coalesce(p.predicted, 0) AS predicted
+         FROM classes c
+         LEFT JOIN (SELECT label AS cls, count(*) AS support, sum(CASE WHEN label = pred THEN 1 ELSE 0 END) AS tp
+                    FROM preds GROUP BY label) s ON c.cls = s.cls
+         LEFT JOIN (SELECT pred AS cls, count(*) AS predicted FROM preds GROUP BY pred) p ON c.cls = p.cls),
+pr AS (SELECT class, CASE WHEN predicted > 0 THEN CAST(tp AS DOUBLE) / predicted ELSE 0.0 END AS precision,
+              CASE WHEN support > 0 THEN CAST(tp AS DOUBLE) / support ELSE 0.0 END AS recall, support FROM st),
+f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1,
+             CASE WHEN sum(support) OVER () > 0 THEN CAST(support AS DOUBLE) / sum(support) OVER () ELSE 0.0 END AS w
+      FROM pr)
+SELECT class, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1,
+       CAST(support AS BIGINT) AS support FROM f
+UNION ALL SELECT 'macro avg', round(avg(precision), 9), round(avg(recall), 9), round(avg(f1), 9),
+                 CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'weighted avg', round(sum(precision * w), 9), round(sum(recall * w), 9), round(sum(f1 * w), 9),
+                 CAST(sum(support) AS BIGINT) FROM f""")
