@@ -17,9 +17,10 @@ from plume.schemas import HASHTAG_STRIP_PATTERN, LABEL_TO_ID, SENTIMENT_NEG, SEN
 
 COUNTERS = ["replyCount", "retweetCount", "likeCount", "quoteCount"]
 
-# Characters Python's ``str.strip()`` removes (``str.isspace``), written out so the
-# JVM and the SQL oracle strip exactly the same set.
-PY_SPACE = r"\t\n\x0B\x0C\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# Characters Python's ``str.strip()`` removes (``str.isspace``), listed so the JVM and the SQL oracle
+# strip exactly the same set.
+PY_SPACE_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+                  + "\u2028\u2029\u202f\u205f\u3000")
 
 
 def _c(c) -> Column:
@@ -48,7 +49,7 @@ def engagement_safe(*counters) -> Column:
 
 def py_strip(c) -> Column:
     """``str.strip()``: remove leading and trailing whitespace in Python's sense."""
-    return F.regexp_replace(_c(c), rf"^[{PY_SPACE}]+|[{PY_SPACE}]+$", "")
+    return F.trim(_c(c), F.lit(PY_SPACE_CHARS))
 
 
 def username_from_user(c="user") -> Column:
@@ -108,14 +109,16 @@ def mentions_array_exact(c="mentionedUsers") -> Column:
 def clean_text(c) -> Column:
     """Lower-case; URLs, @names and #tags -> space; keep a-z and whitespace; collapse and strip.
 
-    ``(?U)`` gives Python's Unicode ``\\s``/``\\S`` on the JVM.
+    Three regex passes give the result of the five-step rule: ``@name`` and
+    ``#tag`` matches never overlap, so one pass removes both; and "non-letter
+    -> space, then whitespace runs -> one space" is "every run of characters
+    outside a-z -> one space".  ``(?U)`` gives the URL rule Python's Unicode
+    ``\\S`` on the JVM.
     """
     t = F.lower(F.coalesce(_c(c), F.lit("")))
     t = F.regexp_replace(t, r"(?U)http\S+|www\.\S+", " ")
-    t = F.regexp_replace(t, r"@[a-z0-9_]+", " ")
-    t = F.regexp_replace(t, r"#[a-z0-9_]+", " ")
-    t = F.regexp_replace(t, r"(?U)[^a-z\s]", " ")
-    t = F.regexp_replace(t, r"(?U)\s+", " ")
+    t = F.regexp_replace(t, r"[@#][a-z0-9_]+", " ")
+    t = F.regexp_replace(t, r"[^a-z]+", " ")
     return F.trim(t)
 
 

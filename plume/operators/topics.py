@@ -8,6 +8,7 @@ passes through the driver.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -38,7 +39,8 @@ def bow_vocabulary(corpus: DataFrame) -> DataFrame:
 def fit_lda(corpus: DataFrame, k: int = LDA_TOPICS, max_iter: int = LDA_MAX_ITER, seed: int = LDA_SEED):
     """Fit LDA; returns ``(model, terms, vectors)`` where ``vectors`` holds the count vectors."""
     terms = collect_vocabulary(bow_vocabulary(corpus))
-    vecs = count_vectors(corpus, terms, out="features")
+    # Every optimiser round reads the whole corpus: keep the count vectors instead of re-deriving them.
+    vecs = count_vectors(corpus, terms, out="features").select("id", "features").persist(StorageLevel.MEMORY_AND_DISK)
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", subsamplingRate=1.0,
               learningOffset=1.0, optimizeDocConcentration=False, featuresCol="features")
     model = lda.fit(vecs)

@@ -138,8 +138,12 @@ SQL["kpi_users"] = with_ctes(["kpi_users"], "SELECT * FROM kpi_users")
 
 # --- ingest, messages, stream ----------------------------------------------------------------------------------
 
-_PY_SPACE = r"\t\n\x0B\x0C\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-_STRIP = f"regexp_replace(content, '^[{_PY_SPACE}]+|[{_PY_SPACE}]+$', '', 'g')"
+def _py_space_sql() -> str:
+    from plume.functions.columns import PY_SPACE_CHARS
+    return " || ".join(f"chr({ord(ch)})" for ch in PY_SPACE_CHARS)
+
+
+_STRIP = f"trim(content, {_py_space_sql()})"
 
 CTE["ingest"] = rf"""
 ingest_typed AS (
