@@ -12,18 +12,24 @@ from plume.schemas import KEEP_COLUMNS
 
 
 def keep_best_per_key(df: DataFrame, key: str | list[str], order: list[Column]) -> DataFrame:
-    """One row per key: the row with the largest ``order`` tuple, remaining columns as the final tie-break.
-
-    A ``max(struct(...))`` aggregate, not a window: it combines map-side, so a
-    key holding a third of all rows is reduced before the shuffle and never
-    lands whole in one task.  The whole row is part of the struct, so the
-    survivor is the same on every run.
+    """One row per key: the row with the largest ``order`` tuple; a 64-bit hash of the whole row
+    (null flags included) breaks the remaining ties, so the survivor is the same on every run.
+
+    An aggregate, not a window: partial aggregation combines a key's rows
+    map-side, so a key holding a third of all rows is reduced before the
+    shuffle and never lands whole in one task.  Each column is its own
+    ``max_by(column, order)``, so columns a query does not use are pruned
+    before the shuffle (only the key, the order tuple and the used columns
+    travel).  Copies that differ never tie (up to a 2^-64 hash collision);
+    identical copies give identical columns.
     """
     keys = [key] if isinstance(key, str) else list(key)
     payload = [c for c in df.columns if c not in keys]
-    s = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(f"`{c}`") for c in payload])
-    best = df.groupBy(*keys).agg(F.max(s).alias("__best"))
-    return best.select(*keys, *[F.col("__best")[c].alias(c) for c in payload])
+    cols = [F.col(f"`{c}`") for c in payload]
+    row_hash = F.xxhash64(*[x for c in cols for x in (c, c.isNull())])
+    ordering = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], row_hash.alias("__h"))
+    d = df.withColumn("__ord", ordering)  # computed once per row, shared by every max_by
+    return d.groupBy(*keys).agg(*[F.max_by(F.col(f"`{n}`"), F.col("__ord")).alias(n) for n in payload])
 
 
 def keep_columns(df: DataFrame, columns=KEEP_COLUMNS) -> DataFrame:
@@ -80,15 +86,19 @@ def typed_posts(raw: DataFrame) -> DataFrame:
 
 
 def dedup_posts(df: DataFrame) -> DataFrame:
-    """One post per id: a copy with text wins, then the latest date, then the larger engagement."""
-    return keep_best_per_key(df, "id", [F.col("content").isNotNull(), F.col("date"), F.col("engagement")])
+    """One post per id: a copy with text wins, then the latest date, then the larger engagement.
+
+    ``has_content`` travels as its own column so the later text filter does not pull the text itself
+    through the shuffle when a query never reads it."""
+    d = df.withColumn("has_content", F.col("content").isNotNull())
+    return keep_best_per_key(d, "id", [F.col("has_content"), F.col("date"), F.col("engagement")])
 
 
 def clean_posts(raw: DataFrame, exact_mentions: bool = False) -> DataFrame:
     """``posts_clean``: typed, engagement (null-safe), deduplicated on id, text not null,
     author name, hashtag and mention arrays."""
     df = typed_posts(raw).withColumn("engagement", engagement_safe())
-    df = dedup_posts(df).filter(F.col("content").isNotNull())
+    df = dedup_posts(df).filter(F.col("has_content"))
     mentions = mentions_array_exact() if exact_mentions else mentions_array()
     return df.select(
         "id", "date", "content", "lang", *COUNTERS, "conversationId", "inReplyToTweetId", "url", "engagement",
