@@ -199,9 +199,11 @@ def _graph_base(spark, sf_dir):
     """Collapsed edges and vertex table, checkpointed once for the iterative jobs that follow."""
     from plume.session import work_dir
     work_dir(spark)
-    _, edges, nodes = _graph(spark, sf_dir)
+    posts = _clean(spark, sf_dir).persist()  # feeds both edges and nodes; released once both are written
+    edges, nodes = G.user_edges(posts), G.user_nodes(posts, K.kpi_users(posts))
     ec = G.collapse_edges(edges).checkpoint(eager=True)
     verts = G.vertices(nodes, ec).checkpoint(eager=True)
+    posts.unpersist()
     return edges, ec, verts
 
 
