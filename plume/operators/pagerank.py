@@ -80,5 +80,7 @@ def pagerank(verts: DataFrame, edges: DataFrame, alpha: float = PAGERANK_ALPHA,
             break
     if tol is None:
         info.converged = True
-    result = ranks.select("username", F.col("rank").alias("pagerank"))
+    # The result lives in the shared checkpoint folder; every cached round is released.
+    result = ranks.select("username", F.col("rank").alias("pagerank")).checkpoint(eager=True)
+    mat.close()
     return result, info

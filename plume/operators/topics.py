@@ -8,13 +8,13 @@ passes through the driver.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plume.functions.columns import argmax_index, percent
+from plume.session import work_dir
 from plume.operators.text import collect_vocabulary, count_vectors, select_vocabulary, term_stats, tokenized
 from plume.schemas import (
     BOW_MAX_DF, BOW_MAX_FEATURES, BOW_MIN_DF, LDA_MAX_ITER, LDA_SEED, LDA_TOPICS, LDA_WORDS, TOPIC_LABELS,
@@ -39,8 +39,10 @@ def bow_vocabulary(corpus: DataFrame) -> DataFrame:
 def fit_lda(corpus: DataFrame, k: int = LDA_TOPICS, max_iter: int = LDA_MAX_ITER, seed: int = LDA_SEED):
     """Fit LDA; returns ``(model, terms, vectors)`` where ``vectors`` holds the count vectors."""
     terms = collect_vocabulary(bow_vocabulary(corpus))
-    # Every optimiser round reads the whole corpus: keep the count vectors instead of re-deriving them.
-    vecs = count_vectors(corpus, terms, out="features").select("id", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    # Every optimiser round reads the whole corpus: write the count vectors once to the shared checkpoint
+    # folder instead of re-deriving them each round (and without pinning them in executor memory).
+    work_dir(corpus.sparkSession)
+    vecs = count_vectors(corpus, terms, out="features").select("id", "features").checkpoint(eager=True)
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", subsamplingRate=1.0,
               learningOffset=1.0, optimizeDocConcentration=False, featuresCol="features")
     model = lda.fit(vecs)

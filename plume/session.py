@@ -26,11 +26,17 @@ DEFAULTS = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "plume") -> SparkSession:
-    """Create (or reuse) a session with the engine defaults applied."""
+                  app_name: str = "plume", driver_memory: str | None = "8g") -> SparkSession:
+    """Create (or reuse) a session with the engine defaults applied.
+
+    ``driver_memory`` only takes effect when this call starts the JVM (local mode: the driver JVM also
+    runs the tasks, and the 1 GB default leaves little room for shuffle and cached rounds).
+    """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+    if driver_memory:
+        b = b.config("spark.driver.memory", driver_memory)
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions:
