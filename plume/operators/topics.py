@@ -36,13 +36,20 @@ def bow_vocabulary(corpus: DataFrame) -> DataFrame:
     return select_vocabulary(term_stats(corpus), n_docs, BOW_MAX_FEATURES, BOW_MIN_DF, BOW_MAX_DF)
 
 
-def fit_lda(corpus: DataFrame, k: int = LDA_TOPICS, max_iter: int = LDA_MAX_ITER, seed: int = LDA_SEED):
+def fit_lda(corpus: DataFrame, k: int = LDA_TOPICS, max_iter: int = LDA_MAX_ITER, seed: int = LDA_SEED,
+            vecs_partitions: int | None = None):
     """Fit LDA; returns ``(model, terms, vectors)`` where ``vectors`` holds the count vectors."""
-    terms = collect_vocabulary(bow_vocabulary(corpus))
-    # Every optimiser round reads the whole corpus: write the count vectors once to the shared checkpoint
-    # folder instead of re-deriving them each round (and without pinning them in executor memory).
+    # The vocabulary pass and the vector pass both read the tokens: write ``(id, tokens)`` once to the
+    # shared checkpoint folder.  Every optimiser round then reads the whole corpus again, so the count
+    # vectors are written once as well (not re-derived each round, and not pinned in executor memory).
     work_dir(corpus.sparkSession)
-    vecs = count_vectors(corpus, terms, out="features").select("id", "features").checkpoint(eager=True)
+    corpus = corpus.select("id", "tokens").checkpoint(eager=True)
+    terms = collect_vocabulary(bow_vocabulary(corpus))
+    # Document lengths vary by orders of magnitude: spread the vectors round-robin over several partitions
+    # per core so every round's E-step is balanced.
+    parts = max(vecs_partitions or 0, 4 * corpus.sparkSession.sparkContext.defaultParallelism)
+    vecs = (count_vectors(corpus, terms, out="features").select("id", "features").repartition(parts)
+            .checkpoint(eager=True))
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", subsamplingRate=1.0,
               learningOffset=1.0, optimizeDocConcentration=False, featuresCol="features")
     model = lda.fit(vecs)
