@@ -51,13 +51,14 @@ def pagerank(verts: DataFrame, edges: DataFrame, alpha: float = PAGERANK_ALPHA,
     vd = mat.step(verts.select("username").join(out_w.select(F.col("source_user").alias("username"),
                                                               F.lit(False).alias("__has_out")), "username", "left")
                   .select("username", F.col("__has_out").isNull().alias("dangling")))
-    n = vd.count()
+    # Vertex count and the start's dangling mass (each vertex starts at 1/N) in one job.
+    n, n_dangling = vd.agg(F.count(F.lit(1)), F.count_if(F.col("dangling"))).first()
     if n == 0:
         mat.close()
         return spark.createDataFrame([], "username string, pagerank double"), PageRankInfo(0, True, 0.0)
 
     ranks = vd.select("username", "dangling", F.lit(1.0 / n).alias("rank"))
-    dangling_mass = ranks.agg(F.sum(F.when(F.col("dangling"), F.col("rank")).otherwise(0.0))).first()[0] or 0.0
+    dangling_mass = n_dangling * (1.0 / n)
     info = PageRankInfo(0, False, float("inf"))
     for it in range(1, max_iter + 1):
         # Contributions and the vertex rows meet in one aggregate: no join back to the vertex table.
