@@ -49,3 +49,19 @@ def test_run_batch_end_to_end(spark, tmp_dir):
         assert f.readline().strip() == "username,degree,in_degree,out_degree,pagerank,community_id"
     for name in ("post_topics", "topic_share", "post_sentiment", "eval_lr_report", "subgraph_edges"):
         assert read_dataset(spark, out, name).count() > 0
+
+
+def test_optional_inputs_and_empty_export(spark, tmp_dir):
+    from plume.operators import graph as G
+    from plume.sources.files import export_csv, read_optional, write_dataset
+    assert read_optional(spark, tmp_dir, "missing") is None
+    posts = spark.createDataFrame([(1, "a", None, ["b"])],
+                                  "id long, username string, inReplyToTweetId long, mentions_array array<string>")
+    nodes = G.user_nodes(posts)  # no KPI table: typed nulls keep the schema stable
+    assert nodes.schema.simpleString() == "struct<username:string,tweets_count:bigint,engagement_sum:bigint>"
+    assert rows(nodes) == [("a", None, None), ("b", None, None)]
+    write_dataset(nodes, tmp_dir, "nodes")
+    assert read_optional(spark, tmp_dir, "nodes").count() == 2
+    empty = nodes.filter("username = 'zzz'")
+    assert export_csv(empty, tmp_dir + "/empty_csv", ["username"]) is False
+    assert not os.path.exists(tmp_dir + "/empty_csv")
