@@ -26,7 +26,8 @@ DEFAULTS = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "plume", driver_memory: str | None = "8g") -> SparkSession:
+                  app_name: str = "plume", driver_memory: str | None = "8g",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine defaults applied.
 
     ``driver_memory`` only takes effect when this call starts the JVM (local mode: the driver JVM also
@@ -37,6 +38,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.master(master)
     if driver_memory:
         b = b.config("spark.driver.memory", driver_memory)
+    for k, v in (extra or {}).items():
+        b = b.config(k, v)
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions:
