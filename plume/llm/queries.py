@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from . import decontam
+from .decontam import op5_decontaminate
 from .simhash import op2_simhash_pivots
 
-QUERIES = {f.__name__: f for f in (op2_simhash_pivots,)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_simhash_pivots, op5_decontaminate)}
+SQL: dict[str, str] = {"op5_decontaminate": decontam.SQL}
