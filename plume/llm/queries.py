@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from . import decontam
 from .decontam import op5_decontaminate
+from .pii import op9_pii
 from .simhash import op2_simhash_pivots
 
-QUERIES = {f.__name__: f for f in (op2_simhash_pivots, op5_decontaminate)}
+QUERIES = {f.__name__: f for f in (op2_simhash_pivots, op5_decontaminate, op9_pii)}
 SQL: dict[str, str] = {"op5_decontaminate": decontam.SQL}
