@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plume.session import apply_defaults, work_dir
 
@@ -43,3 +47,24 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def append(df: DataFrame, col: str, add: str, make: Callable[[], Callable[[list], list[list]]],
+           drop: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` without ``drop`` plus the columns ``add`` (DDL), computed from ``col`` batch by batch.
+
+    ``make`` runs once a task and gives a function from the values of ``col`` to one list per new column.  The
+    other columns stay Arrow columns, so their types and nulls are untouched.
+    """
+    new = StructType.fromDDL(add)
+    keep = [c for c in df.columns if c not in drop and c not in new.names]
+    schema = StructType([df.schema[c] for c in keep] + list(new))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+        fn = make()
+        for b in batches:
+            got = fn(b.column(col).to_pylist())
+            cols = [b.column(c) for c in keep] + [pa.array(v, to_arrow_type(f.dataType)) for f, v in zip(new, got)]
+            yield pa.RecordBatch.from_arrays(cols, [*keep, *new.names])
+    return df.select(*dict.fromkeys([*keep, col])).mapInArrow(run, schema)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from . import decontam
 from .decontam import op5_decontaminate
+from .langid import op7_langid_ranks
+from .mixing import op6_mix_pivotal
 from .pii import op9_pii
 from .simhash import op2_simhash_pivots
 
-QUERIES = {f.__name__: f for f in (op2_simhash_pivots, op5_decontaminate, op9_pii)}
+QUERIES = {f.__name__: f for f in (op2_simhash_pivots, op5_decontaminate, op6_mix_pivotal, op7_langid_ranks,
+                                 op9_pii)}
 SQL: dict[str, str] = {"op5_decontaminate": decontam.SQL}

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import append, cut, table
 from .components import components
 
 SHINGLE = 3
@@ -53,12 +53,8 @@ def _signed(x: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, fp)``: signed SimHash of every row's whole text (null and word-less texts: 0)."""
-    def run(batches):
-        for b in batches:
-            b["fp"] = [_signed(fingerprint(t, shingle)) for t in b.pop("t")]
-            yield b
-    return (docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("t"))
-            .mapInPandas(run, "doc_id long, fp long"))
+    return append(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("t")),
+                  "t", "fp long", lambda: lambda ts: [[_signed(fingerprint(t, shingle)) for t in ts]], drop=("t",))
 
 
 def pivot_table(fps: DataFrame) -> DataFrame:
