@@ -7,8 +7,11 @@ from .decontam import op5_decontaminate
 from .langid import op7_langid_ranks
 from .mixing import op6_mix_pivotal
 from .pii import op9_pii
+from .quality import op10_quality_vectors
 from .simhash import op2_simhash_pivots
+from .spotsigs import op1_spotsigs
 
-QUERIES = {f.__name__: f for f in (op2_simhash_pivots, op5_decontaminate, op6_mix_pivotal, op7_langid_ranks,
-                                 op9_pii)}
+QUERIES = {f.__name__: f for f in (
+    op1_spotsigs, op2_simhash_pivots, op5_decontaminate, op6_mix_pivotal, op7_langid_ranks, op9_pii,
+    op10_quality_vectors)}
 SQL: dict[str, str] = {"op5_decontaminate": decontam.SQL}
