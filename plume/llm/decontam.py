@@ -79,7 +79,7 @@ def occurrences(docs: DataFrame, prefix: DataFrame, n_windows: int, text: str =
                 .withColumn("ws", F.slice("ws", F.col("from") + 1, F.lit(2 * WINDOW - 1))))
         at = F.col("pos") - F.col("offset") - F.col("from") + 1
         met = each.join(prefix, (F.lower("w") == F.col("token")) & fits & (wide >= 0))
-    same = ascii_lower(F.array_join(F.slice("ws", at, F.col("k")), " ")) == F.col("win")
+    same = ascii_lower(F.array_join(F.slice("ws", F.greatest(at, F.lit(1)), F.col("k")), " ")) == F.col("win")
     return met.where(same).select("__id", "__h", (F.col("pos") - F.col("offset")).alias("at"), "k", "win")
 
 
