@@ -10,8 +10,9 @@ from .pii import op9_pii
 from .quality import op10_quality_vectors
 from .simhash import op2_simhash_pivots
 from .spotsigs import op1_spotsigs
+from .suffixes import op8_suffixes
 
 QUERIES = {f.__name__: f for f in (
-    op1_spotsigs, op2_simhash_pivots, op5_decontaminate, op6_mix_pivotal, op7_langid_ranks, op9_pii,
-    op10_quality_vectors)}
+    op1_spotsigs, op2_simhash_pivots, op5_decontaminate, op6_mix_pivotal, op7_langid_ranks, op8_suffixes,
+    op9_pii, op10_quality_vectors)}
 SQL: dict[str, str] = {"op5_decontaminate": decontam.SQL}
