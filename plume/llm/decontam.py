@@ -83,13 +83,14 @@ def occurrences(docs: DataFrame, prefix: DataFrame, n_windows: int, text: str =
     return met.where(same).select("__id", "__h", (F.col("pos") - F.col("offset")).alias("at"), "k", "win")
 
 
-def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
+                  keyed: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     Contaminated: some word is hit, and hit words are at least one in twenty.  Null, empty and word-less texts
     have no words and are clean; items without words (or a null text) match nothing; an item with a null id
     hits words but is not counted or named; repeated rows give repeated result rows; an empty benchmark makes
-    every document clean; other columns are ignored.
+    every document clean; other columns are ignored.  ``keyed`` adds the row's key (see ``row_key``).
     """
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     wins = cut(windows(items))
@@ -110,15 +111,24 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     per_row = docs.select("doc_id", *row_key(), _count(_split(F.col("text"))).alias("n_words"))
     facts = hits.join(named, row, "left")
     none = F.array().cast("array<string>")
+    keys = row if keyed else []
     out = per_row.join(facts, row, "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        *keys, "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", none).alias("items"))
     return out.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        *keys, "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, all columns, that are not contaminated."""
+    found = contamination(docs, items, key, text, keyed=True)
+    bad = cut(found.where("contaminated").select(F.col("__id").alias("__bad_id"), F.col("__h").alias("__bad_h")).distinct())
+    row_id, row_h = row_key(key, text)
+    return docs.join(small(bad, bad.count()), (row_id == F.col("__bad_id")) & (row_h == F.col("__bad_h")), "left_anti")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words, items and verdict for every document."""
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

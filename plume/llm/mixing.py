@@ -35,9 +35,10 @@ ROW = "doc_id string, size long, src long, source_size long, target double, rest
 
 
 def sizes(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``(doc_id, source, size)``: words of every text (null and empty: 0)."""
+    """``(doc_id, source, size)``: words of every text (null and empty: 0); ids as strings, since a null would
+    turn pandas' whole numbers into floats."""
     return docs.select(
-        F.col(key).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
+        F.col(key).cast("string").alias("doc_id"), F.col(source).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"))
 
 
@@ -128,7 +129,6 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
             .withColumn("whole", F.floor(copies + EPS).cast("long"))
             .withColumn("rest", F.greatest(copies - F.col("whole"), F.lit(0.0)))
             .withColumn("h", F.xxhash64("doc_id", "size", F.lit(SEED)))
-            .withColumn("doc_id", F.col("doc_id").cast("string"))  # a null would make pandas' whole numbers floats
             .withColumn("buckets", F.ceil(F.col("n_docs") / bucket)))
     names = ["doc_id", "size", "src", "source_size", "target", "rest", "whole", "h"]
     now = rows.select(*names, F.pmod("h", "buckets").alias("b"), "buckets")
@@ -145,10 +145,25 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         parts = -(-parts // bucket)
         now = (rounded.where(~whole).withColumn("buckets", F.ceil(F.col("buckets") / bucket))
                .withColumn("b", F.pmod(F.col("b"), F.col("buckets"))).select(*names, "b", "buckets"))
-    return done.select(F.col("doc_id").cast("long").alias("doc_id"), "size", "source_size", "target",
+    return done.select(F.col("doc_id").cast(docs.schema[key].dataType).alias("doc_id"), "size", "source_size", "target",
                        ((F.col("whole") + F.col("rest").cast("long")) * F.col("size")).alias("taken"))
 
 
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The rows of ``docs`` that the mix takes, all columns, with size, source_size, target, taken and copies.
+
+    Columns of these names are replaced.  Rows that share an id are told apart by text, source and number.
+    """
+    rows = docs.drop("size", "source_size", "target", "taken", "copies")
+    name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    if docs.groupBy(key).count().where("count > 1").limit(1).count():
+        same = [F.xxhash64(text), F.xxhash64(source)]
+        name = F.concat_ws(":", name, *same, F.row_number().over(Window.partitionBy(key, *same).orderBy(key)))
+    rows = rows.withColumn("__key", name)
+    got = mix(rows, "__key", text, source).where("taken > 0").withColumnRenamed("doc_id", "__key")
+    return rows.join(got.withColumn("copies", (F.col("taken") / F.col("size")).cast("int")), "__key").drop("__key")
+
+
 def op6_mix_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents: 150 % of their words over sources weighing 3, 1, 2."""
     return mix(table(spark, sf_dir, "documents"))

@@ -11,8 +11,10 @@ from .quality import op10_quality_vectors
 from .simhash import op2_simhash_pivots
 from .spotsigs import op1_spotsigs
 from .suffixes import op8_suffixes
+from .urls import op4_url_models
+from .wrappers import op3_wrappers
 
 QUERIES = {f.__name__: f for f in (
-    op1_spotsigs, op2_simhash_pivots, op5_decontaminate, op6_mix_pivotal, op7_langid_ranks, op8_suffixes,
-    op9_pii, op10_quality_vectors)}
+    op1_spotsigs, op2_simhash_pivots, op3_wrappers, op4_url_models, op5_decontaminate, op6_mix_pivotal,
+    op7_langid_ranks, op8_suffixes, op9_pii, op10_quality_vectors)}
 SQL: dict[str, str] = {"op5_decontaminate": decontam.SQL}

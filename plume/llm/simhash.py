@@ -135,6 +135,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
+def one_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+             key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that name their group: one row of each group stays."""
+    found = near_duplicates(docs, shingle, max_bits, key, text)
+    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("__head")).distinct()
+    kept = docs.join(heads, F.col(key).cast("long").eqNullSafe(F.col("__head")), "left_semi")
+    twice = docs.groupBy(key).count().where("count > 1").limit(1).count()
+    return kept.dropDuplicates([key]) if twice else kept  # ids that occur twice name several rows
+
+
 def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents (3-word shingles, at most 2 differing bits)."""
     out = near_duplicates(table(spark, sf_dir, "documents"))
