@@ -10,7 +10,7 @@
 3. Each slot of a wrapper knows over all pages how much text and linked text it held and whether it ever changed.
    Slots under furniture (navigation, footers, forms, adverts, comments and the like, by tag or class word), slots
    of links, and slots whose text never changes are template; the main region is the wrapper's article or main
-   element, else the smallest element with most of the other text.
+   element, else the smallest container with most of the other text.
 4. Each skeleton is aligned with its host's wrapper, and a page keeps the blocks of its main slots.
 """
 
@@ -43,6 +43,7 @@ LEFT_OUT = frozenset("""head script style noscript template textarea select opti
 audio video map title""".split())
 NEVER_CLOSED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                 "th": {"td", "th"}}
+CONTAINERS = frozenset("#root html body div section center td".split())
 FURNITURE_TAGS = frozenset("nav header footer aside form fieldset legend label dialog menu".split())
 FURNITURE_WORDS = frozenset("""ad ads adv advert advertisement advertising sponsor sponsored banner promo promotion cookie
 cookies consent gdpr notice notices notification alert comment comments reply replies respond disqus discussion share
@@ -204,7 +205,7 @@ def _is_furniture(label: str, in_article: bool) -> bool:
 
 def main_slots(wrapper: list) -> list[bool]:
     """For each slot of a wrapper, in order, whether it belongs to the main text."""
-    slots, regions = [], []
+    slots, regions, containers = [], [], []
 
     def walk(node, path, furniture, semantic):
         label = node[0]
@@ -216,8 +217,10 @@ def main_slots(wrapper: list) -> list[bool]:
         tag = label.split(".")[0]
         furniture = furniture or _is_furniture(label, semantic)
         semantic = semantic or (not furniture and tag in ("article", "main"))
-        here = (*path, len(regions))
+        here = (*path, len(regions))  # a number of its own, so a path is a prefix of its descendants'
         regions.append(here)
+        if tag in CONTAINERS:
+            containers.append(here)
         for k in node[2]:
             walk(k, here, furniture, semantic)
     walk(wrapper, (), False, False)
@@ -225,7 +228,7 @@ def main_slots(wrapper: list) -> list[bool]:
         return [s[1] and s[2] for s in slots]
     total = sum(s[4] for s in slots if s[3])
     region = ()
-    for r in regions:  # the deepest element that still holds most of the free text
+    for r in containers:  # the deepest that still holds most of the free text
         if sum(s[4] for s in slots if s[3] and s[0][:len(r)] == r) >= REGION_SHARE * total and len(r) > len(region):
             region = r
     return [s[3] and s[0][:len(region)] == region for s in slots]
