@@ -1,19 +1,11 @@
-"""Column expressions: every scalar operator is a JVM-side expression.
-
-Nothing here leaves whole-stage codegen except ``mentions_array_exact`` (an
-Arrow-batched pandas UDF kept for inputs the native parser cannot judge).
-"""
+"""Column expressions: every scalar operator is a JVM-side expression."""
 
 from __future__ import annotations
 
-import ast
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
-from plume.schemas import HASHTAG_STRIP_PATTERN, LABEL_TO_ID, SENTIMENT_NEG, SENTIMENT_POS, USERNAME_PATTERN
+from plume.schemas import HASHTAG_NOISE, LABEL_TO_ID, SENTIMENT_NEG, SENTIMENT_POS, USERNAME_PATTERN
 
 COUNTERS = ["replyCount", "retweetCount", "likeCount", "quoteCount"]
 
@@ -58,52 +50,36 @@ def username_from_user(c="user") -> Column:
 
 
 def hashtags_array(c="hashtags") -> Column:
-    """Hashtag text -> array: strip brackets, quotes, backticks and all whitespace, split on commas, drop ``''``."""
-    s = F.regexp_replace(F.coalesce(_c(c), F.lit("")), HASHTAG_STRIP_PATTERN, "")
-    s = F.regexp_replace(s, r"\s+", "")
-    return F.array_remove(F.split(F.trim(s), ","), "")
+    """Hashtag text -> array: list marks, quotes and white space go, commas part the tags, empty ones drop."""
+    bare = F.regexp_replace(F.coalesce(_c(c), F.lit("")), HASHTAG_NOISE, "")
+    return F.filter(F.split(bare, ","), lambda t: t != "")
 
 
-# A literal list/dict text: opens and closes with the same kind of bracket ...
-_LITERAL_SHAPE = r"(?s)^[ \t]*(\[.*\]|\{.*\})\s*$"
-# ... and holds no call such as ``User(...)`` right after a structural character.
-_CALL_INSIDE = r"[:,\[{]\s*[A-Za-z_][\w.]*\("
+# One whole string literal of either quote kind, escapes included (possessive: linear on any input).
+_STR = r"""(?:'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+")"""
+# A literal once its strings are masked: brackets, numbers and the constants, no names and so no calls.
+_LITERAL = r"(?s)^[ \t]*(?:\[.*\]|\{.*\})\s*$"
+_PLAIN = r"^(?:[\s,:\[\]{}().+0-9eE_-]|S|None|True|False)*$"
+_NESTED = (r"(:\s*)(?:\{(?:[^{}'\"]++|" + _STR + r")*+\}|\[(?:[^\[\]'\"]++|" + _STR + r")*+\])")
+_PAIR = rf"(?s){_STR}(?:\s*:\s*{_STR})?+"
+_NAME_PAIR = rf"(?s)^(?:'username'|\"username\")\s*:\s*(?:'(.*)'|\"(.*)\")$"
 
 
 def mentions_array(c="mentionedUsers") -> Column:
-    """Mentioned usernames of a list-of-dicts text (a single dict counts as a list).
+    """Mentioned usernames of a text that holds a list of dicts, or one dict.
 
-    Null, empty, unparsable or call-holding text gives ``[]``; items without a
-    non-empty ``username`` are skipped.  Native (regex) reading of the literal.
+    The text is read as whole string literals, so quotes, brackets and keys inside other fields mean nothing.
+    Null, empty and free text, open lists, and texts with names or calls outside their strings give ``[]``;
+    dicts inside a field's value are no items; items without a non-empty text as ``username`` are skipped.
     """
-    raw = _c(c)
-    looks_literal = raw.rlike(_LITERAL_SHAPE) & ~raw.rlike(_CALL_INSIDE)
-    names = F.regexp_extract_all(raw, F.lit(USERNAME_PATTERN), 1)
-    return F.when(raw.isNotNull() & looks_literal, names).otherwise(F.array().cast(ArrayType(StringType())))
-
-
-def _parse_mentions(raw) -> list[str]:
-    if raw is None:
-        return []
-    try:
-        data = ast.literal_eval(raw)
-    except Exception:
-        return []
-    if isinstance(data, dict):
-        data = [data]
-    if not isinstance(data, (list, tuple)):
-        return []
-    return [str(u["username"]) for u in data if isinstance(u, dict) and u.get("username")]
-
-
-@F.pandas_udf(ArrayType(StringType()))
-def _mentions_exact_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: _parse_mentions(None if v is None or v is pd.NA else v))
-
-
-def mentions_array_exact(c="mentionedUsers") -> Column:
-    """Same as :func:`mentions_array` but reads the text with a real literal parser (Arrow UDF)."""
-    return _mentions_exact_udf(_c(c))
+    raw = F.coalesce(_c(c), F.lit(""))
+    masked = F.regexp_replace(raw, f"(?s){_STR}", "S")
+    literal = masked.rlike(_LITERAL) & masked.rlike(_PLAIN)
+    flat = F.regexp_replace(F.regexp_replace(raw, f"(?s){_NESTED}", "$1None"), f"(?s){_NESTED}", "$1None")
+    pairs = F.regexp_extract_all(flat, F.lit(_PAIR), 0)
+    values = F.transform(F.filter(pairs, lambda p: p.rlike(_NAME_PAIR)), lambda p: F.regexp_replace(F.concat(
+        F.regexp_extract(p, _NAME_PAIR, 1), F.regexp_extract(p, _NAME_PAIR, 2)), r"(?s)\\(.)", "$1"))
+    return F.when(literal, F.filter(values, lambda v: v != "")).otherwise(F.array().cast("array<string>"))
 
 
 def clean_text(c) -> Column:

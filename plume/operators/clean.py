@@ -6,30 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plume.functions.columns import (
-    COUNTERS, engagement_safe, hashtags_array, mentions_array, mentions_array_exact, py_strip, username_from_user,
+    COUNTERS, engagement_safe, hashtags_array, mentions_array, py_strip, username_from_user,
 )
 from plume.schemas import KEEP_COLUMNS
 
 
-def keep_best_per_key(df: DataFrame, key: str | list[str], order: list[Column]) -> DataFrame:
-    """One row per key: the row with the largest ``order`` tuple; a 64-bit hash of the whole row
+def keep_best_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """One row per key: the row with the largest ``order`` tuple; a 64-bit hash of the row's other columns
     (null flags included) breaks the remaining ties, so the survivor is the same on every run.
 
-    An aggregate, not a window: partial aggregation combines a key's rows
-    map-side, so a key holding a third of all rows is reduced before the
-    shuffle and never lands whole in one task.  Each column is its own
-    ``max_by(column, order)``, so columns a query does not use are pruned
-    before the shuffle (only the key, the order tuple and the used columns
-    travel).  Copies that differ never tie (up to a 2^-64 hash collision);
-    identical copies give identical columns.
+    An aggregate, not a window: partial aggregation combines a key's rows map-side, so a key holding a third of
+    all rows is reduced before the shuffle and never lands whole in one task.  One ``max_by`` carries the row as
+    one struct and the order once; select the columns a query needs before calling, the rest never travels.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    payload = [c for c in df.columns if c not in keys]
+    payload = [c for c in df.columns if c != key]
     cols = [F.col(f"`{c}`") for c in payload]
     row_hash = F.xxhash64(*[x for c in cols for x in (c, c.isNull())])
     ordering = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], row_hash.alias("__h"))
-    d = df.withColumn("__ord", ordering)  # computed once per row, shared by every max_by
-    return d.groupBy(*keys).agg(*[F.max_by(F.col(f"`{n}`"), F.col("__ord")).alias(n) for n in payload])
+    best = df.groupBy(key).agg(F.max_by(F.struct(*cols), ordering).alias("__row"))
+    return best.select(key, *[F.col(f"__row.`{c}`").alias(c) for c in payload])
 
 
 def keep_columns(df: DataFrame, columns=KEEP_COLUMNS) -> DataFrame:
@@ -49,7 +44,8 @@ def ingest_filter(raw: DataFrame, lang: str | None = "en") -> DataFrame:
         df = df.withColumn("content", F.coalesce(py_strip(F.col("content")), F.lit("nan")))
         df = df.filter(F.length("content") > 5)
     if "id" in df.columns:
-        df = keep_best_per_key(df, "id", [])
+        # Latest date first, then the greatest text: a stated order instead of the order of reading.
+        df = keep_best_per_key(df, "id", [F.col(c) for c in ("date", "content") if c in df.columns])
     return df
 
 
@@ -85,27 +81,25 @@ def typed_posts(raw: DataFrame) -> DataFrame:
     )
 
 
-def dedup_posts(df: DataFrame) -> DataFrame:
-    """One post per id: a copy with text wins, then the latest date, then the larger engagement.
+# What each column of ``posts_clean`` is made from.
+DERIVED = {"username": "user", "hashtags_array": "hashtags", "mentions_array": "mentionedUsers"}
+POST_COLUMNS = ["id", "date", "content", "lang", *COUNTERS, "conversationId", "inReplyToTweetId", "url", "engagement",
+                *DERIVED]
 
-    ``has_content`` travels as its own column so the later text filter does not pull the text itself
-    through the shuffle when a query never reads it."""
-    d = df.withColumn("has_content", F.col("content").isNotNull())
-    return keep_best_per_key(d, "id", [F.col("has_content"), F.col("date"), F.col("engagement")])
 
+def clean_posts(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``posts_clean``: typed, engagement (null-safe), one post per id (a copy with text wins, then the latest
+    date, then the larger engagement), text not null, author name, hashtag and mention arrays.
 
-def clean_posts(raw: DataFrame, exact_mentions: bool = False) -> DataFrame:
-    """``posts_clean``: typed, engagement (null-safe), deduplicated on id, text not null,
-    author name, hashtag and mention arrays."""
-    df = typed_posts(raw).withColumn("engagement", engagement_safe())
-    df = dedup_posts(df).filter(F.col("has_content"))
-    mentions = mentions_array_exact() if exact_mentions else mentions_array()
-    return df.select(
-        "id", "date", "content", "lang", *COUNTERS, "conversationId", "inReplyToTweetId", "url", "engagement",
-        username_from_user("user").alias("username"),
-        hashtags_array("hashtags").alias("hashtags_array"),
-        mentions.alias("mentions_array"),
-    )
+    ``columns`` (with ``id``) limits the result: only what those columns are made from passes the dedup shuffle.
+    """
+    columns = columns or POST_COLUMNS
+    df = typed_posts(raw).withColumn("engagement", engagement_safe()).withColumn("has_content", F.col("content").isNotNull())
+    needed = dict.fromkeys(["id", "has_content", "date", "engagement", *[DERIVED.get(c, c) for c in columns]])
+    df = keep_best_per_key(df.select(*needed), "id", [F.col(c) for c in ("has_content", "date", "engagement")])
+    made = {"username": username_from_user, "hashtags_array": hashtags_array, "mentions_array": mentions_array}
+    return df.filter(F.col("has_content")).select(
+        *[made[c](DERIVED[c]).alias(c) if c in made else F.col(c) for c in columns])
 
 
 def hashtags_exploded(posts: DataFrame) -> DataFrame:

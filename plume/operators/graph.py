@@ -43,15 +43,15 @@ def reply_edges(posts: DataFrame) -> DataFrame:
     replies = (p.filter(F.col("inReplyToTweetId").isNotNull())
                .groupBy("inReplyToTweetId", F.col("username").alias("source_user"))
                .agg(F.count(F.lit(1)).alias("weight")))
-    originals = p.select(F.col("id").alias("orig_tweet_id"), F.col("username").alias("target_user"))
-    j = replies.join(originals, replies["inReplyToTweetId"] == originals["orig_tweet_id"], "inner")
+    answered = p.select(F.col("id").alias("inReplyToTweetId"), F.col("username").alias("target_user"))
+    j = replies.join(answered, "inReplyToTweetId")
     pairs = j.groupBy("source_user", "target_user").agg(F.sum("weight").cast("long").alias("weight"))
     return pairs.select("source_user", "target_user", F.lit("reply").alias("type"), "weight")
 
 
 def user_edges(posts: DataFrame) -> DataFrame:
     """Mention and reply edges summed per (source, target, type)."""
-    raw = mention_edges(posts).unionByName(reply_edges(posts), allowMissingColumns=True)
+    raw = mention_edges(posts).unionByName(reply_edges(posts))
     return raw.groupBy("source_user", "target_user", "type").agg(F.sum("weight").cast("long").alias("weight"))
 
 

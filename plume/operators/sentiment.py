@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plume.functions.columns import clean_text, label_id, label_name
-from plume.operators.text import collect_vocabulary, select_vocabulary, smooth_idf, term_stats, tfidf_stages, tokenized
+from plume.operators.text import balanced, collect_vocabulary, select_vocabulary, smooth_idf, term_stats, tfidf_stages, tokenized
+from plume.session import work_dir
 from plume.schemas import LABEL_TO_ID, SENTIMENT_CLASSES, SPLIT_SEED, SPLIT_TEST_FRACTION, TFIDF_MAX_FEATURES
 
 
@@ -21,13 +22,15 @@ def label_prep(labelled: DataFrame) -> DataFrame:
 
 
 def label_audit(labelled: DataFrame, group_col: str | None = "topic") -> DataFrame:
-    """Label frequencies (nulls dropped) overall (``group = '*'``) and per ``group_col``."""
+    """Label frequencies (nulls dropped) overall (``group = '*'``) and per ``group_col``, the most frequent first.
+
+    ``group_col="source_file"`` (see ``read_labelled_csv``) audits each input file by itself."""
     d = labelled.filter(F.col("sentiment").isNotNull())
     overall = d.groupBy(F.lit("*").alias("group"), "sentiment").agg(F.count(F.lit(1)).alias("count"))
     if group_col is None:
         return overall
     per = d.groupBy(F.col(group_col).cast("string").alias("group"), "sentiment").agg(F.count(F.lit(1)).alias("count"))
-    return overall.unionByName(per)
+    return overall.unionByName(per).orderBy("group", F.desc("count"), "sentiment")
 
 
 def stratified_split(df: DataFrame, label_col: str = "label", key_col: str = "id",
@@ -36,23 +39,28 @@ def stratified_split(df: DataFrame, label_col: str = "label", key_col: str = "id
     """Add ``split`` (``train`` / ``test``): per class, the ``round(fraction * n_class)`` rows with the
     smallest ``md5('<seed>-<key>')`` are the test set.
 
-    Exact per-class ranks without a per-class window (a class may hold most
-    rows): rows are bucketed by the hash prefix, bucket sizes (classes x 16^k
-    rows, a bounded table) give each bucket's offset, and only rows of one
-    (class, bucket) — a 1/16^k slice — are ranked together.
+    Exact without ranking a class (one may hold most rows): keys are bucketed by the hash prefix, and bucket
+    sizes (classes x 16^k rows, a bounded table) tell for every bucket but one of a class on which side it lies.
+    Only the keys of that one bucket, a 1/16^k slice, are ranked, to find the last test key; texts are never
+    sorted or shuffled.  Only ids and hashes are written to the checkpoint folder in between.
     """
+    work_dir(df.sparkSession)
     h = F.md5(F.concat(F.lit(f"{seed}-"), F.col(key_col).cast("string")))
-    d = df.withColumn("__h", h).withColumn("__b", F.conv(F.substring("__h", 1, buckets_hex), 16, 10).cast("int"))
-    cnt = d.groupBy(label_col, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(label_col).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    cnt = (cnt.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-           .withColumn("__total", F.sum("__n").over(Window.partitionBy(label_col))))
-    j = d.join(F.broadcast(cnt.select(label_col, "__b", "__before", "__total")), [label_col, "__b"])
-    rank = F.col("__before") + F.row_number().over(Window.partitionBy(label_col, "__b").orderBy("__h", key_col))
-    n_test = F.round(F.lit(test_fraction) * F.col("__total"))
-    out = j.withColumn("__rank", rank)
-    return out.withColumn("split", F.when(F.col("__rank") <= n_test, "test").otherwise("train")).drop(
-        "__h", "__b", "__before", "__total", "__rank")
+    bucket = F.conv(F.substring(h, 1, buckets_hex), 16, 10).cast("int")
+    keys = df.select(F.col(label_col).alias("__l"), F.col(key_col).alias("__k"), h.alias("__h"),
+                     bucket.alias("__b")).checkpoint(eager=True)
+    sizes = keys.groupBy("__l", "__b").agg(F.count(F.lit(1)).alias("__n"))
+    upto = Window.partitionBy("__l").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = sizes.withColumn("__upto", F.sum("__n").over(upto)).withColumn(
+        "__test", F.round(F.lit(test_fraction) * F.sum("__n").over(Window.partitionBy("__l"))))
+    edge = (sizes.where((F.col("__upto") >= F.col("__test")) & (F.col("__upto") - F.col("__n") < F.col("__test")))
+            .select("__l", "__b", (F.col("__test") - F.col("__upto") + F.col("__n")).alias("__left")))
+    at = F.row_number().over(Window.partitionBy("__l").orderBy("__h", "__k"))
+    last = (keys.join(F.broadcast(edge), ["__l", "__b"]).withColumn("__at", at).where(F.col("__at") == F.col("__left"))
+            .select("__l", F.struct("__h", "__k").alias("__last")))
+    mine = F.struct(h.alias("__h"), F.col(key_col).alias("__k"))
+    return (df.join(F.broadcast(last), F.col(label_col) == F.col("__l"), "left")
+            .withColumn("split", F.when(mine <= F.col("__last"), "test").otherwise("train")).drop("__l", "__last"))
 
 
 # --- TF-IDF + logistic regression ------------------------------------------------------------------------------
@@ -66,8 +74,8 @@ def tfidf_vocabulary(train: DataFrame, text_col: str = "text_clean", max_feature
     return vocab.withColumn("idf", smooth_idf(F.col("doc_freq"), n_docs))
 
 
-def train_classifier(train: DataFrame, text_col: str = "text_clean", max_iter: int = 1000, tol: float = 1e-4,
-                     rows_per_partition: int = 50_000) -> PipelineModel:
+def train_classifier(train: DataFrame, text_col: str = "text_clean", max_iter: int = 1000, tol: float = 1e-4
+                     ) -> PipelineModel:
     """Fit tokens -> TF-IDF (smoothed idf, L2 norm) -> multinomial logistic regression (L2, C = 1).
 
     ``regParam = 1 / n`` is the same penalty as ``C = 1`` on a summed loss; ``tol`` is the usual
@@ -78,17 +86,11 @@ def train_classifier(train: DataFrame, text_col: str = "text_clean", max_iter: i
     feats = tokenized(train, text_col, bigrams=True)
     for st in stages:
         feats = st.transform(feats)
-    n = train.count()
-    # Every optimiser round is one pass over the training rows: size the partitions by rows (~50k per
-    # partition) so small sets do not pay for many near-empty tasks and large sets still spread out.
-    feats = feats.select("features", "label").repartition(max(1, -(-n // rows_per_partition))).persist()
+    feats = balanced(feats.select("features", "label", "tokens"), "tokens").drop("tokens")
+    n = feats.count()
     lr = LogisticRegression(featuresCol="features", labelCol="label", family="multinomial", maxIter=max_iter,
                             regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False, tol=tol)
-    try:
-        lr_model = lr.fit(feats)
-    finally:
-        feats.unpersist()
-    return PipelineModel(stages=stages + [lr_model])
+    return PipelineModel(stages=stages + [lr.fit(feats)])
 
 
 def predict(model: PipelineModel, df: DataFrame, text_col: str = "text_clean") -> DataFrame:

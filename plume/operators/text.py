@@ -9,29 +9,19 @@ collected to the driver to build the feature vectors.
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, StopWordsRemover
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plume.functions.columns import clean_text
+from plume.functions.stopwords import ENGLISH
+from plume.session import work_dir
 
 
-@functools.lru_cache(maxsize=None)
-def stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark's built-in stop-word list, read from the installed Spark ML jar (no JVM needed)."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found")
-    with zipfile.ZipFile(jars[0]) as z:
-        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(w.strip() for w in raw.splitlines() if w.strip())
+def stop_words() -> tuple[str, ...]:
+    """English stop words of every token query."""
+    return ENGLISH
 
 
 def tokens(text: Column) -> Column:
@@ -61,12 +51,12 @@ def tokenized(df: DataFrame, text_col: str, out: str = "tokens", remove_stop_wor
 
 
 def term_stats(docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """``(term, term_freq, doc_freq)`` over all documents, in one aggregate keyed by term."""
-    occ = docs.select(F.explode(tokens_col).alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))
-    per_doc = docs.select(F.explode(F.array_distinct(tokens_col)).alias("term"), F.lit(0).alias("tf"),
-                          F.lit(1).alias("df"))
-    return occ.unionByName(per_doc).groupBy("term").agg(F.sum("tf").cast("long").alias("term_freq"),
-                                                        F.sum("df").cast("long").alias("doc_freq"))
+    """``(term, term_freq, doc_freq)`` over all documents: one tokenisation, one aggregate keyed by term."""
+    def rows(c, tf, df):
+        return F.transform(c, lambda t: F.struct(t.alias("term"), F.lit(tf).alias("tf"), F.lit(df).alias("df")))
+    both = F.concat(rows(F.col(tokens_col), 1, 0), rows(F.array_distinct(tokens_col), 0, 1))
+    return (docs.select(F.explode(both).alias("x")).groupBy(F.col("x.term").alias("term"))
+            .agg(F.sum("x.tf").cast("long").alias("term_freq"), F.sum("x.df").cast("long").alias("doc_freq")))
 
 
 def select_vocabulary(stats: DataFrame, n_docs, max_features: int, min_df: int | None = None,
@@ -102,6 +92,20 @@ def collect_vocabulary(vocab: DataFrame, with_idf: bool = False):
     return (terms, [float(r[2]) for r in rows]) if with_idf else terms
 
 
+TOKENS_PER_PARTITION = 2_000_000
+
+
+def balanced(docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
+    """``docs`` written once for the passes of an iterative fit, dealt into partitions by its number of tokens:
+    one for each core at least, and one for every ``TOKENS_PER_PARTITION`` tokens beyond."""
+    spark = docs.sparkSession
+    work_dir(spark)
+    docs = docs.checkpoint(eager=True)
+    tokens_ = docs.agg(F.sum(F.size(tokens_col))).first()[0] or 0
+    parts = max(spark.sparkContext.defaultParallelism, -(-tokens_ // TOKENS_PER_PARTITION))
+    return docs.repartition(parts).checkpoint(eager=True)
+
+
 def count_vectors(df: DataFrame, terms: list[str], tokens_col: str = "tokens", out: str = "tf") -> DataFrame:
     """Term-count vectors over a fixed vocabulary."""
     model = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens_col, outputCol=out)

@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plume.functions.columns import argmax_index, percent
-from plume.session import work_dir
-from plume.operators.text import collect_vocabulary, count_vectors, select_vocabulary, term_stats, tokenized
+from plume.operators.text import balanced, collect_vocabulary, count_vectors, select_vocabulary, term_stats, tokenized
 from plume.schemas import (
     BOW_MAX_DF, BOW_MAX_FEATURES, BOW_MIN_DF, LDA_MAX_ITER, LDA_SEED, LDA_TOPICS, LDA_WORDS, TOPIC_LABELS,
     UNKNOWN_TOPIC,
@@ -36,20 +35,13 @@ def bow_vocabulary(corpus: DataFrame) -> DataFrame:
     return select_vocabulary(term_stats(corpus), n_docs, BOW_MAX_FEATURES, BOW_MIN_DF, BOW_MAX_DF)
 
 
-def fit_lda(corpus: DataFrame, k: int = LDA_TOPICS, max_iter: int = LDA_MAX_ITER, seed: int = LDA_SEED,
-            vecs_partitions: int | None = None):
+def fit_lda(corpus: DataFrame, k: int = LDA_TOPICS, max_iter: int = LDA_MAX_ITER, seed: int = LDA_SEED):
     """Fit LDA; returns ``(model, terms, vectors)`` where ``vectors`` holds the count vectors."""
-    # The vocabulary pass and the vector pass both read the tokens: write ``(id, tokens)`` once to the
-    # shared checkpoint folder.  Every optimiser round then reads the whole corpus again, so the count
-    # vectors are written once as well (not re-derived each round, and not pinned in executor memory).
-    work_dir(corpus.sparkSession)
-    corpus = corpus.select("id", "tokens").checkpoint(eager=True)
+    # The vocabulary pass, the vector pass and every optimiser round read the corpus: tokens and vectors are
+    # written once to the shared checkpoint folder, dealt by their number of tokens.
+    corpus = balanced(corpus.select("id", "tokens"))
     terms = collect_vocabulary(bow_vocabulary(corpus))
-    # Document lengths vary by orders of magnitude: spread the vectors round-robin over several partitions
-    # per core so every round's E-step is balanced.
-    parts = max(vecs_partitions or 0, 4 * corpus.sparkSession.sparkContext.defaultParallelism)
-    vecs = (count_vectors(corpus, terms, out="features").select("id", "features").repartition(parts)
-            .checkpoint(eager=True))
+    vecs = count_vectors(corpus, terms, out="features").select("id", "features").checkpoint(eager=True)
     lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", subsamplingRate=1.0,
               learningOffset=1.0, optimizeDocConcentration=False, featuresCol="features")
     model = lda.fit(vecs)
@@ -80,7 +72,7 @@ def topic_labels(spark) -> DataFrame:
 
 
 def topic_share(assignments: DataFrame, labels: DataFrame) -> DataFrame:
-    """Posts per dominant topic with its label (fallback label for unknown ids) and percent of all posts.
+    """Posts per dominant topic with its label (fallback label for unknown ids) and percent of all posts, the most frequent first.
 
     The per-topic counts are a handful of rows; the total comes from a window
     over them, not from a second pass over the posts.
@@ -90,4 +82,4 @@ def topic_share(assignments: DataFrame, labels: DataFrame) -> DataFrame:
     total = F.sum("count").over(Window.partitionBy(F.lit(0)))  # over the per-topic rows only
     j = counts.join(F.broadcast(labels), "topic", "left")
     return j.select("topic", F.coalesce(F.col("label"), F.lit(UNKNOWN_TOPIC)).alias("label"), "count",
-                    percent(F.col("count"), total).alias("percent"))
+                    percent(F.col("count"), total).alias("percent")).orderBy(F.desc("count"), "topic")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plume.operators import clean as C
 from plume.operators import kpis as K
@@ -31,40 +32,45 @@ def register(name: str):
     return deco
 
 
-def _clean(spark, sf_dir) -> DataFrame:
-    return C.clean_posts(posts_raw(spark, sf_dir))
+def _clean(spark, sf_dir, columns: list[str] | None = None) -> DataFrame:
+    return C.clean_posts(posts_raw(spark, sf_dir), columns)
+
+
+KPI_COLUMNS = ["id", "date", "engagement"]
+LANG_COLUMNS, TAG_COLUMNS, USER_COLUMNS = ([*KPI_COLUMNS, c] for c in ("lang", "hashtags_array", "username"))
+TEXT_COLUMNS = ["id", "content", "lang"]
 
 
 @register("clean_posts")
 def q_clean_posts(spark, sf_dir):
-    return _clean(spark, sf_dir).drop("hashtags_array", "mentions_array")
+    return _clean(spark, sf_dir, [c for c in C.POST_COLUMNS if c not in ("hashtags_array", "mentions_array")])
 
 
 @register("kpi_daily")
 def q_kpi_daily(spark, sf_dir):
-    return K.kpi_daily(_clean(spark, sf_dir))
+    return K.kpi_daily(_clean(spark, sf_dir, KPI_COLUMNS))
 
 
 @register("kpi_daily_lang")
 def q_kpi_daily_lang(spark, sf_dir):
-    return K.kpi_daily_lang(_clean(spark, sf_dir))
+    return K.kpi_daily_lang(_clean(spark, sf_dir, LANG_COLUMNS))
 
 
 @register("kpi_hashtags")
 def q_kpi_hashtags(spark, sf_dir):
-    return K.kpi_hashtags(_clean(spark, sf_dir))
+    return K.kpi_hashtags(_clean(spark, sf_dir, TAG_COLUMNS))
 
 
 @register("kpi_users")
 def q_kpi_users(spark, sf_dir):
-    return K.kpi_users(_clean(spark, sf_dir))
+    return K.kpi_users(_clean(spark, sf_dir, USER_COLUMNS))
 
 
 # --- ingest, messages, stream ----------------------------------------------------------------------------------
 
 from plume.operators import reports as R  # noqa: E402
 from plume.sources import messages as M  # noqa: E402
-from plume.schemas import TOP_DASHBOARD_N, TOP_USER_TABLE_N  # noqa: E402
+from plume.schemas import LABEL_TO_ID, TOP_DASHBOARD_N, TOP_USER_TABLE_N  # noqa: E402
 
 
 @register("ingest_filter")
@@ -104,94 +110,114 @@ def q_stream_ingest(spark, sf_dir):
 
 @register("hashtags_exploded")
 def q_hashtags_exploded(spark, sf_dir):
-    return C.hashtags_exploded(_clean(spark, sf_dir))
+    return C.hashtags_exploded(_clean(spark, sf_dir, TAG_COLUMNS))
 
 
 @register("mentions_exploded")
 def q_mentions_exploded(spark, sf_dir):
-    return C.mentions_exploded(_clean(spark, sf_dir))
-
-
-@register("mentions_exploded_exact")
-def q_mentions_exploded_exact(spark, sf_dir):
-    """Same as ``mentions_exploded`` with the literal-parser (Arrow UDF) reading of the mention text."""
-    return C.mentions_exploded(C.clean_posts(posts_raw(spark, sf_dir), exact_mentions=True))
+    return C.mentions_exploded(_clean(spark, sf_dir, GRAPH_COLUMNS))
 
 
 # --- reports ---------------------------------------------------------------------------------------------------
 
 @register("report_totals")
 def q_report_totals(spark, sf_dir):
-    return R.totals(K.kpi_daily(_clean(spark, sf_dir)))
+    return R.totals(K.kpi_daily(_clean(spark, sf_dir, KPI_COLUMNS)))
+
+
+RANGE = ("2024-01-08", "2024-01-21")  # both days included
+
+
+@register("report_totals_range")
+def q_report_totals_range(spark, sf_dir):
+    return R.totals(K.kpi_daily(_clean(spark, sf_dir, KPI_COLUMNS)), *RANGE)
+
+
+@register("report_daily_series_range")
+def q_report_daily_series_range(spark, sf_dir):
+    return R.daily_series(K.kpi_daily(_clean(spark, sf_dir, KPI_COLUMNS)), *RANGE)
+
+
+@register("report_peak_day_range")
+def q_report_peak_day_range(spark, sf_dir):
+    return R.peak_day(K.kpi_daily(_clean(spark, sf_dir, KPI_COLUMNS)), *RANGE)
+
+
+@register("csv_scan")
+def q_csv_scan(spark, sf_dir):
+    """The raw posts as a CSV export (line breaks in texts become blanks), read in splits and filtered."""
+    from plume.session import scratch_path
+    from plume.sources.files import read_posts_csv
+    path = scratch_path(spark, "raw-csv")
+    flat = posts_raw(spark, sf_dir).withColumn("content", F.regexp_replace("content", "[\\r\\n]", " "))
+    flat.write.option("header", True).option("escape", '"').csv(path)
+    return C.ingest_filter(read_posts_csv(spark, path)).select(F.col("id").cast("long").alias("id"), "date", "content",
+                                                              "lang", "url")
 
 
 @register("report_peak_day")
 def q_report_peak_day(spark, sf_dir):
-    return R.peak_day(K.kpi_daily(_clean(spark, sf_dir)))
+    return R.peak_day(K.kpi_daily(_clean(spark, sf_dir, KPI_COLUMNS)))
 
 
 @register("report_date_range")
 def q_report_date_range(spark, sf_dir):
-    return R.date_range(K.kpi_daily(_clean(spark, sf_dir)))
+    return R.date_range(K.kpi_daily(_clean(spark, sf_dir, KPI_COLUMNS)))
 
 
 @register("report_daily_series")
 def q_report_daily_series(spark, sf_dir):
-    return R.daily_series(K.kpi_daily(_clean(spark, sf_dir)))
+    return R.daily_series(K.kpi_daily(_clean(spark, sf_dir, KPI_COLUMNS)))
 
 
 @register("report_lang_pivot")
 def q_report_lang_pivot(spark, sf_dir):
-    return R.lang_pivot(K.kpi_daily_lang(_clean(spark, sf_dir)))
+    return R.lang_pivot(K.kpi_daily_lang(_clean(spark, sf_dir, LANG_COLUMNS)))
 
 
 @register("report_hashtag_stats")
 def q_report_hashtag_stats(spark, sf_dir):
-    return R.hashtag_stats(_clean(spark, sf_dir))
+    return R.hashtag_stats(_clean(spark, sf_dir, TAG_COLUMNS))
 
 
 @register("report_top_user")
 def q_report_top_user(spark, sf_dir):
-    return R.top_user(K.kpi_users(_clean(spark, sf_dir)))
+    return R.top_user(K.kpi_users(_clean(spark, sf_dir, USER_COLUMNS)))
 
 
 @register("top_hashtags_by_count")
 def q_top_hashtags_by_count(spark, sf_dir):
-    return R.top_n(K.kpi_hashtags(_clean(spark, sf_dir)), "tweets_count", "hashtag", TOP_DASHBOARD_N)
+    return R.top_n(K.kpi_hashtags(_clean(spark, sf_dir, TAG_COLUMNS)), "tweets_count", "hashtag", TOP_DASHBOARD_N)
 
 
 @register("top_hashtags_by_engagement")
 def q_top_hashtags_by_engagement(spark, sf_dir):
-    return R.top_n(K.kpi_hashtags(_clean(spark, sf_dir)), "engagement_sum", "hashtag", TOP_DASHBOARD_N)
+    return R.top_n(K.kpi_hashtags(_clean(spark, sf_dir, TAG_COLUMNS)), "engagement_sum", "hashtag", TOP_DASHBOARD_N)
 
 
 @register("top_users_by_engagement")
 def q_top_users_by_engagement(spark, sf_dir):
-    return R.top_n(K.kpi_users(_clean(spark, sf_dir)), "engagement_sum", "username", TOP_DASHBOARD_N)
+    return R.top_n(K.kpi_users(_clean(spark, sf_dir, USER_COLUMNS)), "engagement_sum", "username", TOP_DASHBOARD_N)
 
 
 @register("top_users_table")
 def q_top_users_table(spark, sf_dir):
-    return R.top_n(K.kpi_users(_clean(spark, sf_dir)), "engagement_sum", "username", TOP_USER_TABLE_N)
+    return R.top_n(K.kpi_users(_clean(spark, sf_dir, USER_COLUMNS)), "engagement_sum", "username", TOP_USER_TABLE_N)
 
 
 # --- graph -----------------------------------------------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from plume.operators import communities as LP  # noqa: E402
 from plume.operators import graph as G  # noqa: E402
-from plume.operators.pagerank import pagerank  # noqa: E402
+from plume.operators.pagerank import converged_pagerank  # noqa: E402
 from plume.schemas import TOP_NODES_N, TOP_USERS_N  # noqa: E402
 
-# Fixed round counts of the ``*_k`` graph queries; ``user_centrality`` and its reports run PageRank to
-# convergence (L1 change < N * 1e-6, at most 100 rounds) and label propagation until stable (at most 20 rounds).
-PAGERANK_ROUNDS_SHORT, LP_ROUNDS, LP_MAX_ROUNDS = 10, 5, 20
 PR_DIGITS = 10
+GRAPH_COLUMNS = ["id", "date", "username", "inReplyToTweetId", "mentions_array", "engagement"]
 
 
 def _graph(spark, sf_dir):
-    posts = _clean(spark, sf_dir)
+    posts = _clean(spark, sf_dir, GRAPH_COLUMNS)
     return posts, G.user_edges(posts), G.user_nodes(posts, K.kpi_users(posts))
 
 
@@ -199,30 +225,28 @@ def _graph_base(spark, sf_dir):
     """Collapsed edges and vertex table, checkpointed once for the iterative jobs that follow."""
     from plume.session import work_dir
     work_dir(spark)
-    posts = _clean(spark, sf_dir).persist()  # feeds both edges and nodes; released once both are written
+    posts = _clean(spark, sf_dir, GRAPH_COLUMNS).checkpoint(eager=True)  # feeds both edges and nodes, without any text
     edges, nodes = G.user_edges(posts), G.user_nodes(posts, K.kpi_users(posts))
     ec = G.collapse_edges(edges).checkpoint(eager=True)
     verts = G.vertices(nodes, ec).checkpoint(eager=True)
-    posts.unpersist()
     return edges, ec, verts
 
 
 def _centrality(spark, sf_dir):
     _, ec, verts = _graph_base(spark, sf_dir)
-    ranks, _ = pagerank(verts, ec)
-    comms = LP.communities(verts, G.undirected_edges(ec), max_rounds=LP_MAX_ROUNDS, until_stable=True)
-    cent = G.centrality(verts, ec, ranks, comms).withColumn("pagerank", F.round("pagerank", PR_DIGITS))
+    comms = LP.communities(verts, G.undirected_edges(ec))
+    cent = G.centrality(verts, ec, converged_pagerank(verts, ec), comms).withColumn("pagerank", F.round("pagerank", PR_DIGITS))
     return ec, cent
 
 
 @register("edges_mention")
 def q_edges_mention(spark, sf_dir):
-    return G.mention_edges(_clean(spark, sf_dir))
+    return G.mention_edges(_clean(spark, sf_dir, GRAPH_COLUMNS))
 
 
 @register("edges_reply")
 def q_edges_reply(spark, sf_dir):
-    return G.reply_edges(_clean(spark, sf_dir))
+    return G.reply_edges(_clean(spark, sf_dir, GRAPH_COLUMNS))
 
 
 @register("user_edges")
@@ -252,19 +276,18 @@ def q_undirected_edges(spark, sf_dir):
     return G.undirected_edges(G.collapse_edges(_graph(spark, sf_dir)[1]))
 
 
-@register("pagerank_k")
-def q_pagerank_k(spark, sf_dir):
-    """PageRank after a fixed 10 rounds, rounded to 8 decimals."""
+@register("pagerank")
+def q_pagerank(spark, sf_dir):
+    """PageRank run to convergence, rounded to 8 decimals."""
     _, ec, verts = _graph_base(spark, sf_dir)
-    ranks, _ = pagerank(verts, ec, max_iter=PAGERANK_ROUNDS_SHORT, tol=None)
-    return ranks.select("username", F.round("pagerank", 8).alias("pagerank"))
+    return converged_pagerank(verts, ec).select("username", F.round("pagerank", 8).alias("pagerank"))
 
 
-@register("communities_k")
-def q_communities_k(spark, sf_dir):
-    """Label-propagation communities after a fixed 5 rounds."""
+@register("communities")
+def q_communities(spark, sf_dir):
+    """Label-propagation communities of the stable labelling."""
     _, ec, verts = _graph_base(spark, sf_dir)
-    return LP.communities(verts, G.undirected_edges(ec), max_rounds=LP_ROUNDS, until_stable=False)
+    return LP.communities(verts, G.undirected_edges(ec))
 
 
 @register("user_centrality")
@@ -313,8 +336,10 @@ def q_subgraph_edges(spark, sf_dir):
 @register("dataset_counts")
 def q_dataset_counts(spark, sf_dir):
     """Row counts of the input view and every derived table, one row per dataset."""
+    from plume.session import work_dir
+    work_dir(spark)
     raw = posts_raw(spark, sf_dir)
-    posts = C.clean_posts(raw)
+    posts = C.clean_posts(raw, [*GRAPH_COLUMNS, "lang", "hashtags_array"]).checkpoint(eager=True)
     tables = {"posts_raw": raw, "posts_clean": posts, "kpi_daily": K.kpi_daily(posts),
               "kpi_daily_lang": K.kpi_daily_lang(posts), "kpi_hashtags": K.kpi_hashtags(posts),
               "kpi_users": K.kpi_users(posts), "user_edges": G.user_edges(posts),
@@ -338,14 +363,14 @@ from plume.sources.tables import labelled_text  # noqa: E402
 @register("text_clean")
 def q_text_clean(spark, sf_dir):
     """Normalised text of English posts; posts whose text normalises to '' are dropped."""
-    p = _clean(spark, sf_dir).filter(F.col("lang") == "en")
+    p = _clean(spark, sf_dir, TEXT_COLUMNS).filter(F.col("lang") == "en")
     return p.select("id", clean_text(F.col("content")).alias("text_clean")).filter(F.length("text_clean") > 0)
 
 
 @register("term_counts")
 def q_term_counts(spark, sf_dir):
     """Bag-of-words vocabulary of the topic model: df bounds, then the most frequent terms."""
-    return TP.bow_vocabulary(TP.topic_corpus(_clean(spark, sf_dir)))
+    return TP.bow_vocabulary(TP.topic_corpus(_clean(spark, sf_dir, TEXT_COLUMNS)))
 
 
 def _split(spark, sf_dir):
@@ -360,7 +385,7 @@ def q_tfidf_terms(spark, sf_dir):
 
 
 def _lda(spark, sf_dir):
-    corpus = TP.topic_corpus(_clean(spark, sf_dir))
+    corpus = TP.topic_corpus(_clean(spark, sf_dir, TEXT_COLUMNS))
     return TP.fit_lda(corpus)
 
 
@@ -435,13 +460,13 @@ def _lr(spark, sf_dir):
 def q_sentiment_scores(spark, sf_dir):
     """Logistic-regression scoring of all English posts (model trained on the labelled split)."""
     model, _ = _lr(spark, sf_dir)
-    return S.score_posts(model, _clean(spark, sf_dir))
+    return S.score_posts(model, _clean(spark, sf_dir, TEXT_COLUMNS))
 
 
 @register("sentiment_distribution")
 def q_sentiment_distribution(spark, sf_dir):
     model, _ = _lr(spark, sf_dir)
-    return S.sentiment_distribution(S.score_posts(model, _clean(spark, sf_dir)))
+    return S.sentiment_distribution(S.score_posts(model, _clean(spark, sf_dir, TEXT_COLUMNS)))
 
 
 @register("eval_lr_report")
@@ -457,3 +482,38 @@ def q_classifier_agreement(spark, sf_dir):
     model, sp = _lr(spark, sf_dir)
     lr = S.predict(model, sp.filter(F.col("split") == "test"))
     return S.agreement(lr, _lexicon_preds(spark, sf_dir))
+
+
+# --- the reports of the models over columns that SQL derives too ------------------------------------------------
+
+def _judged(spark, sf_dir, wrong_every: int):
+    """``(id, label, pred)`` of the labelled documents; every ``wrong_every``-th prediction is one class off."""
+    from plume.sources.tables import table
+    label = F.col("quality") + F.col("toxic")
+    off = F.when(F.col("doc_id") % wrong_every == 0, 1).otherwise(0)
+    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), label.alias("label"),
+                                                 ((label + off) % 3).cast("int").alias("pred"))
+
+
+@register("topic_share_by_id")
+def q_topic_share_by_id(spark, sf_dir):
+    """Topic report over ``doc_id % 9`` as the topic of each document (8 has no label)."""
+    from plume.sources.tables import table
+    topics = table(spark, sf_dir, "documents").select((F.col("doc_id") % 9).cast("int").alias("dominant_topic"))
+    return TP.topic_share(topics, TP.topic_labels(spark))
+
+
+@register("sentiment_distribution_by_id")
+def q_sentiment_distribution_by_id(spark, sf_dir):
+    names = F.create_map(*[F.lit(x) for k, v in LABEL_TO_ID.items() for x in (v, k)])
+    return S.sentiment_distribution(_judged(spark, sf_dir, 5).select(names[F.col("pred")].alias("sentiment_label")))
+
+
+@register("classifier_agreement_by_id")
+def q_classifier_agreement_by_id(spark, sf_dir):
+    return S.agreement(_judged(spark, sf_dir, 5), _judged(spark, sf_dir, 7))
+
+
+@register("eval_report_by_id")
+def q_eval_report_by_id(spark, sf_dir):
+    return S.report(_judged(spark, sf_dir, 5))

@@ -8,7 +8,7 @@ flag to replace all matches; ``sum`` of bigint is widened, so it is cast back.
 
 from __future__ import annotations
 
-from plume.schemas import USERNAME_PATTERN
+from plume.schemas import TOPIC_LABELS, UNKNOWN_TOPIC, USERNAME_PATTERN
 
 _Q_USERNAME = USERNAME_PATTERN.replace("'", "''")
 
@@ -39,7 +39,7 @@ base AS (
     d.lang AS lang,
     'https://example.org/t/' || CAST(e.event_id AS VARCHAR) AS url,
     e.event_type AS _event_type
-  FROM ev e JOIN documents d ON d.doc_id = e.doc_key),
+  FROM ev e LEFT JOIN documents d ON d.doc_id = e.doc_key),
 posts_raw AS (
   SELECT * EXCLUDE (_event_type) FROM base
   UNION ALL SELECT * EXCLUDE (_event_type) FROM base WHERE _event_type = 'error')"""
@@ -153,7 +153,7 @@ ingest_typed AS (
   FROM posts_raw WHERE lang = 'en'),
 ingest AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY id ORDER BY content) AS rn
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY date DESC NULLS LAST, content DESC) AS rn
     FROM ingest_typed WHERE length(content) > 5) WHERE rn = 1)"""
 DEPS["ingest"] = ["posts_raw"]
 
@@ -203,7 +203,6 @@ SQL["hashtags_exploded"] = with_ctes(["posts_clean"], """
 SELECT id, unnest(hashtags_array) AS hashtag, engagement FROM posts_clean WHERE len(hashtags_array) > 0""")
 SQL["mentions_exploded"] = with_ctes(["posts_clean"], """
 SELECT id, username, unnest(mentions_array) AS mentioned FROM posts_clean""")
-SQL["mentions_exploded_exact"] = SQL["mentions_exploded"]
 
 # --- reports ---------------------------------------------------------------------------------------------------
 
@@ -219,6 +218,16 @@ SQL["report_peak_day"] = with_ctes(["kpi_daily"], """
 SELECT (SELECT date FROM kpi_daily ORDER BY tweets_count DESC, date ASC LIMIT 1) AS peak_date,
        CAST(coalesce((SELECT max(tweets_count) FROM kpi_daily), 0) AS BIGINT) AS peak_tweets""")
 
+_RANGE = "kpi_range AS (SELECT * FROM kpi_daily WHERE date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21')"
+CTE["kpi_range"] = _RANGE
+DEPS["kpi_range"] = ["kpi_daily"]
+for _name in ("report_totals", "report_peak_day"):
+    SQL[f"{_name}_range"] = with_ctes(["kpi_range"], SQL[_name].rsplit("FROM days GROUP BY day)", 1)[1].replace(
+        "kpi_daily", "kpi_range"))
+SQL["report_daily_series_range"] = with_ctes(["kpi_range"], """
+SELECT date, tweets_count, engagement_sum FROM kpi_range ORDER BY date""")
+SQL["csv_scan"] = with_ctes(["ingest"], """
+SELECT id, date, replace(replace(content, chr(10), ' '), chr(13), ' ') AS content, lang, url FROM ingest""")
 SQL["report_date_range"] = with_ctes(["kpi_daily"], "SELECT min(date) AS min_date, max(date) AS max_date FROM kpi_daily")
 
 SQL["report_daily_series"] = with_ctes(["kpi_daily"], """
@@ -310,16 +319,28 @@ pr0 AS MATERIALIZED (SELECT username, dangling, CAST(1.0 AS DOUBLE) / (SELECT n
 
 
 def _lp_ctes(rounds: int) -> str:
-    """Label propagation unrolled into ``lp0 .. lp<rounds>``, then dense community ids in ``comm``."""
+    """Label propagation unrolled into ``lp0 .. lp<rounds>``, then dense community ids in ``comm``.
+
+    A stable labelling stays as it is, so rounds beyond the last change are no-ops; were ``rounds`` too few, the
+    result would differ from the plan's, which runs until nothing changes.
+    """
     parts = ["""nb AS (SELECT a AS node, b AS nbr FROM ud UNION ALL SELECT b, a FROM ud WHERE a <> b),
 lp0 AS MATERIALIZED (SELECT username, username AS label FROM verts)"""]
-    for k in range(1, rounds + 1):
-        parts.append(f"""lp{k} AS MATERIALIZED (
-  SELECT node AS username, label FROM (
+    for k in range(rounds):
+        parts.append(f"""want{k} AS MATERIALIZED (
+  SELECT w.node, l.label AS own, w.label AS target, md5('{k}:' || w.label) || w.label AS wish FROM (
     SELECT node, label, row_number() OVER (PARTITION BY node ORDER BY cnt DESC, is_own DESC, label DESC) AS rn
     FROM (SELECT node, label, sum(c) AS cnt, max(is_own) AS is_own FROM (
-            SELECT nb.node, l.label, 1 AS c, false AS is_own FROM nb JOIN lp{k - 1} l ON nb.nbr = l.username
-            UNION ALL SELECT username, label, 0, true FROM lp{k - 1}) GROUP BY node, label)) WHERE rn = 1)""")
+            SELECT nb.node, l.label, 1 AS c, false AS is_own FROM nb JOIN lp{k} l ON nb.nbr = l.username
+            UNION ALL SELECT username, label, 0, true FROM lp{k}) GROUP BY node, label)) w
+  JOIN lp{k} l ON w.node = l.username WHERE w.rn = 1),
+go{k} AS MATERIALIZED (
+  SELECT m.node, m.target FROM want{k} m
+  LEFT JOIN (SELECT nb.node, max(o.wish) AS wish FROM nb JOIN want{k} o ON nb.nbr = o.node WHERE o.target <> o.own
+             GROUP BY nb.node) x ON m.node = x.node
+  WHERE m.target <> m.own AND (x.wish IS NULL OR m.wish >= x.wish)),
+lp{k + 1} AS MATERIALIZED (
+  SELECT l.username, coalesce(g.target, l.label) AS label FROM lp{k} l LEFT JOIN go{k} g ON l.username = g.node)""")
     parts.append(f"""lp_first AS (SELECT label, min(username) AS first_member FROM lp{rounds} GROUP BY label),
 comm AS (SELECT l.username, CAST(dense_rank() OVER (ORDER BY f.first_member) - 1 AS INTEGER) AS community_id
          FROM lp{rounds} l JOIN lp_first f USING (label))""")
@@ -340,18 +361,13 @@ pr_final AS (SELECT username, rank FROM ({finals}) WHERE k = (SELECT k FROM pr_s
 
 CTE["pagerank_conv"] = _pagerank_converged_ctes()
 DEPS["pagerank_conv"] = ["graph"]
-CTE["pagerank10"] = _pagerank_ctes(10)
-DEPS["pagerank10"] = ["graph"]
-CTE["lp5"] = _lp_ctes(5)
-DEPS["lp5"] = ["graph"]
-# Stopping at the first stable round gives the same labels as running all 20 (a stable labelling stays).
-CTE["lp20"] = _lp_ctes(20)
-DEPS["lp20"] = ["graph"]
+CTE["lp"] = _lp_ctes(12)
+DEPS["lp"] = ["graph"]
 CTE["centrality"] = """cent AS (
   SELECT d.username, d.in_degree, d.out_degree, d.degree, round(coalesce(pr.rank, 0.0), 10) AS pagerank,
          coalesce(c.community_id, -1) AS community_id
   FROM degrees d LEFT JOIN pr_final pr USING (username) LEFT JOIN comm c USING (username))"""
-DEPS["centrality"] = ["pagerank_conv", "lp20"]
+DEPS["centrality"] = ["pagerank_conv", "lp"]
 
 SQL["edges_mention"] = with_ctes(["graph"], "SELECT * FROM edges_mention")
 SQL["edges_reply"] = with_ctes(["graph"], "SELECT * FROM edges_reply")
@@ -360,8 +376,8 @@ SQL["user_nodes"] = with_ctes(["graph"], "SELECT * FROM user_nodes")
 SQL["edges_collapsed"] = with_ctes(["graph"], "SELECT source_user, target_user, weight, type FROM ec")
 SQL["degrees"] = with_ctes(["graph"], "SELECT * FROM degrees")
 SQL["undirected_edges"] = with_ctes(["graph"], "SELECT a, b FROM ud")
-SQL["pagerank_k"] = with_ctes(["pagerank10"], "SELECT username, round(rank, 8) AS pagerank FROM pr10")
-SQL["communities_k"] = with_ctes(["lp5"], "SELECT username, community_id FROM comm")
+SQL["pagerank"] = with_ctes(["pagerank_conv"], "SELECT username, round(rank, 8) AS pagerank FROM pr_final")
+SQL["communities"] = with_ctes(["lp"], "SELECT username, community_id FROM comm")
 SQL["user_centrality"] = with_ctes(["centrality"], "SELECT * FROM cent")
 
 
@@ -542,3 +558,27 @@ UNION ALL SELECT 'macro avg', round(avg(precision), 9), round(avg(recall), 9), r
                  CAST(sum(support) AS BIGINT) FROM f
 UNION ALL SELECT 'weighted avg', round(sum(precision * w), 9), round(sum(recall * w), 9), round(sum(f1 * w), 9),
                  CAST(sum(support) AS BIGINT) FROM f""")
+
+
+# --- the reports of the models over derived columns ------------------------------------------------------------
+
+def _judged_sql(wrong_every: int) -> str:
+    return (f"(SELECT doc_id AS id, quality + toxic AS label, CAST((quality + toxic + CASE WHEN doc_id % {wrong_every} = 0 "
+            "THEN 1 ELSE 0 END) % 3 AS INTEGER) AS pred FROM labels)")
+
+
+_LABELS = ", ".join(f"({k}, '{v}')" for k, v in TOPIC_LABELS.items())
+SQL["topic_share_by_id"] = f"""
+WITH c AS (SELECT CAST(doc_id % 9 AS INTEGER) AS topic, count(*) AS count FROM documents GROUP BY 1)
+SELECT topic, coalesce(l.label, '{UNKNOWN_TOPIC}') AS label, count,
+       round(100.0 * count / (SELECT sum(count) FROM c), 1) AS percent
+FROM c LEFT JOIN (VALUES {_LABELS}) l(id, label) ON c.topic = l.id ORDER BY count DESC, topic"""
+SQL["sentiment_distribution_by_id"] = f"""
+SELECT CASE pred WHEN 0 THEN 'Negative' WHEN 1 THEN 'Neutral' ELSE 'Positive' END AS sentiment_label, count(*) AS count
+FROM {_judged_sql(5)} GROUP BY 1 ORDER BY 2 DESC, 1"""
+SQL["classifier_agreement_by_id"] = f"""
+SELECT avg(CASE WHEN a.pred = b.pred THEN 1.0 ELSE 0.0 END) AS agreement, count(*) AS compared
+FROM {_judged_sql(5)} a JOIN {_judged_sql(7)} b USING (id)"""
+SQL["eval_report_by_id"] = (f"WITH preds AS {_judged_sql(5)}, classes AS (SELECT * FROM (VALUES (0, 'Negative'), "
+                            "(1, 'Neutral'), (2, 'Positive')) v(cls, class))\n"
+                            + SQL["eval_report"][SQL["eval_report"].rindex(", st AS ("):])

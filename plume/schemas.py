@@ -28,7 +28,7 @@ TOPIC_LABELS = {
 UNKNOWN_TOPIC = "Topic inconnu"
 # Regular expressions of the cleaning step.
 USERNAME_PATTERN = r"'username': '([^']+)'"
-HASHTAG_STRIP_PATTERN = r"[\[\]'`]"
+HASHTAG_NOISE = r"[\[\]'`\s]"
 # Score thresholds of the three-class mapping (<= NEG Negative, >= POS Positive).
 SENTIMENT_NEG, SENTIMENT_POS = -0.05, 0.05
 # Text-model parameters.

@@ -7,6 +7,7 @@ straight through ``format``/``options``).  Every read declares its schema.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,20 +15,24 @@ from pyspark.sql.types import StructType
 from plume.schemas import KEEP_COLUMNS, LABELLED_TEXT
 
 
-def read_posts_csv(spark: SparkSession, path: str, columns: list[str] = KEEP_COLUMNS) -> DataFrame:
-    """Raw post export with a header row; quoted multi-line text allowed; file splits replace the 200k-row chunks.
+def read_posts_csv(spark: SparkSession, path: str, columns: list[str] = KEEP_COLUMNS,
+                   multi_line: bool = False) -> DataFrame:
+    """Raw post export with a header row, read in file splits.
 
+    ``multi_line`` allows line breaks inside quoted fields; a file then is one split, so keep such files small.
     Columns are bound by header name (no schema inference pass: every column is text) and the listed
     ones that exist are kept; typing happens in the cleaning step with null-on-error casts.
     """
-    df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    df = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
           .option("mode", "PERMISSIVE").csv(path))
     return df.select([c for c in columns if c in df.columns])
 
 
-def read_labelled_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Headerless labelled text ``id, topic, sentiment, text`` (several files are one frame), plus the file name."""
-    r = spark.read.schema(LABELLED_TEXT).option("header", False).option("multiLine", True).option("escape", '"')
+def read_labelled_csv(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Headerless labelled text ``id, topic, sentiment, text`` (several files are one frame), plus the file name.
+
+    ``multi_line``: as in ``read_posts_csv``."""
+    r = spark.read.schema(LABELLED_TEXT).option("header", False).option("multiLine", multi_line).option("escape", '"')
     df = r.csv(paths if isinstance(paths, list) else [paths])
     return df.withColumn("source_file", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
 
@@ -57,12 +62,12 @@ def read_dataset(spark: SparkSession, root: str, name: str, fmt: str = "parquet"
 
 
 def read_optional(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame | None:
-    """A dataset that may be missing: ``None`` instead of an error."""
+    """A dataset that may be missing: ``None`` if its path does not exist; any other failure is raised."""
     try:
-        df = read_dataset(spark, root, name, fmt)
-        df.schema  # noqa: B018 - forces the path check
-        return df
-    except Exception:  # noqa: BLE001 - absent or unreadable means "not there"
+        return read_dataset(spark, root, name, fmt)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

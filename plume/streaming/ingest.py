@@ -2,8 +2,9 @@
 
 The stream is a stateless map (no watermark, window or state), so the only
 delivery hazard is a replayed micro-batch.  The sink writes each batch to its
-own ``batch_id=<n>`` folder with overwrite: replaying a batch id replaces
-what it wrote instead of appending a second copy.  Duplicate posts across
+own folder of query id and batch id with overwrite: replaying a batch replaces
+what it wrote instead of appending a second copy, and a query that starts anew
+(its checkpoint lost) overwrites nothing of the one before.  Duplicate posts across
 batches are removed later by the batch cleaning step (dedup on id).
 """
 
@@ -33,10 +34,13 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, starting_offsets:
     return r.load().selectExpr("CAST(value AS STRING) AS value")
 
 
-def batch_writer(out_path: str, fmt: str = "parquet"):
-    """foreachBatch function: overwrite ``out_path/batch_id=<n>`` (safe to replay)."""
+def batch_writer(out_path: str, fmt: str = "parquet", query_id: str | None = None):
+    """foreachBatch function: overwrite ``out_path/query_id=<q>/batch_id=<n>`` (safe to replay).
+
+    The query id is the running query's, which its checkpoint keeps over restarts, unless given."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.write.mode("overwrite").format(fmt).save(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        q = query_id or batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch_df.write.mode("overwrite").format(fmt).save(f"{out_path.rstrip('/')}/query_id={q}/batch_id={batch_id}")
     return write
 
 
@@ -53,5 +57,5 @@ def start_ingest(source: DataFrame, out_path: str, checkpoint: str, available_no
 
 
 def read_sink(spark: SparkSession, out_path: str) -> DataFrame:
-    """All micro-batches written so far, as one batch frame (``batch_id`` dropped)."""
-    return spark.read.parquet(out_path).drop("batch_id")
+    """All micro-batches written so far, as one batch frame (folder columns dropped)."""
+    return spark.read.parquet(out_path).drop("query_id", "batch_id")

@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from conftest import rows
-from plume.functions.columns import hashtags_array, mentions_array, mentions_array_exact, username_from_user
+from plume.functions.columns import hashtags_array, mentions_array, username_from_user
 from plume.operators import clean as C
 from plume.schemas import POSTS_RAW
 from plume.sources.messages import encode_messages, parse_messages
@@ -53,16 +53,31 @@ MENTION_CASES = [
     ("[User(username='a'), {'username': 'b'}]", []),
     ("free text 'username': 'x'", []),
     ("[{'username': 'a'}", []),
+    ("{'username': 'doc', 'displayname': 'Dr(PhD)'}", ["doc"]),
+    ('{"username": "bob"}', ["bob"]),
+    ("{'username':'bob'}", ["bob"]),
+    ("""[{'username': 'a', 'bio': "'username': 'eve'"}]""", ["a"]),
+    (r"""[{'bio': 'it\'s [odd] {text}', 'username': 'o\'neil'}]""", ["o'neil"]),
+    ("[{'user': {'username': 'inner'}, 'username': 'outer'}]", ["outer"]),
+    ("[{'tags': [{'username': 'inner'}], 'username': 'x', 'n': 1.5, 'ok': True}]", ["x"]),
+    ("[{'username': 'a'}, User('b')]", []),
+    ("[{'username': 'a', 'text': '" + "x" * 50_000 + "'}]", ["a"]),
 ]
 
 
-def test_mentions_native_and_exact(spark):
+def test_mentions(spark):
     df = spark.createDataFrame([(c,) for c, _ in MENTION_CASES], "m string")
-    native = [r[0] for r in df.select(mentions_array("m")).collect()]
-    exact = [r[0] for r in df.select(mentions_array_exact("m")).collect()]
-    expected = [e for _, e in MENTION_CASES]
-    assert exact == expected
-    assert native == expected
+    assert [r[0] for r in df.select(mentions_array("m")).collect()] == [e for _, e in MENTION_CASES]
+
+
+def test_ingest_keeps_the_latest_of_differing_copies(spark):
+    posts = [raw_post(id=1, content="first text", lang="en", date="2024-01-01 00:00:00"),
+             raw_post(id=1, content="later text", lang="en", date="2024-01-02 00:00:00"),
+             raw_post(id=2, content="text aaaa", lang="en", date="2024-01-01 00:00:00"),
+             raw_post(id=2, content="text bbbb", lang="en", date="2024-01-01 00:00:00"),
+             raw_post(id=2, content="text cccc", lang="en", date=None)]
+    got = {r["id"]: r["content"] for r in C.ingest_filter(raw_df(spark, posts)).collect()}
+    assert got == {1: "later text", 2: "text bbbb"}
 
 
 def test_dedup_prefers_text_then_latest(spark):

@@ -10,10 +10,9 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import digest, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"topic_assignments", "topic_words", "topic_share", "sentiment_scores", "sentiment_distribution",
-        "eval_lr_report", "classifier_agreement", "user_centrality", "top_users_by_degree", "top_users_by_in_degree",
-        "top_users_by_pagerank", "community_sizes", "community_top_members", "subgraph_nodes", "subgraph_edges"}
-FULL = os.environ.get("PLUME_FULL") == "1"
+MODEL_SIDE = {"topic_assignments", "topic_words", "topic_share", "sentiment_scores", "sentiment_distribution",
+              "eval_lr_report", "classifier_agreement"}
+LIBRARY = sorted(set(E.oracle_sql()) - set(E._optional()[1]))  # the optional subpackage has tests of its own
 
 
 def test_entry(spark):
@@ -24,8 +23,7 @@ def test_entry(spark):
 def test_every_query_has_oracle_or_is_model_side():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    assert set(q) - set(s) <= {"topic_assignments", "topic_words", "topic_share", "sentiment_scores",
-                               "sentiment_distribution", "eval_lr_report", "classifier_agreement"}
+    assert set(q) - set(s) - set(E._optional()[0]) <= MODEL_SIDE
 
 
 @pytest.fixture(scope="module")
@@ -33,10 +31,8 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", LIBRARY)
 def test_oracle(spark, con, name):
-    if name in SLOW and not FULL:
-        pytest.skip("iterative query: set PLUME_FULL=1")
     df = E.queries()[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
     res = con.sql(E.oracle_sql()[name])

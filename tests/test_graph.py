@@ -1,12 +1,13 @@
 import itertools
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from plume.operators import communities as LP
 from plume.operators import graph as G
-from plume.operators.iterate import dense_index
+from plume.operators.iterate import SpreadEdges, dense_index, round_state
 from plume.operators.pagerank import pagerank
 
 # two 4-cliques joined by one edge, a dangling node, an isolated node, a reciprocal pair, a self-loop
@@ -60,33 +61,65 @@ def test_pagerank_converges(spark):
     assert all(abs(g[k] - exp[k]) < 1e-9 for k in NODES)
 
 
-def brute_lpa(rounds):
-    nb = {n: set() for n in NODES}
-    for s, t, _ in EDGES:
-        nb[s].add(t)
-        nb[t].add(s)
-    lab = {n: n for n in NODES}
-    for _ in range(rounds):
-        new = {}
-        for n in NODES:
-            if not nb[n]:
-                new[n] = lab[n]
-                continue
-            cnt = {}
-            for q in nb[n]:
-                cnt[lab[q]] = cnt.get(lab[q], 0) + 1
-            m = max(cnt.values())
-            best = {l for l, c in cnt.items() if c == m}
-            new[n] = lab[n] if lab[n] in best else max(best)
-        lab = new
-    return lab
-
-
-def test_label_propagation_matches_rule(spark):
-    v, e = graph(spark)
-    for k in (1, 2, 5):
-        labels, _ = LP.label_propagation(v, G.undirected_edges(e), max_rounds=k, until_stable=False)
-        assert dict(rows(labels)) == brute_lpa(k)
+def _stable(labels, pairs):
+    nb = {}
+    for a, b in pairs:
+        nb.setdefault(a, set()).add(b)
+        nb.setdefault(b, set()).add(a)
+    for n, near in nb.items():
+        votes = [labels[q] for q in near]
+        if votes.count(labels[n]) < max(votes.count(x) for x in votes):
+            return False
+    return True
+
+
+def _connected(labels, pairs):
+    for name in set(labels.values()):
+        left = {n for n, x in labels.items() if x == name}
+        reached = {min(left)}
+        while True:
+            more = {b for a, b in pairs if a in reached and b in left} | {a for a, b in pairs if b in reached and a in left}
+            if more <= reached:
+                break
+            reached |= more
+        if reached != left:
+            return False
+    return True
+
+
+SHAPES = {
+    "pair": [("a", "b")],
+    "star": [("h", f"l{i}") for i in range(6)],
+    "path": [(f"n{i:02d}", f"n{i + 1:02d}") for i in range(30)],
+    "bipartite": [(f"x{i}", f"y{j}") for i in range(4) for j in range(5)],
+    "graph": sorted({tuple(sorted(e[:2])) for e in EDGES}),
+}
+
+
+@pytest.mark.parametrize("shape", sorted(SHAPES))
+def test_label_propagation_is_stable_and_connected(spark, shape):
+    pairs = SHAPES[shape]
+    verts = spark.createDataFrame([(n,) for n in sorted({n for p in pairs for n in p})], "username string")
+    labels, rounds = LP.label_propagation(verts, spark.createDataFrame(pairs, "a string, b string"))
+    got = dict(rows(labels))
+    assert _stable(got, pairs) and _connected(got, pairs) and rounds > 0
+    if shape in ("pair", "star"):
+        assert len(set(got.values())) == 1
+
+
+def test_rounds_do_not_move_the_edges_and_hubs_are_dealt(spark):
+    hub = [("hub", f"u{i}", float(i)) for i in range(300)] + [(f"u{i}", f"u{i + 1}", 1.0) for i in range(600)]
+    spread = SpreadEdges(spark.createDataFrame(hub, "src string, dst string, p double"), "src", hub_edges=50)
+    parts = (spread.edges.where("src = 'hub'").groupBy(F.spark_partition_id()).count().collect())
+    assert len(parts) > 1 and spread.hubs.count() == 1
+    state = spark.createDataFrame([(f"u{i}", 1.0) for i in range(601)] + [("hub", 2.0)], "src string, rank double")
+    for _ in range(4):  # the edges' side of a later round has no exchange
+        joined = spread.look_up(round_state(state))
+        plan = joined.hint("merge")._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == len(hub)
+        assert "p#" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+    one = joined.where("src = 'hub'").agg(F.sum("rank")).first()[0]
+    assert one == 600.0
 
 
 def test_communities_planted_cliques(spark):

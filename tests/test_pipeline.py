@@ -1,6 +1,7 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -17,18 +18,30 @@ def test_csv_export_round_trip(spark, tmp_dir):
     raw = posts_raw(spark, SF)
     path = os.path.join(tmp_dir, "raw_csv")
     raw.withColumn("extra", F.lit("ignored")).write.option("header", True).option("escape", '"').csv(path)
-    back = read_posts_csv(spark, path)
+    back = read_posts_csv(spark, path, multi_line=True)
     assert "extra" not in back.columns and "user" in back.columns
     assert rows(K.kpi_daily(C.clean_posts(back))) == rows(K.kpi_daily(C.clean_posts(raw)))
 
 
+def test_csv_scan_is_splittable(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "flat")
+    spark.range(200_000).select(F.col("id"), F.lit("x" * 40).alias("content")).coalesce(1).write.option(
+        "header", True).csv(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        assert read_posts_csv(spark, path).rdd.getNumPartitions() > 4
+        assert read_posts_csv(spark, path).count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+
+
 def test_labelled_csv_files(spark, tmp_dir):
     lab = labelled_text(spark, SF)
     a, b = lab.randomSplit([0.7, 0.3], seed=1)
     pa, pb = os.path.join(tmp_dir, "training.csv"), os.path.join(tmp_dir, "validation.csv")
     a.coalesce(1).write.option("escape", '"').csv(pa)
     b.coalesce(1).write.option("escape", '"').csv(pb)
-    back = read_labelled_csv(spark, [pa, pb])
+    back = read_labelled_csv(spark, [pa, pb], multi_line=True)
     assert back.count() == lab.count()
     assert rows(back.select("id", "sentiment")) == rows(lab.select("id", "sentiment"))
 
@@ -55,6 +68,10 @@ def test_optional_inputs_and_empty_export(spark, tmp_dir):
     from plume.operators import graph as G
     from plume.sources.files import export_csv, read_optional, write_dataset
     assert read_optional(spark, tmp_dir, "missing") is None
+    with open(os.path.join(tmp_dir, "broken"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):  # noqa: B017 - there, but not readable
+        read_optional(spark, tmp_dir, "broken").count()
     posts = spark.createDataFrame([(1, "a", None, ["b"])],
                                   "id long, username string, inReplyToTweetId long, mentions_array array<string>")
     nodes = G.user_nodes(posts)  # no KPI table: typed nulls keep the schema stable

@@ -23,5 +23,7 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_dir):
     assert rows(streamed, "id", "engagement") == rows(batch, "id", "engagement")
     # replaying batch 0 under the same id changes nothing
     before = read_sink(spark, out).count()
-    batch_writer(out)(parse_messages(parts[0]), 0)
+    batch_writer(out, query_id=str(q.id))(parse_messages(parts[0]), 0)
     assert read_sink(spark, out).count() == before
+    batch_writer(out, query_id="another")(parse_messages(parts[0]), 0)  # a new query overwrites nothing
+    assert read_sink(spark, out).count() == before + parts[0].count()

@@ -102,3 +102,14 @@ def test_classifier_learns_and_round_trips(spark, tmp_dir):
     model.write().overwrite().save(tmp_dir + "/m")
     again = S.predict(PipelineModel.load(tmp_dir + "/m"), sp.filter("split = 'test'"))
     assert rows(again, "id", "pred") == rows(pred, "id", "pred")
+
+
+def test_stop_words_are_the_library_default(spark):
+    from pyspark.ml.feature import StopWordsRemover
+    assert list(T.stop_words()) == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_term_stats_tokenise_once(spark):
+    df = spark.createDataFrame([(1, "a cat and a dog")], "id long, t string")
+    plan = T.term_stats(T.tokenized(df, "t"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") == 1 and "Union" not in plan
