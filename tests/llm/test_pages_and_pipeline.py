@@ -144,6 +144,34 @@ def test_pipeline_stages_on_odd_rows(spark, pipeline):
     assert langid.UND not in {r.lang for r in last.collect()}
 
 
+def test_pipeline_rows_match_brute_force(spark, pipeline):
+    """Which documents reach the mix, and their redacted base kinds, without any of the operators' code."""
+    from test_near_duplicates import _expected_groups, _simhash
+    from test_text_operators import BASE, _base, _contamination, _mix_targets
+    rows = [r for r in documents() if any(c.isalpha() for c in r[1] or "")]
+    fp = {r: _simhash(r[1]) for r in set(rows)}
+    rows = [r for r, (_, head) in zip(rows, _expected_groups(rows, lambda r: fp[r], lambda a, b: (a ^ b).bit_count() <= 2))
+            if r[0] == head]
+    bench = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    rows = [r for r, v in zip(rows, _contamination(rows, bench)) if not v[-1]]
+    got = pipeline.run(spark, SF).collect()
+    size, target = _mix_targets([(r[0], r[1], r[2], r[3]) for r in rows])  # redaction keeps no more words than before
+    assert {r.doc_id for r in got} <= {r[0] for r in rows}
+    for s in target:
+        taken = sum(r.taken for r in got if r.source == s)
+        longest = max(len((r[1] or "").split()) for r in rows if r[3] == s)
+        assert abs(taken - target[s]) <= 0.05 * target[s] + longest
+    text = {r[0]: r[1] for r in rows}
+    for r in got:
+        assert not _base(r.text) and r.n_chars == len(r.text)
+        names = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>"}
+        for kind in BASE:
+            found = sum(k == kind for *_, k in _base(text[r.doc_id]))
+            assert r.text.count(names[kind]) - text[r.doc_id].count(names[kind]) <= found
+    alike = [r for r in got if not _base(text[r.doc_id]) and "token" not in r.text.lower() and r.text == text[r.doc_id]]
+    assert len(alike) > 0.5 * len(got)
+
+
 def test_pipeline_keeps_clean_documents(spark, pipeline):
     got = pipeline.run(spark, SF)
     kept = pipeline.near_dedup(spark, pipeline.language_id(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF), SF)
