@@ -217,7 +217,9 @@ GRAPH_COLUMNS = ["id", "date", "username", "inReplyToTweetId", "mentions_array",
 
 
 def _graph(spark, sf_dir):
-    posts = _clean(spark, sf_dir, GRAPH_COLUMNS)
+    from plume.session import work_dir
+    work_dir(spark)
+    posts = _clean(spark, sf_dir, GRAPH_COLUMNS).checkpoint(eager=True)  # read by every edge and node step
     return posts, G.user_edges(posts), G.user_nodes(posts, K.kpi_users(posts))
 
 
@@ -374,7 +376,10 @@ def q_term_counts(spark, sf_dir):
 
 
 def _split(spark, sf_dir):
-    return S.stratified_split(S.label_prep(labelled_text(spark, sf_dir)))
+    """The labelled split, written once: training and test sides read it again and again."""
+    from plume.session import work_dir
+    work_dir(spark)
+    return S.stratified_split(S.label_prep(labelled_text(spark, sf_dir))).checkpoint(eager=True)
 
 
 @register("tfidf_terms")
@@ -412,6 +417,33 @@ def q_label_audit(spark, sf_dir):
     return S.label_audit(labelled_text(spark, sf_dir))
 
 
+@register("label_audit_files")
+def q_label_audit_files(spark, sf_dir):
+    """Label frequencies per input file: the labelled texts as two CSV inputs, ``training`` and ``validation``."""
+    from plume.session import scratch_path
+    from plume.sources.files import read_labelled_csv
+    root = scratch_path(spark, "labelled-csv")
+    flat = labelled_text(spark, sf_dir).withColumn("text", F.regexp_replace("text", "[\\r\\n]", " "))
+    inputs = {"training": F.col("id") % 3 != 0, "validation": F.col("id") % 3 == 0}
+    for name, part in inputs.items():
+        flat.where(part).write.option("escape", '"').csv(f"{root}/{name}")
+    back = read_labelled_csv(spark, [f"{root}/{n}" for n in inputs], name_pattern=r"([^/]+)/[^/]+$")
+    return S.label_audit(back, "source_file")
+
+
+# A lexicon as a caller would bring it: frequent words of the English documents with scores.
+GIVEN_LEXICON = [("er", 0.5), ("es", -0.5), ("th", 0.05), ("en", -0.05), ("ed", 0.3), ("nt", -0.3), ("st", 0.8),
+                 ("ti", -0.8), ("ha", 0.0), ("ly", 0.1)]
+
+
+@register("lexicon_sentiment_given")
+def q_lexicon_sentiment_given(spark, sf_dir):
+    """Lexicon classes of every English post with a lexicon that the caller supplies."""
+    posts = _clean(spark, sf_dir, TEXT_COLUMNS).filter(F.col("lang") == "en")
+    lexicon = spark.createDataFrame(GIVEN_LEXICON, "word string, score double")
+    return S.lexicon_sentiment(posts.select("id", clean_text(F.col("content")).alias("text_clean")), lexicon)
+
+
 @register("label_prep")
 def q_label_prep(spark, sf_dir):
     return S.label_prep(labelled_text(spark, sf_dir)).drop("text")

@@ -582,3 +582,19 @@ FROM {_judged_sql(5)} a JOIN {_judged_sql(7)} b USING (id)"""
 SQL["eval_report_by_id"] = (f"WITH preds AS {_judged_sql(5)}, classes AS (SELECT * FROM (VALUES (0, 'Negative'), "
                             "(1, 'Neutral'), (2, 'Positive')) v(cls, class))\n"
                             + SQL["eval_report"][SQL["eval_report"].rindex(", st AS ("):])
+
+SQL["label_audit_files"] = with_ctes(["labelled"], """
+, f AS (SELECT CASE WHEN id % 3 = 0 THEN 'validation' ELSE 'training' END AS file, sentiment FROM labelled
+        WHERE sentiment IS NOT NULL)
+SELECT '*' AS "group", sentiment, count(*) AS count FROM f GROUP BY sentiment
+UNION ALL SELECT file, sentiment, count(*) FROM f GROUP BY file, sentiment""")
+SQL["lexicon_sentiment_given"] = with_ctes(["topic_corpus"], """
+, lex AS (SELECT * FROM (VALUES ('er', 5000), ('es', -5000), ('th', 500), ('en', -500), ('ed', 3000), ('nt', -3000),
+                                ('st', 8000), ('ti', -8000), ('ha', 0), ('ly', 1000)) v(word, e4)),
+h AS (SELECT t.id, sum(x.e4) AS e4, count(*) AS n FROM (SELECT id, unnest(tokens) AS word FROM topic_corpus) t
+      JOIN lex x ON t.word = x.word GROUP BY t.id),
+p AS (SELECT d.id, CASE WHEN coalesce(h.n, 0) > 0 THEN CAST(h.e4 AS DOUBLE) / h.n / 10000.0 ELSE 0.0 END AS score,
+        CASE WHEN coalesce(h.n, 0) > 0 AND h.e4 * 20 <= -10000 * h.n THEN 'Negative'
+             WHEN coalesce(h.n, 0) > 0 AND h.e4 * 20 >= 10000 * h.n THEN 'Positive' ELSE 'Neutral' END AS pred_label
+      FROM topic_corpus d LEFT JOIN h ON d.id = h.id)
+SELECT *, CAST(CASE pred_label WHEN 'Negative' THEN 0 WHEN 'Neutral' THEN 1 ELSE 2 END AS INTEGER) AS pred FROM p""")

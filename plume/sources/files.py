@@ -28,13 +28,15 @@ def read_posts_csv(spark: SparkSession, path: str, columns: list[str] = KEEP_COL
     return df.select([c for c in columns if c in df.columns])
 
 
-def read_labelled_csv(spark: SparkSession, paths: str | list[str], multi_line: bool = False) -> DataFrame:
-    """Headerless labelled text ``id, topic, sentiment, text`` (several files are one frame), plus the file name.
+def read_labelled_csv(spark: SparkSession, paths: str | list[str], multi_line: bool = False,
+                      name_pattern: str = r"([^/]+)$") -> DataFrame:
+    """Headerless labelled text ``id, topic, sentiment, text`` (several files are one frame), plus ``source_file``.
 
-    ``multi_line``: as in ``read_posts_csv``."""
+    ``name_pattern`` picks the name from a file's path: the file's own, or that of its folder where an input is a
+    folder of part files (``r"([^/]+)/[^/]+$"``).  ``multi_line``: as in ``read_posts_csv``."""
     r = spark.read.schema(LABELLED_TEXT).option("header", False).option("multiLine", multi_line).option("escape", '"')
     df = r.csv(paths if isinstance(paths, list) else [paths])
-    return df.withColumn("source_file", F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1))
+    return df.withColumn("source_file", F.regexp_extract(F.input_file_name(), name_pattern, 1))
 
 
 def write_dataset(df: DataFrame, root: str, name: str, mode: str = "overwrite", fmt: str = "parquet",
