@@ -157,7 +157,8 @@ def passages(docs: DataFrame, words: int = MIN_WORDS, gram: int = GRAM, key: str
     def sampled(c, t):
         places, keys = minimisers(_hashes(t), words, gram)
         return c, keys, places
-    seeds = repeated(rows.select(cls, "text").mapInArrow(_emit(sampled, 2), ROW), "seeds")
+    kept = written(rows.select(cls, "text").mapInArrow(_emit(sampled, 2), ROW), "suffixes")  # sampled, then sorted
+    seeds = repeated(kept, "seeds")
     per_class = seeds.groupBy("cls").agg(F.collect_set("pos").alias("seeds"))  # a text's own places only
     seeded = classes.join(per_class, "cls").select("id", "same", "cls", "seeds")
 
