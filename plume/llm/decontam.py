@@ -72,13 +72,11 @@ def occurrences(docs: DataFrame, prefix: DataFrame, n_windows: int, text: str =
         at = F.col("pos") - F.col("offset") + 1
         met = each.join(F.broadcast(prefix), (F.lower("w") == F.col("token")) & fits)
     else:  # the words around each word travel instead of the whole text
-        wide = F.col("k_most") - 1
-        prefix = prefix.withColumn("k_most", F.lit(WINDOW))
         each = (worded.select("__id", "__h", "ws", F.size("ws").alias("n"), F.posexplode("ws").alias("pos", "w"))
                 .withColumn("from", F.greatest(F.col("pos") - (WINDOW - 1), F.lit(0)))
                 .withColumn("ws", F.slice("ws", F.col("from") + 1, F.lit(2 * WINDOW - 1))))
         at = F.col("pos") - F.col("offset") - F.col("from") + 1
-        met = each.join(prefix, (F.lower("w") == F.col("token")) & fits & (wide >= 0))
+        met = each.join(prefix, (F.lower("w") == F.col("token")) & fits)
     same = ascii_lower(F.array_join(F.slice("ws", F.greatest(at, F.lit(1)), F.col("k")), " ")) == F.col("win")
     return met.where(same).select("__id", "__h", (F.col("pos") - F.col("offset")).alias("at"), "k", "win")
 
