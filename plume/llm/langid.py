@@ -10,7 +10,7 @@ language's profile lacks it); the nearest language wins, ties go to the first by
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +19,7 @@ from .common import append, table
 PROFILE = 400
 UND = "und"
 CHUNK = 1 << 20  # characters of a text that are counted at once
+HELD = 300_000   # n-grams of a language that a task holds before it adds them up
 
 _LETTERS: list = []
 
@@ -62,26 +63,32 @@ def counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 def train(labelled: DataFrame, profile: int = PROFILE) -> dict[str, list[int]]:
     """Profiles by language from ``(text, lang)`` rows: packed n-grams, the most frequent first.
 
-    Rows with a null text or language teach nothing.  Counts cover all rows: every task adds up its own batch by
+    Rows with a null text or language teach nothing.  Counts cover all rows: every task adds up its own by
     language before the shuffle.  What reaches the driver is ``profile`` n-grams a language.
     """
     def run(batches):
+        held: dict[str, list] = {}
+
+        def out(lang):
+            parts = held.pop(lang)
+            u, inv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            n = np.bincount(inv, np.concatenate([p[1] for p in parts]), len(u)).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array([lang] * len(u)), pa.array(u), pa.array(n)], ["lang", "code", "n"])
+        sizes: dict[str, int] = {}
         for b in batches:
-            for lang, texts in b.groupby("lang")["text"]:
-                held, size = [], 0
-                for i, t in enumerate(texts):
-                    held.append(counts(t))
-                    size += len(held[-1][0])
-                    if size > 2_000_000 or i == len(texts) - 1:
-                        code = np.concatenate([h[0] for h in held])
-                        u, inv = np.unique(code, return_inverse=True)
-                        n = np.bincount(inv, np.concatenate([h[1] for h in held]), len(u))
-                        yield pd.DataFrame({"lang": lang, "code": u, "n": n.astype(np.int64)})
-                        held, size = [], 0
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                got = counts(text)
+                held.setdefault(lang, []).append(got)
+                sizes[lang] = sizes.get(lang, 0) + len(got[0])
+                if sizes[lang] > HELD:
+                    yield out(lang)
+                    sizes[lang] = 0
+        for lang in list(held):
+            yield out(lang)
 
     known = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    n = known.mapInPandas(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    n = known.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     at = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     found: dict[str, list[int]] = {}
     for r in n.withColumn("at", at).where(F.col("at") <= profile).orderBy("lang", "at").collect():
