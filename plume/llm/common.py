@@ -56,6 +56,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: What a Python task holds of its input at once; texts may be very long, so bytes count as well as rows.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+               "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` in batches of ``ARROW_BATCH`` (set on the session)."""
+    for k, v in ARROW_BATCH.items():
+        df.sparkSession.conf.set(k, v)
+    return df.mapInArrow(run, schema)
+
+
 def append(df: DataFrame, col: str, add: str, make: Callable[[], Callable[[list], list[list]]],
            drop: tuple[str, ...] = ()) -> DataFrame:
     """``df`` without ``drop`` plus the columns ``add`` (DDL), computed from ``col`` batch by batch.
@@ -74,4 +86,4 @@ def append(df: DataFrame, col: str, add: str, make: Callable[[], Callable[[list]
             got = fn(b.column(col).to_pylist())
             cols = [b.column(c) for c in keep] + [pa.array(v, to_arrow_type(f.dataType)) for f, v in zip(new, got)]
             yield pa.RecordBatch.from_arrays(cols, [*keep, *new.names])
-    return df.select(*dict.fromkeys([*keep, col])).mapInArrow(run, schema)
+    return map_arrow(df.select(*dict.fromkeys([*keep, col])), run, schema)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import append, table
+from .common import append, map_arrow, table
 
 PROFILE = 400
 UND = "und"
@@ -88,7 +88,7 @@ def train(labelled: DataFrame, profile: int = PROFILE) -> dict[str, list[int]]:
 
     known = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    n = known.mapInArrow(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    n = map_arrow(known, run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     at = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     found: dict[str, list[int]] = {}
     for r in n.withColumn("at", at).where(F.col("at") <= profile).orderBy("lang", "at").collect():

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import append, table
+from .common import append, map_arrow, table
 
 BUCKETS = 1 << 13
 DIM, SPARSE, REACH = 32, 4, 2
@@ -80,8 +80,8 @@ def context_table(docs: DataFrame, text: str = "text") -> np.ndarray:
         used = np.flatnonzero(np.abs(total).sum(1))
         yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(total[used, i]) for i in range(DIM)]],
                                          ["bucket", *names])
-    parts = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(
-        run, "bucket long, " + ", ".join(f"{n} long" for n in names))
+    parts = map_arrow(docs.select(F.col(text).cast("string").alias("t")), run,
+                      "bucket long, " + ", ".join(f"{n} long" for n in names))
     rows = parts.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).collect()
     out = np.zeros((BUCKETS, DIM))
     for r in rows:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import append, cut, partitions, table
+from .common import append, cut, map_arrow, partitions, table
 from .components import components
 
 CHAIN = 2
@@ -142,7 +142,7 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
             tail = np.concatenate((np.zeros(len(ids), bool), np.ones(int(first.sum()), bool)))
             yield pa.RecordBatch.from_arrays([*b.take(take).columns, pa.array(block, pa.int32()), pa.array(tail)],
                                              [*b.schema.names, "block", "tail"])
-    dealt = rows.mapInArrow(deal, "__id long, doc_id long, text string, block int, tail boolean")
+    dealt = map_arrow(rows, deal, "__id long, doc_id long, text string, block int, tail boolean")
     return dealt.repartition(partitions(docs.sparkSession), "block").sortWithinPartitions(
         "block", "tail", "__id", "text")
 
@@ -179,7 +179,7 @@ def compare(docs: DataFrame, key: str = "doc_id", text: str = "text", chain: int
                      for f in OUT.split(", ")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
-    return with_next(docs, key, text).mapInArrow(run, OUT)
+    return map_arrow(with_next(docs, key, text), run, OUT)
 
 
 def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

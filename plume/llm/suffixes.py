@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, table, written
+from .common import map_arrow, partitions, table, written
 
 MIN_WORDS = 50
 GRAM = 10
@@ -129,7 +129,7 @@ def repeated(rows: DataFrame, name: str) -> DataFrame:
         if held is not None:
             yield out(np.array([held[0]]), np.array([held[1]]), np.array([held[2]], np.int32),
                       np.array([held[3]]), np.array([True]))
-    found = written(ranged.mapInArrow(run, ROW + ", twin boolean, edge boolean"), name)
+    found = written(map_arrow(ranged, run, ROW + ", twin boolean, edge boolean"), name)
     # Edge rows are at most two a partition; one without a twin here may have it across the edge.
     across = (found.where("edge").groupBy("key").agg(F.min(F.struct("cls", "pos")).alias("a"),
                                                      F.max(F.struct("cls", "pos")).alias("b"))
@@ -157,7 +157,7 @@ def passages(docs: DataFrame, words: int = MIN_WORDS, gram: int = GRAM, key: str
     def sampled(c, t):
         places, keys = minimisers(_hashes(t), words, gram)
         return c, keys, places
-    kept = written(rows.select(cls, "text").mapInArrow(_emit(sampled, 2), ROW), "suffixes")  # sampled, then sorted
+    kept = written(map_arrow(rows.select(cls, "text"), _emit(sampled, 2), ROW), "suffixes")  # sampled, then sorted
     seeds = repeated(kept, "seeds")
     per_class = seeds.groupBy("cls").agg(F.collect_set("pos").alias("seeds"))  # a text's own places only
     seeded = classes.join(per_class, "cls").select("id", "same", "cls", "seeds")
@@ -171,7 +171,7 @@ def passages(docs: DataFrame, words: int = MIN_WORDS, gram: int = GRAM, key: str
         places = np.flatnonzero(np.cumsum(near[:-1]) > 0)
         return c, s[places], places
     around = rows.join(seeded, ["id", "same"]).select("cls", "text", "seeds")
-    stretches = written(around.mapInArrow(_emit(extended, 3), ROW), "stretches")
+    stretches = written(map_arrow(around, _emit(extended, 3), ROW), "stretches")
     starts = repeated(stretches, "repeats").groupBy("cls").agg(F.sort_array(F.collect_set("pos")).alias("at"))
     # Runs of places that follow each other, or whose stretches touch or overlap, join to one passage.
     begins = F.filter("at", lambda x, i: (i == 0) | (x > F.get("at", i - 1) + words))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import append, ascii_lower, table
+from .common import append, ascii_lower, map_arrow, table
 
 ORDER = 5
 SLOTS = 1 << 18
@@ -104,8 +104,8 @@ def train(urls: DataFrame) -> dict[str, Model]:
                     yield out()
         if held:
             yield out()
-    grams = (urls.where("judged IS NOT NULL AND text != ''").select("text", "judged")
-             .mapInArrow(run, "judged string, ctx binary, nxt binary, n long")
+    taught = urls.where("judged IS NOT NULL AND text != ''").select("text", "judged")
+    grams = (map_arrow(taught, run, "judged string, ctx binary, nxt binary, n long")
              .groupBy("judged", "ctx", "nxt").agg(F.sum("n").alias("n")))
 
     def slots(batches):  # the same hashes that scoring uses
@@ -115,7 +115,7 @@ def train(urls: DataFrame) -> dict[str, Model]:
                 b.column(0), pa.array([_slot(c, 1) for c in ctx], pa.int64()),
                 pa.array([_slot(c + x, 2 + len(c)) for c, x in zip(ctx, nxt)], pa.int64()), b.column(3)],
                 ["judged", "c", "s", "n"])
-    each = grams.mapInArrow(slots, "judged string, c long, s long, n long")
+    each = map_arrow(grams, slots, "judged string, c long, s long, n long")
     both = each.select("judged", "n", F.explode(F.array(
         F.struct(F.lit(0).alias("what"), F.col("c").alias("at")), F.struct(F.lit(1).alias("what"), F.col("s").alias("at"))))
         .alias("x"))
