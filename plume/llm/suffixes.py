@@ -4,14 +4,15 @@
    ``GRAM`` words among ``MIN_WORDS - GRAM + 1`` in a row, so every passage of ``MIN_WORDS`` words holds one, chosen
    by its content alone.
 2. The kept suffixes are sorted by the hash of their first ``GRAM`` words over the whole corpus (range partitions),
-   and each is compared with its neighbours: one with an equal neighbour is a seed.
+   and each is compared with its neighbours: one whose neighbours of other texts are equal is a seed.
 3. Seeds are extended left and right: every stretch of ``MIN_WORDS`` words around a seed is hashed, the stretches
-   are sorted likewise, and those with an equal neighbour repeat.  Neighbouring stretches join to the longest
+   are sorted likewise, and those that another text has too repeat.  Neighbouring stretches join to the longest
    passages.  Nothing is paired out: a passage in very many texts costs a row each.
 
 Sorting ties by text and place spreads the rows of a very common passage over many partitions; rows at a
-partition's edge, whose neighbour lies in another one, are decided by a table of two rows a partition.  Texts that
-are equal as a whole are one class: its stretches count once, and its members repeat as a whole.
+partition's edge, whose neighbour lies in another one, are decided by a table of the edges.  Texts that are equal as
+a whole are one class: its stretches count once, and its members repeat as a whole.  What a text only repeats
+within itself is left alone.
 """
 
 from __future__ import annotations
@@ -98,42 +99,47 @@ def _emit(per_doc, n_cols):
 
 
 def repeated(rows: DataFrame, name: str) -> DataFrame:
-    """``(cls, pos)`` of the rows whose key some other (cls, pos) has too: sort, then compare neighbours."""
+    """``(cls, pos)`` of the rows whose key another ``cls`` has too: sort, then compare neighbours.
+
+    Sorted by key and class, a run of one key has two classes exactly if its first and its last row differ.  A
+    task streams over its runs; of a run that goes on it holds the rows of one class only (a text's own places).
+    """
     n = partitions(rows.sparkSession)
     ranged = rows.repartitionByRange(n, "key", "cls", "pos").sortWithinPartitions("key", "cls", "pos")
 
     def run(batches):
-        held, first = None, True  # held: the last row so far, and whether it equals the one before
+        k, c, p = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)  # rows of the run that goes on
+        many, first = False, True  # whether it has two classes already; whether it is the partition's first
 
-        def out(k, c, p, twin, edge):
-            return pa.RecordBatch.from_arrays([pa.array(k), pa.array(c), pa.array(p), pa.array(twin), pa.array(edge)],
+        def out(take, twin, edge):
+            return pa.RecordBatch.from_arrays([pa.array(k[take]), pa.array(c[take]), pa.array(p[take]),
+                                               pa.array(twin[take]), pa.array(edge[take])],
                                               ["key", "cls", "pos", "twin", "edge"])
         for b in batches:
             if not b.num_rows:
                 continue
-            k, c, p = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            twin = np.zeros(len(k), bool)
-            if held is not None:
-                k, c, p = (np.concatenate(([h], a)) for h, a in zip(held[:3], (k, c, p)))
-                twin = np.concatenate(([held[3]], twin))
-            same = (k[1:] == k[:-1]) & ((c[1:] != c[:-1]) | (p[1:] != p[:-1]))
-            twin[1:] |= same
-            twin[:-1] |= same
-            edge = np.zeros(len(k), bool)
-            edge[0] = first
-            keep = (twin | edge)[:-1]
-            if keep.any():
-                yield out(k[:-1][keep], c[:-1][keep], p.astype(np.int32)[:-1][keep], twin[:-1][keep], edge[:-1][keep])
-            first = first and len(k) == 1
-            held = (k[-1], c[-1], p[-1], bool(twin[-1]))
-        if held is not None:
-            yield out(np.array([held[0]]), np.array([held[1]]), np.array([held[2]], np.int32),
-                      np.array([held[3]]), np.array([True]))
+            k, c, p = (np.concatenate((old, b.column(i).to_numpy(zero_copy_only=False)))
+                       for i, old in enumerate((k, c, p)))
+            starts = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+            ends = np.concatenate((starts[1:], [len(k)]))
+            two = c[starts] != c[ends - 1]
+            two[0] |= many
+            twin, edge = np.repeat(two, ends - starts), np.zeros(len(k), bool)
+            edge[:ends[0]] = first  # all of a partition's first run: the run before may end with its key
+            last = starts[-1]
+            done = np.zeros(len(k), bool)
+            done[:len(k) - 1 if two[-1] else last] = True  # of a decided run only the last row stays behind
+            take = np.flatnonzero(done & (twin | edge))
+            if len(take):
+                yield out(take, twin, edge)
+            many, first = bool(two[-1]), first and len(starts) == 1
+            k, c, p = k[~done], c[~done], p[~done]
+        if len(k):
+            yield out(np.arange(len(k)), np.full(len(k), many), np.ones(len(k), bool))
     found = written(map_arrow(ranged, run, ROW + ", twin boolean, edge boolean"), name)
-    # Edge rows are at most two a partition; one without a twin here may have it across the edge.
-    across = (found.where("edge").groupBy("key").agg(F.min(F.struct("cls", "pos")).alias("a"),
-                                                     F.max(F.struct("cls", "pos")).alias("b"))
-              .where("a != b").select("key"))
+    # Undecided rows at a partition's edge belong to one class; another one may have the key across the edge.
+    across = (found.where("edge").groupBy("key").agg(
+        (F.max("twin") | (F.min("cls") != F.max("cls"))).alias("two")).where("two").select("key"))
     late = found.where("edge AND NOT twin").join(across, "key", "left_semi")
     return found.where("twin").select("cls", "pos").unionByName(late.select("cls", "pos"))
 
@@ -142,8 +148,8 @@ def passages(docs: DataFrame, words: int = MIN_WORDS, gram: int = GRAM, key: str
              text: str = "text") -> DataFrame:
     """``(doc_id, start, end, n_words)``: longest passages made of repeated stretches of ``words`` words, by row.
 
-    Places count words from 0, the end is exclusive.  A passage repeats if each of its stretches occurs elsewhere,
-    in another row or at another place of the same.  Null, empty and shorter texts have none; repeated rows and
+    Places count words from 0, the end is exclusive.  A passage repeats if each of its stretches occurs in
+    another row.  Null, empty and shorter texts have none; repeated rows and
     equal texts each get theirs; null ids keep their rows; an empty table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("id"),

@@ -129,15 +129,15 @@ def test_spotsigs_near_duplicates_match_brute_force(spark):
 
 def _passages(rows, n):
     words = [(r[0], (r[1] or "").encode().split()) for r in rows]
-    seen = defaultdict(int)
-    for _, w in words:
+    seen = defaultdict(set)
+    for i, (_, w) in enumerate(words):
         for s in range(len(w) - n + 1):
-            seen[tuple(w[s:s + n])] += 1
+            seen[tuple(w[s:s + n])].add(i)
     out = []
     for doc_id, w in words:
         runs = []
         for s in range(len(w) - n + 1):
-            if seen[tuple(w[s:s + n])] > 1:
+            if len(seen[tuple(w[s:s + n])]) > 1:
                 if runs and s <= runs[-1][1]:
                     runs[-1][1] = s + n
                 else:
@@ -150,8 +150,16 @@ def test_passages_match_brute_force(spark):
     shared = " ".join(f"s{i}" for i in range(55))
     rows = [r for r in odd() if len(r[1] or "") < 50_000] + [
         (6000 + i, " ".join(f"w{i}_{j}" for j in range(30)) + " " + shared + f" end{i}", "en", "s", 1, "", 1, "")
-        for i in range(30)] + [(6100, "rep " * 200, "en", "s", 1, "", 1, "")]
+        for i in range(30)] + [
+        (6100, "rep " * 200, "en", "s", 1, "", 1, ""),  # repeats within itself only
+        (6101, "both " * 130, "en", "s", 1, "", 1, ""), (6102, "x " + "both " * 90, "en", "s", 1, "", 1, "")]
     got = suffixes.passages(frame(spark, rows))
     assert bag(got.collect()) == bag(_passages(rows, 50))
     assert suffixes.passages(empty(spark)).count() == 0
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "61")  # runs of a key that pass the edges of many partitions
+    try:
+        assert bag(suffixes.passages(frame(spark, rows)).collect()) == bag(_passages(rows, 50))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
     assert bag(suffixes.passages(frame(spark, rows[:60]), words=20, gram=5).collect()) == bag(_passages(rows[:60], 20))
