@@ -21,7 +21,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each SimHash group."""
+    """Keeps one document of each SimHash group: the one with the smallest id, null ids last."""
     return simhash.one_each(docs)
 
 

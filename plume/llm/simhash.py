@@ -124,10 +124,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     """
     fps = cut(fingerprints(docs, shingle, key, text))
     own = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))  # copies are one row from here on
-    linked = components(links(pivot_table(own.select("fp")), max_bits))
     # Component ids are fingerprints here; the smallest document of the component names it.
-    named = own.join(linked, own["fp"] == linked["node"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("c"))
+    named = _named(own, max_bits)
     low = named.where("c != fp").groupBy("c").agg(F.min("least").alias("other"))
     comp = (named.join(low, "c", "left"))
     heads = (comp.where("fp = c").select("c", F.least("least", "other").alias("component_id")))
@@ -135,15 +133,33 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     return fps.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
+def _named(own: DataFrame, max_bits: int) -> DataFrame:
+    """``own`` (one row a distinct ``fp``, with ``least``) plus ``c``, the smallest fingerprint of its component."""
+    linked = components(links(pivot_table(own.select("fp")), max_bits))
+    return own.join(linked, own["fp"] == linked["node"], "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("c"))
+
+
 def one_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
              key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that name their group: one row of each group stays."""
-    found = near_duplicates(docs, shingle, max_bits, key, text)
-    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__head")).distinct()
-    kept = docs.join(heads, F.col(key).cast("long").eqNullSafe(F.col("__head")), "left_semi")
-    twice = docs.groupBy(key).count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates([key]) if twice else kept  # ids that occur twice name several rows
+    """One row of each group of ``docs``, all columns: the smallest id's, null ids last.
+
+    Groups are told apart by their fingerprints, so null ids and ids of several texts lose no group.  Rows of one id
+    go by the hash of the text, then by that of the other columns; of rows alike in all of these one stays.
+    """
+    rest = [c for c in docs.columns if c not in (key, text)]
+    by = {"__id": F.col(key).cast("long"), "__h": F.xxhash64(F.col(text).cast("string")),
+          "__r": F.xxhash64(F.to_json(F.struct(*rest))) if rest else F.lit(0).cast("long")}
+    rows = docs.select(*[c.alias(n) for n, c in by.items()], F.col(text).cast("string").alias("t"))
+    fps = cut(append(rows, "t", "fp long", lambda: lambda ts: [[_signed(fingerprint(t, shingle)) for t in ts]],
+                     drop=("t",)))
+    own = cut(fps.groupBy("fp").agg(F.min(F.struct(F.isnull("__id").alias("no_id"), *by)).alias("least")))
+    heads = _named(own, max_bits).groupBy("c").agg(F.min("least").alias("x")).select(*[f"x.{n}" for n in by])
+    same = [F.col(f"d.{n}").eqNullSafe(F.col(f"head.{n}")) for n in by]
+    kept = docs.withColumns(by).alias("d").join(heads.alias("head"), same, "left_semi")
+    if fps.groupBy(*by).count().where("count > 1").limit(1).count():  # rows alike in all of these
+        kept = kept.dropDuplicates([*by])
+    return kept.select(*docs.columns)
 
 
 def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,6 +85,24 @@ def test_one_of_each_group_stays(spark):
     assert kept.count() == groups
 
 
+def test_null_and_repeated_ids_keep_every_group(spark):
+    tail = ("en", "s", 1, "", 1, "")
+    rows = [(None, f"text {i} without any id " + f"word{i} " * 9, *tail) for i in range(5)] + [
+        (None, "text 0 without any id " + "word0 " * 9, *tail), (1, "one text under an id", *tail),
+        (1, "quite another one of that same id", *tail), (1, "one text under an id", *tail),
+        (0, "quite another one of that same id", *tail), (1, "one text under an id", *tail[:-1], "other")]
+    fp = {r: _simhash(r[1]) for r in set(rows)}
+    of = _groups(set(fp.values()), lambda a, b: (a ^ b).bit_count() <= 2)
+    want = {}
+    for r in rows:
+        want.setdefault(of[fp[r]], []).append(r)
+    least = {g: min((r[0] is None, r[0] or 0) for r in rs) for g, rs in want.items()}
+    for parts in (1, 5):
+        kept = [tuple(r) for r in simhash.one_each(frame(spark, rows, parts)).collect()]
+        assert sorted(of[fp[r]] for r in kept) == sorted(want) and len(want) == 7
+        assert all((r[0] is None, r[0] or 0) == least[of[fp[r]]] for r in kept)
+
+
 def test_long_chains_become_one_component(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1000), (None, 5), (7, 6)], "a long, b long")
     got = components.components(links).collect()
