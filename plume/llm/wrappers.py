@@ -9,8 +9,8 @@
    themselves and their wrappers again, as a reduction tree, so a hot host is no single task.
 3. Each slot of a wrapper knows over all pages how much text and linked text it held and whether it ever changed.
    Slots under furniture (navigation, footers, forms, adverts, comments and the like, by tag or class word), slots
-   of links, and slots whose text never changes are template; the main region is the wrapper's article or main
-   element, else the smallest container with most of the other text.
+   of links, and slots whose text never changes are template; the main region is a skeleton's article or main
+   element, else the smallest container with most of its other text.
 4. Each skeleton is aligned with its host's wrapper, and a page keeps the blocks of its main slots.
 """
 
@@ -203,8 +203,8 @@ def _is_furniture(label: str, in_article: bool) -> bool:
     return bool(found - {"header"} if in_article else found)  # an article's header holds its title
 
 
-def main_slots(wrapper: list) -> list[bool]:
-    """For each slot of a wrapper, in order, whether it belongs to the main text."""
+def slots_of_wrapper(wrapper: list) -> tuple[list, list]:
+    """Slots of a wrapper in order, as (path, free, semantic, changing, characters), and its containers' paths."""
     slots, regions, containers = [], [], []
 
     def walk(node, path, furniture, semantic):
@@ -224,29 +224,36 @@ def main_slots(wrapper: list) -> list[bool]:
         for k in node[2]:
             walk(k, here, furniture, semantic)
     walk(wrapper, (), False, False)
-    if any(s[1] and s[2] for s in slots):
-        return [s[1] and s[2] for s in slots]
-    total = sum(s[4] for s in slots if s[3])
+    return slots, containers
+
+
+def main_slots(slots: list, containers: list) -> list[bool]:
+    """For each of a page's slots (None: not in the wrapper), whether it belongs to the main text."""
+    own = [s for s in slots if s]
+    if any(s[1] and s[2] for s in own):
+        return [bool(s and s[1] and s[2]) for s in slots]
+    total = sum(s[4] for s in own if s[3])
     region = ()
     for r in containers:  # the deepest that still holds most of the free text
-        if sum(s[4] for s in slots if s[3] and s[0][:len(r)] == r) >= REGION_SHARE * total and len(r) > len(region):
+        if sum(s[4] for s in own if s[3] and s[0][:len(r)] == r) >= REGION_SHARE * total and len(r) > len(region):
             region = r
-    return [s[3] and s[0][:len(region)] == region for s in slots]
+    return [bool(s and s[3] and s[0][:len(region)] == region) for s in slots]
 
 
 def mask(skeleton: list, wrapper: list) -> list[bool]:
     """Which of a skeleton's slots are main, by its alignment with its wrapper."""
-    marks = iter(main_slots(wrapper))
+    slots, containers = slots_of_wrapper(wrapper)
+    each = iter(slots)
 
     def marked(node):
-        return [node[0], next(marks) if node[0] == "#" else None, [marked(k) for k in node[2]]]
+        return [node[0], next(each) if node[0] == "#" else None, [marked(k) for k in node[2]]]
 
     def count(node):
         return (node[0] == "#") + sum(count(k) for k in node[2])
 
     def walk(node, w):
         if node[0] == "#":
-            return [bool(w[1])]
+            return [w[1]]
         out = []
         same = SequenceMatcher(None, [k[0] for k in node[2]], [k[0] for k in w[2]], autojunk=False)
         for op, i, i2, j, j2 in same.get_opcodes():
@@ -254,9 +261,9 @@ def mask(skeleton: list, wrapper: list) -> list[bool]:
                 for x, y in zip(node[2][i:i2], w[2][j:j2]):
                     out += walk(x, y)
             else:
-                out += [False] * sum(count(k) for k in node[2][i:i2])
+                out += [None] * sum(count(k) for k in node[2][i:i2])
         return out
-    return walk(skeleton, marked(wrapper))
+    return main_slots(walk(skeleton, marked(wrapper)), containers)
 
 
 def _page(html):

@@ -62,6 +62,29 @@ def test_folded_groups_and_alignment():
     assert both[2][1][2][0][3] == [2, 2, 0, 1, 2]
 
 
+def _masks(*pages):
+    """Text of each page of a host, without Spark: all skeletons aligned into one wrapper."""
+    got = [wrappers._facts_of(p) for p in pages]
+    made = [wrappers._wrapper(wrappers.json.loads(g[0]), iter([[1, c, n, h, h] for c, n, h in zip(*g[2:5])])) for g in got]
+    whole = made[0]
+    for m in made[1:]:
+        whole = wrappers.align(whole, m)
+    out = []
+    for p, g in zip(pages, got):
+        _, blocks, _, slots = wrappers.read(p)
+        main = wrappers.mask(wrappers.json.loads(g[0]), whole)
+        keep = sorted(b for at, m in zip(slots, main) if m for b in at)
+        out.append([blocks[b] for b in keep])
+    return out
+
+
+def test_pages_without_article_beside_pages_with_one():
+    got = _masks("<body><nav>Menu</nav><article><p>One</p></article></body>",
+                 "<body><nav>Menu</nav><div class=text><p>Plain</p><p>page</p></div><footer>F</footer></body>",
+                 "bare words")
+    assert got == [["One"], ["Plain", "page"], ["bare words"]]
+
+
 def test_whole_pages_of_the_fixture(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op3_wrappers"](spark, SF).collect()}
