@@ -39,8 +39,9 @@ STRUCTURE = frozenset("""html body main article section div p h1 h2 h3 h4 h5 h6
 tr td th caption blockquote pre figure figcaption address nav header footer aside form fieldset legend label details
 summary dialog menu center hgroup""".split())
 BREAKS = frozenset(["br", "hr"])
-LEFT_OUT = frozenset("""head script style noscript template textarea select option button svg math iframe object canvas
+LEFT_OUT = frozenset("""script style noscript template textarea select option button svg math iframe object canvas
 audio video map title""".split())
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in ("script", "style", "textarea", "title", "iframe")}  # no tags inside
 NEVER_CLOSED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                 "th": {"td", "th"}}
 CONTAINERS = frozenset("#root html body div section center td".split())
@@ -123,12 +124,16 @@ def read(html: str | None) -> tuple[tuple, list[str], list[int], list[list[int]]
         stack[-1].slots.append([s for kid in slots for s in kid])
 
     at, skipping = 0, None
-    for m in _TAG.finditer(html):
+    while m := _TAG.search(html, at):
         if skipping is None:
             buf.append(html[at:m.start()])
             if in_link:
                 linked += m.start() - at
         at, tag = m.end(), (m[2] or "").lower()
+        if tag in RAW and not m[1] and not m[3].endswith("/"):
+            end = RAW[tag].search(html, at)  # such an element ends at its literal closing tag, else with the page
+            at = end.end() if end else len(html)
+            continue
         if skipping is not None:
             if m[1] and tag == skipping:
                 skipping = None

@@ -85,6 +85,15 @@ def test_pages_without_article_beside_pages_with_one():
     assert got == [["One"], ["Plain", "page"], ["bare words"]]
 
 
+def test_scripts_with_less_than_signs_and_open_heads():
+    for page in ("<body><script>for(i=0;i<n;i++){f()}</script><p>One</p><p>Two</p></body>",
+                 "<style>a<b{}</STYLE ><p>One</p><svg><title>a<b</title></svg><textarea><p></textarea><p>Two",
+                 "<html><head><title>T <i></title><meta name=a><body><p>One</p><p>Two</p></body>",
+                 "<head><title>T</title><p>One</p><p>Two</p>", "<head><script>1</script></head><p>One</p><p>Two</p>"):
+        assert wrappers.read(page)[1] == ["One", "Two"]
+    assert wrappers.read("<p>One</p><script>if(a<b) '</p>' <p>Two")[1] == ["One"]
+
+
 def test_whole_pages_of_the_fixture(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op3_wrappers"](spark, SF).collect()}
