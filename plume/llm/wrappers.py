@@ -9,7 +9,7 @@
    themselves and their wrappers again, as a reduction tree, so a hot host is no single task.
 3. Each slot of a wrapper knows over all pages how much text and linked text it held and whether it ever changed.
    Slots under furniture (navigation, footers, forms, adverts, comments and the like, by tag or class word), slots
-   of links, and slots whose text never changes are template; the main region is a skeleton's article or main
+   of links, and slots whose text never changes while others of the page do are template; the main region is a skeleton's article or main
    element, else the smallest container with most of its other text.
 4. Each skeleton is aligned with its host's wrapper, and a page keeps the blocks of its main slots.
 """
@@ -31,7 +31,7 @@ from .urls import host
 
 FOLD = 64
 DEPTH = 60
-TEMPLATE_PAGES = 3   # a slot has to be the same on so many pages to count as template
+TEMPLATE_PAGES = 3   # a slot has to be the same on so many different pages to count as template
 REGION_SHARE = 0.8
 
 # Structural tags, tags without content of their own, tags left out with their content, furniture.
@@ -238,6 +238,10 @@ def main_slots(slots: list, containers: list) -> list[bool]:
     if any(s[1] and s[2] for s in own):
         return [bool(s and s[1] and s[2]) for s in slots]
     total = sum(s[4] for s in own if s[3])
+    if not total:  # without any text that changes, nothing tells template from text
+        own = [(*s[:3], s[1], s[4]) for s in own]
+        slots = [s and (*s[:3], s[1], s[4]) for s in slots]
+        total = sum(s[4] for s in own if s[3])
     region = ()
     for r in containers:  # the deepest that still holds most of the free text
         if sum(s[4] for s in own if s[3] and s[0][:len(r)] == r) >= REGION_SHARE * total and len(r) > len(region):
@@ -301,7 +305,9 @@ def infer(pages: DataFrame, html: str = "html") -> tuple[DataFrame, DataFrame]:
                            lambda: lambda hs: [list(x) for x in zip(*map(_facts_of, hs))] if hs else [[]] * 5,
                            drop=("h",)), "skeletons")
     kinds = read_.groupBy("host", "sk").agg(F.first("skeleton").alias("skeleton"), F.count(F.lit(1)).alias("n"))
-    slot = read_.select("host", "sk", F.posexplode(F.arrays_zip("chars", "linked", "hash")).alias("slot", "x"))
+    # Copies of a page are one page here: they say nothing about what changes from page to page.
+    pages_ = read_.groupBy("host", "sk", "hash").agg(F.first("chars").alias("chars"), F.first("linked").alias("linked"))
+    slot = pages_.select("host", "sk", F.posexplode(F.arrays_zip("chars", "linked", "hash")).alias("slot", "x"))
     facts = (slot.groupBy("host", "sk", "slot").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("x.chars").alias("chars"), F.sum("x.linked").alias("linked"),
         F.min("x.hash").alias("low"), F.max("x.hash").alias("high"))

@@ -94,6 +94,17 @@ def test_scripts_with_less_than_signs_and_open_heads():
     assert wrappers.read("<p>One</p><script>if(a<b) '</p>' <p>Two")[1] == ["One"]
 
 
+def test_copies_of_a_page_are_no_template(spark):
+    page = "<body><div><p>One</p>{}</div><footer>F</footer></body>"
+    rows = ([(i, "http://copies.example/", page.format("<p>Two</p>")) for i in range(5)]
+            + [(10 + i, "http://mixed.example/", page.format(f"<h2>Part {i}</h2>")) for i in range(4)]
+            + [(20 + i, "http://mixed.example/", page.format("<ul><li>Copied</ul>")) for i in range(5)])
+    got = _texts(spark, rows)
+    assert all(got[i] == "One\nTwo" for i in range(5))
+    assert all(got[10 + i] == f"Part {i}" for i in range(4))
+    assert all("Copied" in got[20 + i] for i in range(5))
+
+
 def test_whole_pages_of_the_fixture(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op3_wrappers"](spark, SF).collect()}
