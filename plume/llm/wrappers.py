@@ -9,9 +9,9 @@
    themselves and their wrappers again, as a reduction tree, so a hot host is no single task.
 3. Each slot of a wrapper knows over all pages how much text and linked text it held and whether it ever changed.
    Slots under furniture (navigation, footers, forms, adverts, comments and the like, by tag or class word), slots
-   of links, and slots whose text never changes while others of the page do are template; the main region is a skeleton's article or main
+   of links outside an article, and slots whose text never changes while others of the page do are template; the main region is a skeleton's article or main
    element, else the smallest container with most of its other text.
-4. Each skeleton is aligned with its host's wrapper, and a page keeps the blocks of its main slots.
+4. Each skeleton is found again in its host's wrapper, which holds it whole, and a page keeps the blocks of its main slots.
 """
 
 from __future__ import annotations
@@ -216,7 +216,7 @@ def slots_of_wrapper(wrapper: list) -> tuple[list, list]:
         label = node[0]
         if label == "#":
             n, chars, linked, low, high = node[3]
-            free = not furniture and linked <= 0.6 * chars
+            free = not furniture and (semantic or linked <= 0.6 * chars)
             slots.append((path, free, semantic, free and (semantic or n < TEMPLATE_PAGES or low != high), chars))
             return
         tag = label.split(".")[0]
@@ -233,46 +233,58 @@ def slots_of_wrapper(wrapper: list) -> tuple[list, list]:
 
 
 def main_slots(slots: list, containers: list) -> list[bool]:
-    """For each of a page's slots (None: not in the wrapper), whether it belongs to the main text."""
-    own = [s for s in slots if s]
-    if any(s[1] and s[2] for s in own):
-        return [bool(s and s[1] and s[2]) for s in slots]
-    total = sum(s[4] for s in own if s[3])
+    """For each of a page's slots, whether it belongs to the main text."""
+    if any(s[1] and s[2] for s in slots):
+        return [s[1] and s[2] for s in slots]
+    total = sum(s[4] for s in slots if s[3])
     if not total:  # without any text that changes, nothing tells template from text
-        own = [(*s[:3], s[1], s[4]) for s in own]
-        slots = [s and (*s[:3], s[1], s[4]) for s in slots]
-        total = sum(s[4] for s in own if s[3])
+        slots = [(*s[:3], s[1], s[4]) for s in slots]
+        total = sum(s[4] for s in slots if s[3])
     region = ()
     for r in containers:  # the deepest that still holds most of the free text
-        if sum(s[4] for s in own if s[3] and s[0][:len(r)] == r) >= REGION_SHARE * total and len(r) > len(region):
+        if sum(s[4] for s in slots if s[3] and s[0][:len(r)] == r) >= REGION_SHARE * total and len(r) > len(region):
             region = r
-    return [bool(s and s[3] and s[0][:len(region)] == region) for s in slots]
+    return [s[3] and s[0][:len(region)] == region for s in slots]
 
 
 def mask(skeleton: list, wrapper: list) -> list[bool]:
-    """Which of a skeleton's slots are main, by its alignment with its wrapper."""
+    """Which of a skeleton's slots are main, by its place in its wrapper.
+
+    A wrapper holds each of its skeletons whole and in order, and every child that is not optional in it.
+    """
     slots, containers = slots_of_wrapper(wrapper)
-    each = iter(slots)
+    each, known = iter(slots), {}
 
     def marked(node):
-        return [node[0], next(each) if node[0] == "#" else None, [marked(k) for k in node[2]]]
-
-    def count(node):
-        return (node[0] == "#") + sum(count(k) for k in node[2])
+        return [node[0], node[1], [marked(k) for k in node[2]], next(each) if node[0] == "#" else None]
+
+    def fits(node, w):
+        """Rows of a table: whether the children from ``i`` on fit the wrapper's from ``j`` on; None if they do not."""
+        if node[0] != w[0] or (node[1] == "+" and w[1] not in ("+", "*")):
+            return None
+        if (id(node), id(w)) not in known:
+            kids, ws = node[2], w[2]
+            rows = [[False] * (len(ws) + 1) for _ in range(len(kids) + 1)]
+            rows[-1][-1] = True
+            for i in range(len(kids), -1, -1):
+                for j in range(len(ws) - 1, -1, -1):
+                    rows[i][j] = ((ws[j][1] in ("?", "*") and rows[i][j + 1])
+                                  or (i < len(kids) and rows[i + 1][j + 1] and fits(kids[i], ws[j]) is not None))
+            known[id(node), id(w)] = rows if rows[0][0] else None
+        return known[id(node), id(w)]
 
     def walk(node, w):
         if node[0] == "#":
-            return [w[1]]
-        out = []
-        same = SequenceMatcher(None, [k[0] for k in node[2]], [k[0] for k in w[2]], autojunk=False)
-        for op, i, i2, j, j2 in same.get_opcodes():
-            if op == "equal":
-                for x, y in zip(node[2][i:i2], w[2][j:j2]):
-                    out += walk(x, y)
-            else:
-                out += [None] * sum(count(k) for k in node[2][i:i2])
+            return [w[3]]
+        out, rows, j = [], fits(node, w), 0
+        for i, x in enumerate(node[2]):
+            while not (rows[i + 1][j + 1] and fits(x, w[2][j]) is not None):
+                j += 1
+            out += walk(x, w[2][j])
+            j += 1
         return out
-    return main_slots(walk(skeleton, marked(wrapper)), containers)
+    whole = marked(wrapper)
+    return main_slots(walk(skeleton, whole), containers)
 
 
 def _page(html):

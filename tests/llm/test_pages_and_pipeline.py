@@ -1,6 +1,7 @@
 """Web pages, URL rules, registered queries and the pipeline."""
 
 import html
+import random
 import re
 import sys
 
@@ -105,6 +106,16 @@ def test_copies_of_a_page_are_no_template(spark):
     assert all("Copied" in got[20 + i] for i in range(5))
 
 
+def test_every_block_of_an_article_is_found_in_the_wrapper():
+    def article(tags):
+        return "<article>" + "".join(f"<{t}>{t} {i}</{t}>" for i, t in enumerate(tags)) + "</article>"
+    pages = [article(t.split()) for t in ("h1 ul h2 figure p ul", "h1 p ul h2 figure", "h1 ul h2 figure p ul h3 h2 figure")]
+    rng = random.Random(3)
+    pages += [article(rng.choices(["p", "ul", "h2", "figure", "pre"], k=rng.randint(3, 12))) for _ in range(60)]
+    pages.append("<article><p>One</p><ul><li><a href=x>Linked words</a></ul></article>")
+    assert _masks(*pages) == [wrappers.read(p)[1] for p in pages]
+
+
 def test_whole_pages_of_the_fixture(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op3_wrappers"](spark, SF).collect()}
