@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from difflib import SequenceMatcher
 from html import unescape
 
@@ -30,7 +31,7 @@ from .common import append, cut, small, table, written
 from .urls import host
 
 FOLD = 64
-DEPTH = 60
+DEPTH = 60           # deeper elements get no node of their own, but for furniture and regions
 TEMPLATE_PAGES = 3   # a slot has to be the same on so many different pages to count as template
 REGION_SHARE = 0.8
 
@@ -44,6 +45,7 @@ audio video map title""".split())
 RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in ("script", "style", "textarea", "title", "iframe")}  # no tags inside
 NEVER_CLOSED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                 "th": {"td", "th"}}
+REGIONS = frozenset(["article", "main"])
 CONTAINERS = frozenset("#root html body div section center td".split())
 FURNITURE_TAGS = frozenset("nav header footer aside form fieldset legend label dialog menu".split())
 FURNITURE_WORDS = frozenset("""ad ads adv advert advertisement advertising sponsor sponsored banner promo promotion cookie
@@ -102,6 +104,7 @@ def read(html: str | None) -> tuple[tuple, list[str], list[int], list[list[int]]
     """Skeleton, text blocks, linked characters of each block, and the block numbers of each slot of a page."""
     html, blocks, links = html or "", [], []
     stack, buf, linked, in_link = [_Node("#root")], [], 0, 0
+    opened, n_open = [], Counter()  # all open elements, and whether they are on the stack or deeper than that
 
     def flush():
         nonlocal linked
@@ -123,6 +126,27 @@ def read(html: str | None) -> tuple[tuple, list[str], list[int], list[list[int]]
         stack[-1].kids.append((node.label, "", tuple(kids)))
         stack[-1].slots.append([s for kid in slots for s in kid])
 
+    def end():
+        tag, on_stack = opened.pop()
+        n_open[tag] -= 1
+        if on_stack:
+            close()
+
+    def keeps(label):
+        """Deeper than DEPTH only furniture and regions get a node, so that they are still told apart."""
+        if len(stack) <= DEPTH:
+            return True
+        tag = label.split(".")[0]
+        article = tag in REGIONS
+        if not article and not _is_furniture(label, False):
+            return False
+        above, semantic = [n.label for n in stack], False
+        for a in above:
+            if _is_furniture(a, semantic):
+                return False
+            semantic = semantic or a.split(".")[0] in REGIONS
+        return _is_furniture(label, semantic) or (article and not semantic)
+
     at, skipping = 0, None
     while m := _TAG.search(html, at):
         if skipping is None:
@@ -131,8 +155,8 @@ def read(html: str | None) -> tuple[tuple, list[str], list[int], list[list[int]]
                 linked += m.start() - at
         at, tag = m.end(), (m[2] or "").lower()
         if tag in RAW and not m[1] and not m[3].endswith("/"):
-            end = RAW[tag].search(html, at)  # such an element ends at its literal closing tag, else with the page
-            at = end.end() if end else len(html)
+            stop = RAW[tag].search(html, at)  # such an element ends at its literal closing tag, else with the page
+            at = stop.end() if stop else len(html)
             continue
         if skipping is not None:
             if m[1] and tag == skipping:
@@ -147,19 +171,20 @@ def read(html: str | None) -> tuple[tuple, list[str], list[int], list[list[int]]
             flush()
         elif tag in STRUCTURE:
             flush()
-            names = [n.label.split(".")[0] for n in stack]
             if m[1]:
-                if tag in names[1:]:
-                    while stack[-1].label.split(".")[0] != tag:
-                        close()
-                    close()
+                if n_open[tag]:
+                    while opened[-1][0] != tag:
+                        end()
+                    end()
             elif not m[3].endswith("/"):
                 ends = NEVER_CLOSED.get(tag, ())
-                while len(stack) > 1 and (names[-1] == "p" or names[-1] in ends):
-                    close()
-                    names.pop()
-                if len(stack) <= DEPTH:
-                    stack.append(_Node(_label(tag, m[3])))
+                while opened and (opened[-1][0] == "p" or opened[-1][0] in ends):
+                    end()
+                label = _label(tag, m[3])
+                opened.append((tag, keeps(label)))
+                n_open[tag] += 1
+                if opened[-1][1]:
+                    stack.append(_Node(label))
     if skipping is None:
         buf.append(re.sub(r"<[/a-zA-Z!][^<>]*$", "", html[at:]))  # a tag that the page's end cut off
     flush()
@@ -221,7 +246,7 @@ def slots_of_wrapper(wrapper: list) -> tuple[list, list]:
             return
         tag = label.split(".")[0]
         furniture = furniture or _is_furniture(label, semantic)
-        semantic = semantic or (not furniture and tag in ("article", "main"))
+        semantic = semantic or (not furniture and tag in REGIONS)
         here = (*path, len(regions))  # a number of its own, so a path is a prefix of its descendants'
         regions.append(here)
         if tag in CONTAINERS:

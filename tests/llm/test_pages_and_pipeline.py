@@ -116,6 +116,13 @@ def test_every_block_of_an_article_is_found_in_the_wrapper():
     assert _masks(*pages) == [wrappers.read(p)[1] for p in pages]
 
 
+def test_text_after_and_furniture_within_a_deep_part():
+    deep = "<div>" * 70 + "Deep<nav>Menu</nav><ul><li>a<li>b</ul>" + "</div>" * 70
+    pages = ["<body><div><article><p>One</p>" + deep + "<p>Two</p></article><div class=comments>" + "<div>" * 99 + "c"
+             + "</div>" * 99 + "<p>Reader</p></div></div></body>", "<div>" * 90 + "<article>In<header>Title</header></article>out"]
+    assert _masks(*pages) == [["One", "Deep", "a", "b", "Two"], ["In", "Title"]]
+
+
 def test_whole_pages_of_the_fixture(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op3_wrappers"](spark, SF).collect()}
