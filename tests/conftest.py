@@ -20,8 +20,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="plume-test-")
-
-
-def rows(df, *cols):
-    cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from table_rows import rows
 from plume.functions.columns import hashtags_array, mentions_array, username_from_user
 from plume.operators import clean as C
 from plume.schemas import POSTS_RAW

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from table_rows import rows
 from plume.operators import communities as LP
 from plume.operators import graph as G
 from plume.operators.iterate import SpreadEdges, dense_index, round_state

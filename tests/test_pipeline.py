@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from table_rows import rows
 from plume.operators import clean as C
 from plume.operators import kpis as K
 from plume.plans.batch import run_batch

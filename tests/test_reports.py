@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from table_rows import rows
 from plume.operators import kpis as K
 from plume.operators import reports as R
 

@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from table_rows import rows
 from plume.operators import clean as C
 from plume.operators import graph as G
 from plume.operators import kpis as K

@@ -1,6 +1,6 @@
 import os
 
-from conftest import rows
+from table_rows import rows
 from plume.operators import clean as C
 from plume.sources.messages import encode_messages, parse_messages
 from plume.sources.tables import posts_raw

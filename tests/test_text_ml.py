@@ -3,7 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from table_rows import rows
 from plume.functions.columns import clean_text
 from plume.operators import sentiment as S
 from plume.operators import text as T
