@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import decontam
+from . import decontam, negatives
 from .decontam import op5_decontaminate
 from .langid import op7_langid_ranks
 from .mixing import op6_mix_pivotal
+from .negatives import op13_strassen_negatives
 from .pii import op9_pii
 from .quality import op10_quality_vectors
 from .simhash import op2_simhash_pivots
@@ -16,5 +17,5 @@ from .wrappers import op3_wrappers
 
 QUERIES = {f.__name__: f for f in (
     op1_spotsigs, op2_simhash_pivots, op3_wrappers, op4_url_models, op5_decontaminate, op6_mix_pivotal,
-    op7_langid_ranks, op8_suffixes, op9_pii, op10_quality_vectors)}
-SQL: dict[str, str] = {"op5_decontaminate": decontam.SQL}
+    op7_langid_ranks, op8_suffixes, op9_pii, op10_quality_vectors, op13_strassen_negatives)}
+SQL: dict[str, str] = {"op5_decontaminate": decontam.SQL, "op13_strassen_negatives": negatives.SQL}
