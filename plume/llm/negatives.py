@@ -210,9 +210,10 @@ def mine(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", label:
                  "anchor long, vec_id long, row long, score long", tile_a, tile_c)
     best = written(_merged(heaps, ["anchor"], positives, "place"), "positives")
     lists = best.groupBy("anchor").agg(F.collect_list(F.struct("place", "score")).alias("positives"))  # 5 at most
+    one = F.pmod("row", F.lit(1)).cast("int")  # one bucket; a constant would make its joins ones without a key
     anchors = (all_rows.where(F.col("vec_id") % every == 0).join(lists, F.col("row") == F.col("anchor"))
-               .drop("anchor").withColumn("g", F.lit(0)))
-    found = _met(anchors, all_rows.withColumn("g", F.lit(0)), _negative_work(negatives, low, high),
+               .drop("anchor").withColumn("g", one))
+    found = _met(anchors, all_rows.withColumn("g", one), _negative_work(negatives, low, high),
                  "anchor long, place int, vec_id long, row long, score long", tile_a, tile_c)
     found = _merged(found, ["anchor", "place"], negatives, "rank")
     return (found.withColumnsRenamed({"vec_id": "negative_id", "score": "negative_score"}).drop("row")
