@@ -207,6 +207,7 @@ def q_top_users_table(spark, sf_dir):
 
 # --- graph -----------------------------------------------------------------------------------------------------
 
+from plume.operators import coloring as CO  # noqa: E402
 from plume.operators import communities as LP  # noqa: E402
 from plume.operators import graph as G  # noqa: E402
 from plume.operators.pagerank import converged_pagerank  # noqa: E402
@@ -322,6 +323,49 @@ def q_community_top_members(spark, sf_dir):
     return G.community_top_members(_centrality(spark, sf_dir)[1])
 
 
+def _day_graph(spark, sf_dir):
+    """Vertices and collapsed edges of every day's own users (``2024-01-05/u7``); replies tie one day to the next."""
+    from plume.session import work_dir
+    work_dir(spark)
+    posts = _clean(spark, sf_dir, GRAPH_COLUMNS)
+    of_day = lambda u: F.when(u != "", F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit("/"), u))
+    posts = posts.withColumns({"username": of_day(F.col("username")),
+                               "mentions_array": F.transform("mentions_array", of_day)}).checkpoint(eager=True)
+    ec = G.collapse_edges(G.user_edges(posts)).checkpoint(eager=True)
+    return G.vertices(G.nodes(posts), ec).checkpoint(eager=True), ec
+
+
+@register("day_user_colours")
+def q_day_user_colours(spark, sf_dir):
+    """A proper colouring of every day's users: neighbours in the interaction graph differ."""
+    verts, ec = _day_graph(spark, sf_dir)
+    return CO.colouring(verts, G.undirected_edges(ec))[0]
+
+
+@register("day_communities")
+def q_day_communities(spark, sf_dir):
+    """Semi-synchronous label propagation, colour by colour, over every day's users."""
+    verts, ec = _day_graph(spark, sf_dir)
+    return CO.communities(verts, G.undirected_edges(ec))
+
+
+def _day_centrality(spark, sf_dir):
+    """Degrees and communities of every day's users (PageRank left out: 0)."""
+    verts, ec = _day_graph(spark, sf_dir)
+    found = CO.communities(verts, G.undirected_edges(ec)).checkpoint(eager=True)
+    return G.centrality(verts, ec, verts.select("username", F.lit(0.0).alias("pagerank")), found)
+
+
+@register("day_community_sizes")
+def q_day_community_sizes(spark, sf_dir):
+    return G.community_sizes(_day_centrality(spark, sf_dir))
+
+
+@register("day_community_top_members")
+def q_day_community_top_members(spark, sf_dir):
+    return G.community_top_members(_day_centrality(spark, sf_dir))
+
+
 @register("subgraph_nodes")
 def q_subgraph_nodes(spark, sf_dir):
     return G.subgraph_nodes(_centrality(spark, sf_dir)[1], TOP_NODES_N)

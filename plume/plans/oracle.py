@@ -391,9 +391,9 @@ FROM cent ORDER BY round({metric}, 10) DESC, username LIMIT 20""")
 SQL["top_users_by_degree"] = _top_users("degree")
 SQL["top_users_by_in_degree"] = _top_users("in_degree")
 SQL["top_users_by_pagerank"] = _top_users("pagerank")
-SQL["community_sizes"] = with_ctes(["centrality"], """
-SELECT community_id, count(*) AS size FROM cent GROUP BY community_id""")
-SQL["community_top_members"] = with_ctes(["centrality"], """
+SIZES_SQL = """
+SELECT community_id, count(*) AS size FROM cent GROUP BY community_id"""
+MEMBERS_SQL = """
 , sizes AS (SELECT community_id, count(*) AS size FROM cent GROUP BY community_id),
 tc AS (SELECT community_id, size, CAST(row_number() OVER (ORDER BY size DESC, community_id) AS INTEGER) AS community_rank
        FROM sizes ORDER BY size DESC, community_id LIMIT 5),
@@ -401,7 +401,78 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY community_id ORDER BY
                      AS member_rank FROM cent WHERE community_id IN (SELECT community_id FROM tc))
 SELECT tc.community_rank, ranked.community_id, tc.size, ranked.member_rank, ranked.username, ranked.degree,
        ranked.in_degree, ranked.out_degree, ranked.pagerank
-FROM ranked JOIN tc ON ranked.community_id = tc.community_id WHERE ranked.member_rank <= 10""")
+FROM ranked JOIN tc ON ranked.community_id = tc.community_id WHERE ranked.member_rank <= 10"""
+SQL["community_sizes"] = with_ctes(["centrality"], SIZES_SQL)
+SQL["community_top_members"] = with_ctes(["centrality"], MEMBERS_SQL)
+#: The graph of every day's own users, its greedy colouring by independent sets, and label propagation colour by colour.
+#: Both recursions carry the whole state from round to round and end by themselves.
+CTE["day_graph"] = r"""
+dp AS (
+  SELECT id, inReplyToTweetId, CASE WHEN username <> '' THEN strftime(date, '%Y-%m-%d') || '/' || username END AS username,
+         [CASE WHEN m <> '' THEN strftime(date, '%Y-%m-%d') || '/' || m END FOR m IN mentions_array] AS mentions
+  FROM posts_clean),
+da AS (SELECT * FROM dp WHERE username IS NOT NULL),
+dm AS (SELECT DISTINCT m FROM (SELECT unnest(mentions) AS m FROM dp) WHERE m IS NOT NULL),
+de AS (
+  SELECT s, t, sum(w) AS w FROM (
+    SELECT s, t, 1 AS w FROM (SELECT username AS s, unnest(mentions) AS t FROM da) WHERE t IS NOT NULL
+    UNION ALL SELECT r.username, o.username, 1 FROM da r JOIN da o ON r.inReplyToTweetId = o.id) GROUP BY s, t),
+dv AS MATERIALIZED (SELECT username FROM da UNION SELECT m FROM dm),
+dnb AS MATERIALIZED (SELECT DISTINCT s AS node, t AS nbr FROM de UNION SELECT t, s FROM de),
+drank AS MATERIALIZED (
+  SELECT v.username, row_number() OVER (ORDER BY coalesce(n, 0) DESC, md5(v.username) DESC, v.username DESC) AS r
+  FROM dv v LEFT JOIN (SELECT node, count(*) AS n FROM dnb WHERE node <> nbr GROUP BY node) d ON v.username = d.node),
+jp AS (
+  SELECT 0 AS round, username, r, CAST(NULL AS INTEGER) AS colour FROM drank
+  UNION ALL
+  SELECT j.round + 1, j.username, j.r,
+    CASE WHEN j.colour IS NOT NULL THEN j.colour
+         WHEN coalesce(x.ahead, 0) = 0 THEN
+           [c FOR c IN range(0, len(coalesce(x.used, [])) + 1) IF NOT list_contains(coalesce(x.used, []), c)][1] END
+  FROM jp j LEFT JOIN (
+    SELECT nb.node, count(*) FILTER (o.colour IS NULL AND o.r < m.r) AS ahead, list(DISTINCT o.colour) AS used
+    FROM dnb nb JOIN jp o ON nb.nbr = o.username JOIN jp m ON nb.node = m.username
+    WHERE nb.node <> nb.nbr GROUP BY nb.node) x ON j.username = x.node
+  WHERE (SELECT count(*) FROM jp WHERE colour IS NULL) > 0),
+coloured AS MATERIALIZED (
+  SELECT username, CAST(colour AS INTEGER) AS colour FROM jp WHERE round = (SELECT max(round) FROM jp)),
+nc AS (SELECT max(colour) + 1 AS n FROM coloured)"""
+DEPS["day_graph"] = ["posts_clean"]
+CTE["day_comm"] = r"""
+slp AS (
+  SELECT 0 AS step, 0 AS quiet, username, colour, username AS label FROM coloured
+  UNION ALL
+  SELECT step + 1, CASE WHEN max(CASE WHEN new <> label THEN 1 ELSE 0 END) OVER () = 1 THEN 0 ELSE quiet + 1 END,
+         username, colour, new
+  FROM (
+    SELECT l.*, coalesce(w.label, l.label) AS new FROM slp l LEFT JOIN (
+      SELECT node, label FROM (
+        SELECT node, label, sum(c) AS c, max(own) AS own FROM (
+          SELECT nb.node, o.label, 1 AS c, 0 AS own FROM dnb nb JOIN slp o ON nb.nbr = o.username
+          UNION ALL SELECT username, label, 0, 1 FROM slp) GROUP BY node, label)
+      QUALIFY row_number() OVER (PARTITION BY node ORDER BY c DESC, own DESC, label DESC) = 1) w
+    ON l.username = w.node AND l.colour = l.step % (SELECT n FROM nc))
+  WHERE quiet < (SELECT n FROM nc)),
+day_labels AS MATERIALIZED (SELECT username, label FROM slp WHERE step = (SELECT max(step) FROM slp)),
+day_comm AS MATERIALIZED (
+  SELECT username, CAST(dense_rank() OVER (ORDER BY f.first_member) - 1 AS INTEGER) AS community_id
+  FROM day_labels JOIN (SELECT label, min(username) AS first_member FROM day_labels GROUP BY label) f USING (label)),
+cent AS (
+  SELECT c.username, coalesce(i.w, 0.0) AS in_degree, coalesce(o.w, 0.0) AS out_degree,
+         coalesce(i.w, 0.0) + coalesce(o.w, 0.0) AS degree, CAST(0.0 AS DOUBLE) AS pagerank, community_id
+  FROM day_comm c LEFT JOIN (SELECT t, CAST(sum(w) AS DOUBLE) AS w FROM de GROUP BY t) i ON c.username = i.t
+  LEFT JOIN (SELECT s, CAST(sum(w) AS DOUBLE) AS w FROM de GROUP BY s) o ON c.username = o.s)"""
+DEPS["day_comm"] = ["day_graph"]
+
+
+def _recursive(needs: list[str], final: str) -> str:
+    return with_ctes(needs, final).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+SQL["day_user_colours"] = _recursive(["day_graph"], "SELECT username, colour FROM coloured")
+SQL["day_communities"] = _recursive(["day_comm"], "SELECT username, community_id FROM day_comm")
+SQL["day_community_sizes"] = _recursive(["day_comm"], SIZES_SQL)
+SQL["day_community_top_members"] = _recursive(["day_comm"], MEMBERS_SQL)
 CTE["subgraph"] = """sub_nodes AS (
   SELECT username, degree, in_degree, out_degree, pagerank, CAST(community_id AS BIGINT) AS community_id
   FROM cent ORDER BY degree DESC, username LIMIT 100)"""
