@@ -27,6 +27,13 @@ def keep_best_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame
     return best.select(key, *[F.col(f"__row.`{c}`").alias(c) for c in payload])
 
 
+def keep_first_read(df: DataFrame, key: str, at: str = "read_at") -> DataFrame:
+    """One row per key: the one read first, by the reading position ``at``; an aggregate, as ``keep_best_per_key``."""
+    payload = [F.col(f"`{c}`") for c in df.columns if c != key]
+    best = df.groupBy(key).agg(F.min_by(F.struct(*payload), F.col(at)).alias("__row"))
+    return best.select(key, *[F.col(f"__row.`{c}`").alias(c) for c in df.columns if c != key])
+
+
 def keep_columns(df: DataFrame, columns=KEEP_COLUMNS) -> DataFrame:
     """Keep the listed columns that exist, in list order (P1)."""
     return df.select([c for c in columns if c in df.columns])
@@ -34,8 +41,11 @@ def keep_columns(df: DataFrame, columns=KEEP_COLUMNS) -> DataFrame:
 
 def ingest_filter(raw: DataFrame, lang: str | None = "en") -> DataFrame:
     """CSV-to-Parquet cleaning: keep columns, parse dates (bad -> null), language filter,
-    strip text and keep length > 5 (null text counts as ``nan``), one row per id."""
-    df = keep_columns(raw)
+    strip text and keep length > 5 (null text counts as ``nan``), one row per id.
+
+    Where ``raw`` has ``read_at`` (``read_posts_csv(position=True)``), the first row read of an id stays; else the
+    latest date, then the greatest text."""
+    df = raw.select([c for c in KEEP_COLUMNS if c in raw.columns] + [c for c in raw.columns if c == "read_at"])
     if "date" in df.columns:
         df = df.withColumn("date", F.col("date").try_cast("timestamp"))
     if lang is not None and "lang" in df.columns:
@@ -44,9 +54,10 @@ def ingest_filter(raw: DataFrame, lang: str | None = "en") -> DataFrame:
         df = df.withColumn("content", F.coalesce(py_strip(F.col("content")), F.lit("nan")))
         df = df.filter(F.length("content") > 5)
     if "id" in df.columns:
-        # Latest date first, then the greatest text: a stated order instead of the order of reading.
+        if "read_at" in df.columns:
+            return keep_first_read(df, "id").drop("read_at")
         df = keep_best_per_key(df, "id", [F.col(c) for c in ("date", "content") if c in df.columns])
-    return df
+    return df.drop("read_at")
 
 
 def ingest_funnel(raw: DataFrame, lang: str | None = "en") -> DataFrame:

@@ -145,16 +145,35 @@ def q_report_peak_day_range(spark, sf_dir):
 
 @register("csv_scan")
 def q_csv_scan(spark, sf_dir):
-    """The raw posts as a CSV export (line breaks in texts become blanks), read in splits and filtered."""
+    """The raw posts as a CSV export with line breaks in its texts, read in splits and filtered."""
     from plume.session import scratch_path
     from plume.sources.files import read_posts_csv
     path = scratch_path(spark, "raw-csv")
-    flat = posts_raw(spark, sf_dir).withColumn("content", F.regexp_replace("content", "[\\r\\n]", " "))
-    flat.write.option("header", True).option("escape", '"').csv(path)
+    posts_raw(spark, sf_dir).write.option("header", True).option("escape", '"').csv(path)
     return C.ingest_filter(read_posts_csv(spark, path)).select(F.col("id").cast("long").alias("id"), "date", "content",
                                                               "lang", "url")
 
 
+@register("csv_first_read")
+def q_csv_first_read(spark, sf_dir):
+    """Differing copies of posts in a CSV export: of each id the row read first stays.
+
+    The export holds every post three times, in order of id and a hash of copy and id; copies differ in text and url.
+    """
+    from plume.session import scratch_path
+    from plume.sources.files import read_posts_csv
+    path = scratch_path(spark, "copies-csv")
+    raw = posts_raw(spark, sf_dir).dropDuplicates(["id"])
+    copies = raw.withColumn("copy", F.explode(F.array(*[F.lit(k) for k in range(3)]))).withColumns({
+        "content": F.concat(F.lit("copy "), F.col("copy").cast("string"), F.lit("\n"), F.col("content")),
+        "draw": F.md5(F.concat_ws(":", "copy", "id"))})
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (copies.repartitionByRange(n, "id", "draw").sortWithinPartitions("id", "draw").drop("copy", "draw")
+     .write.option("header", True).option("escape", '"').csv(path))
+    first = C.ingest_filter(read_posts_csv(spark, path, position=True))
+    return first.select(F.col("id").cast("long").alias("id"), "date", "content", "lang", "url")
+
+
 @register("report_peak_day")
 def q_report_peak_day(spark, sf_dir):
     return R.peak_day(K.kpi_daily(_clean(spark, sf_dir, KPI_COLUMNS)))
@@ -467,10 +486,10 @@ def q_label_audit_files(spark, sf_dir):
     from plume.session import scratch_path
     from plume.sources.files import read_labelled_csv
     root = scratch_path(spark, "labelled-csv")
-    flat = labelled_text(spark, sf_dir).withColumn("text", F.regexp_replace("text", "[\\r\\n]", " "))
+    texts = labelled_text(spark, sf_dir)
     inputs = {"training": F.col("id") % 3 != 0, "validation": F.col("id") % 3 == 0}
     for name, part in inputs.items():
-        flat.where(part).write.option("escape", '"').csv(f"{root}/{name}")
+        texts.where(part).write.option("escape", '"').csv(f"{root}/{name}")
     back = read_labelled_csv(spark, [f"{root}/{n}" for n in inputs], name_pattern=r"([^/]+)/[^/]+$")
     return S.label_audit(back, "source_file")
 

@@ -226,8 +226,14 @@ for _name in ("report_totals", "report_peak_day"):
         "kpi_daily", "kpi_range"))
 SQL["report_daily_series_range"] = with_ctes(["kpi_range"], """
 SELECT date, tweets_count, engagement_sum FROM kpi_range ORDER BY date""")
-SQL["csv_scan"] = with_ctes(["ingest"], """
-SELECT id, date, replace(replace(content, chr(10), ' '), chr(13), ' ') AS content, lang, url FROM ingest""")
+SQL["csv_scan"] = with_ctes(["ingest"], "SELECT id, date, content, lang, url FROM ingest")
+SQL["csv_first_read"] = with_ctes(["posts_raw"], rf"""
+, once AS (SELECT DISTINCT id, date, content, lang, url FROM posts_raw WHERE lang = 'en'),
+copies AS (SELECT id, TRY_CAST(date AS TIMESTAMP) AS date, 'copy ' || k || chr(10) || content AS content, lang, url,
+                  md5(k || ':' || id) AS draw FROM once, range(3) r(k)),
+filtered AS (SELECT * REPLACE (coalesce({_STRIP}, 'nan') AS content) FROM copies WHERE {_STRIP} IS NULL OR length({_STRIP}) > 5)
+SELECT id, date, CASE WHEN length(content) > 5 THEN content END AS content, lang, url FROM filtered
+WHERE length(content) > 5 QUALIFY row_number() OVER (PARTITION BY id ORDER BY draw) = 1""")
 SQL["report_date_range"] = with_ctes(["kpi_daily"], "SELECT min(date) AS min_date, max(date) AS max_date FROM kpi_daily")
 
 SQL["report_daily_series"] = with_ctes(["kpi_daily"], """

@@ -13,30 +13,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plume.schemas import KEEP_COLUMNS, LABELLED_TEXT
+from plume.sources.quoted_csv import read_quoted_csv
 
 
 def read_posts_csv(spark: SparkSession, path: str, columns: list[str] = KEEP_COLUMNS,
-                   multi_line: bool = False) -> DataFrame:
-    """Raw post export with a header row, read in file splits.
+                   position: bool = False) -> DataFrame:
+    """Raw post export with a header row, read in file splits; quoted fields may hold line breaks (``quoted_csv``).
 
-    ``multi_line`` allows line breaks inside quoted fields; a file then is one split, so keep such files small.
     Columns are bound by header name (no schema inference pass: every column is text) and the listed
-    ones that exist are kept; typing happens in the cleaning step with null-on-error casts.
+    ones that exist are kept; typing happens in the cleaning step with null-on-error casts.  ``position`` adds
+    ``read_at``, by which ``ingest_filter`` keeps the first row read of an id.
     """
-    df = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-          .option("mode", "PERMISSIVE").csv(path))
-    return df.select([c for c in columns if c in df.columns])
+    df = read_quoted_csv(spark, path, position=position)
+    return df.select([c for c in columns if c in df.columns] + ["read_at"] * position)
 
 
-def read_labelled_csv(spark: SparkSession, paths: str | list[str], multi_line: bool = False,
-                      name_pattern: str = r"([^/]+)$") -> DataFrame:
+def read_labelled_csv(spark: SparkSession, paths: str | list[str], name_pattern: str = r"([^/]+)$") -> DataFrame:
     """Headerless labelled text ``id, topic, sentiment, text`` (several files are one frame), plus ``source_file``.
 
     ``name_pattern`` picks the name from a file's path: the file's own, or that of its folder where an input is a
-    folder of part files (``r"([^/]+)/[^/]+$"``).  ``multi_line``: as in ``read_posts_csv``."""
-    r = spark.read.schema(LABELLED_TEXT).option("header", False).option("multiLine", multi_line).option("escape", '"')
-    df = r.csv(paths if isinstance(paths, list) else [paths])
-    return df.withColumn("source_file", F.regexp_extract(F.input_file_name(), name_pattern, 1))
+    folder of part files (``r"([^/]+)/[^/]+$"``).  Quoted fields may hold line breaks."""
+    df = read_quoted_csv(spark, paths, LABELLED_TEXT, position=True)
+    return df.withColumn("source_file", F.regexp_extract("read_at.file", name_pattern, 1)).drop("read_at")
 
 
 def write_dataset(df: DataFrame, root: str, name: str, mode: str = "overwrite", fmt: str = "parquet",
