@@ -2,7 +2,8 @@
 
 ``run_batch`` reads the raw posts once, keeps ``posts_clean`` as a written
 table (later stages read it back instead of re-deriving it, which also cuts
-lineage), and writes every derived table under ``out_root``.  Iterative
+lineage), and writes every derived table under ``out_root`` as one commit, so
+a failed stage leaves the table of the run before.  Iterative
 stages checkpoint into the shared folder named by ``spark.checkpoint.dir``.
 """
 
@@ -19,7 +20,7 @@ from plume.operators import sentiment as S
 from plume.operators import topics as TP
 from plume.operators.pagerank import pagerank
 from plume.schemas import TOP_NODES_N, TOP_USER_COLUMNS, TOP_USERS_N
-from plume.sources.files import export_csv, read_dataset, write_dataset
+from plume.sources.files import export_csv, read_dataset, read_declared, write_dataset
 
 
 def run_batch(spark: SparkSession, raw: DataFrame, out_root: str, labelled: DataFrame | None = None,
@@ -27,28 +28,28 @@ def run_batch(spark: SparkSession, raw: DataFrame, out_root: str, labelled: Data
     """Run every stage; returns a small summary (row counts, PageRank run info)."""
     summary: dict[str, object] = {}
     write_dataset(C.clean_posts(raw), out_root, "posts_clean")
-    posts = read_dataset(spark, out_root, "posts_clean")
+    posts = read_declared(spark, out_root, "posts_clean")
 
     for name, fn in [("kpi_daily", K.kpi_daily), ("kpi_daily_lang", K.kpi_daily_lang),
                      ("kpi_hashtags", K.kpi_hashtags), ("kpi_users", K.kpi_users)]:
         write_dataset(fn(posts), out_root, name)
-    kpi_users = read_dataset(spark, out_root, "kpi_users")
+    kpi_users = read_declared(spark, out_root, "kpi_users")
 
     write_dataset(G.user_edges(posts), out_root, "user_edges")
     write_dataset(G.user_nodes(posts, kpi_users), out_root, "user_nodes")
-    edges = read_dataset(spark, out_root, "user_edges")
+    edges = read_declared(spark, out_root, "user_edges")
     ec = G.collapse_edges(edges)
     write_dataset(ec, out_root, "edges_collapsed")
-    ec = read_dataset(spark, out_root, "edges_collapsed")
-    verts = G.vertices(read_dataset(spark, out_root, "user_nodes"), ec)
+    ec = read_declared(spark, out_root, "edges_collapsed")
+    verts = G.vertices(read_declared(spark, out_root, "user_nodes"), ec)
     write_dataset(verts, out_root, "vertices")
-    verts = read_dataset(spark, out_root, "vertices")
+    verts = read_declared(spark, out_root, "vertices")
 
     ranks, info = pagerank(verts, ec)
     summary["pagerank"] = info
     comms = LP.communities(verts, G.undirected_edges(ec))
     write_dataset(G.centrality(verts, ec, ranks, comms), out_root, "user_centrality")
-    cent = read_dataset(spark, out_root, "user_centrality")
+    cent = read_declared(spark, out_root, "user_centrality")
 
     for metric in ("degree", "in_degree", "pagerank"):
         export_csv(G.top_users(cent, metric, TOP_USERS_N), f"{out_root}/top_users/top_{metric}",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
+    ArrayType, DataType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
 # --- fixed values (must equal the reference's for identical results) -----------------------------------------
@@ -45,45 +45,28 @@ TOP_DASHBOARD_N, TOP_USER_TABLE_N = 20, 100
 
 SENTIMENT_CLASSES = sorted(LABEL_TO_ID, key=LABEL_TO_ID.get)
 
+_COUNTERS = ("replyCount", "retweetCount", "likeCount", "quoteCount")
+_TYPES = {**dict.fromkeys(("id", "conversationId", "inReplyToTweetId"), LongType()),
+          **dict.fromkeys(_COUNTERS, IntegerType())}
+
+
+def _typed(names: list[str], **others: DataType) -> StructType:
+    """Columns by name: the type above or given here, else text."""
+    return StructType([StructField(n, others.get(n) or _TYPES.get(n) or StringType()) for n in names])
+
+
 # Raw post as read from a CSV export or the driver-derived view.
-POSTS_RAW = StructType([
-    StructField("id", LongType()),
-    StructField("date", StringType()),
-    StructField("content", StringType()),
-    StructField("user", StringType()),
-    StructField("replyCount", IntegerType()),
-    StructField("retweetCount", IntegerType()),
-    StructField("likeCount", IntegerType()),
-    StructField("quoteCount", IntegerType()),
-    StructField("conversationId", LongType()),
-    StructField("inReplyToTweetId", LongType()),
-    StructField("inReplyToUser", StringType()),
-    StructField("mentionedUsers", StringType()),
-    StructField("hashtags", StringType()),
-    StructField("lang", StringType()),
-    StructField("url", StringType()),
-])
+POSTS_RAW = _typed(KEEP_COLUMNS)
 
-# JSON value of one stream message (same 15 fields; ``date`` stays text until typed).
+# JSON value of one stream message (same fields; ``date`` stays text until typed).
 MESSAGE = POSTS_RAW
 
-POSTS_CLEAN = StructType([
-    StructField("id", LongType()),
-    StructField("date", TimestampType()),
-    StructField("content", StringType()),
-    StructField("lang", StringType()),
-    StructField("replyCount", IntegerType()),
-    StructField("retweetCount", IntegerType()),
-    StructField("likeCount", IntegerType()),
-    StructField("quoteCount", IntegerType()),
-    StructField("conversationId", LongType()),
-    StructField("inReplyToTweetId", LongType()),
-    StructField("url", StringType()),
-    StructField("engagement", LongType()),
-    StructField("username", StringType()),
-    StructField("hashtags_array", ArrayType(StringType())),
-    StructField("mentions_array", ArrayType(StringType())),
-])
+_PARSED = {"user": "username", "hashtags": "hashtags_array", "mentionedUsers": "mentions_array"}  # raw -> clean column
+POSTS_CLEAN = _typed(
+    ["id", "date", "content", "lang", *_COUNTERS, *[c for c in KEEP_COLUMNS if c.startswith(("conv", "inReplyToTw"))],
+     "url", "engagement", *_PARSED.values()],
+    date=TimestampType(), engagement=LongType(), hashtags_array=ArrayType(StringType()),
+    mentions_array=ArrayType(StringType()))
 
 LABELLED_TEXT = StructType([
     StructField("id", LongType()),
@@ -92,15 +75,27 @@ LABELLED_TEXT = StructType([
     StructField("text", StringType()),
 ])
 
-KPI_DAILY = StructType([
-    StructField("date", DateType()), StructField("tweets_count", LongType()),
-    StructField("engagement_sum", LongType()),
-])
 
-USER_CENTRALITY = StructType([
-    StructField("username", StringType()), StructField("in_degree", DoubleType()),
-    StructField("out_degree", DoubleType()), StructField("degree", DoubleType()),
-    StructField("pagerank", DoubleType()), StructField("community_id", IntegerType()),
-])
 
-TOP_USER_COLUMNS = ["username", "degree", "in_degree", "out_degree", "pagerank", "community_id"]
+def _kpi(*keys: StructField) -> StructType:
+    return StructType([*keys, StructField("tweets_count", LongType()), StructField("engagement_sum", LongType())])
+
+
+_DAY, _USER = StructField("date", DateType()), StructField("username", StringType())
+KPI_DAILY = _kpi(_DAY)
+USER_EDGES = StructType([StructField(c, StringType()) for c in ("source_user", "target_user", "type")]
+                        + [StructField("weight", LongType())])
+USER_CENTRALITY = StructType(
+    [_USER, *[StructField(c, DoubleType()) for c in ("in_degree", "out_degree", "degree", "pagerank")],
+     StructField("community_id", IntegerType())])
+
+# Columns of the top-user reports: the centrality table's, the total degree first.
+TOP_USER_COLUMNS = sorted(USER_CENTRALITY.names, key=lambda c: {"username": 0, "degree": 1}.get(c, 2))
+
+# The catalogue: declared columns of the stored tables that later stages read.
+TABLES = {
+    "posts_clean": POSTS_CLEAN, "kpi_daily": KPI_DAILY, "kpi_daily_lang": _kpi(_DAY, StructField("lang", StringType())),
+    "kpi_hashtags": _kpi(StructField("hashtag", StringType())), "kpi_users": _kpi(_USER), "user_nodes": _kpi(_USER),
+    "user_edges": USER_EDGES, "edges_collapsed": USER_EDGES, "vertices": StructType([_USER]),
+    "user_centrality": USER_CENTRALITY,
+}

@@ -1,8 +1,8 @@
 """File sources and sinks: raw CSV exports, labelled CSVs, named datasets, CSV reports.
 
-Datasets live under one root as ``<root>/<name>`` in any Spark format
-(Parquet by default; a connector format such as a document store passes
-straight through ``format``/``options``).  Every read declares its schema.
+Datasets live under one root as ``<root>/<name>``: Parquet ones as versioned
+tables, others in any Spark format (a connector format such as a document
+store passes straight through ``format``/``options``).
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from plume.schemas import KEEP_COLUMNS, LABELLED_TEXT
+from plume.schemas import KEEP_COLUMNS, LABELLED_TEXT, TABLES
 from plume.sources.quoted_csv import read_quoted_csv
+from plume.sources.versions import VersionedTable, conform
 
 
 def read_posts_csv(spark: SparkSession, path: str, columns: list[str] = KEEP_COLUMNS,
@@ -39,8 +40,16 @@ def read_labelled_csv(spark: SparkSession, paths: str | list[str], name_pattern:
 
 def write_dataset(df: DataFrame, root: str, name: str, mode: str = "overwrite", fmt: str = "parquet",
                   partition_by: list[str] | None = None, **options) -> str:
-    """Replace (or append to) a named dataset; returns its path."""
+    """Replace (or append to) a named dataset; returns its path.
+
+    Parquet datasets are versioned tables (``versions``): a replace is one commit, and ``df`` may read the dataset
+    itself.  Other formats go to their connector as they are.
+    """
     path = f"{root.rstrip('/')}/{name}"
+    if fmt == "parquet" and not options:
+        to = VersionedTable(df.sparkSession, path)
+        to.commit(to.write_files(df, partition_by), df.schema, mode == "overwrite")
+        return path
     w = df.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -52,13 +61,30 @@ def write_dataset(df: DataFrame, root: str, name: str, mode: str = "overwrite",
 
 def read_dataset(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
                  schema: StructType | None = None, **options) -> DataFrame:
-    """Scan a named dataset; selects on the result prune columns at the scan."""
+    """Scan a named dataset; selects on the result prune columns at the scan.
+
+    With ``schema`` the result has exactly its columns: a dataset that is missing is empty, missing columns are typed
+    nulls, and a column of another type is refused (``versions.conform``)."""
+    path = f"{root.rstrip('/')}/{name}"
+    if fmt == "parquet" and not options:
+        table = VersionedTable(spark, path)
+        if table.exists():
+            return table.read(schema)
     r = spark.read.format(fmt)
-    if schema is not None:
-        r = r.schema(schema)
     for k, v in options.items():
         r = r.option(k, v)
-    return r.load(f"{root.rstrip('/')}/{name}")
+    try:
+        df = r.load(path)
+    except AnalysisException as e:
+        if schema is None or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return df if schema is None else conform(df, schema)
+
+
+def read_declared(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A dataset of the catalogue (``schemas.TABLES``) in its declared columns."""
+    return read_dataset(spark, root, name, schema=TABLES[name])
 
 
 def read_optional(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame | None:

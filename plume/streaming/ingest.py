@@ -1,19 +1,20 @@
 """Structured Streaming ingest: message source -> parse -> typed posts -> idempotent micro-batch sink.
 
 The stream is a stateless map (no watermark, window or state), so the only
-delivery hazard is a replayed micro-batch.  The sink writes each batch to its
-own folder of query id and batch id with overwrite: replaying a batch replaces
-what it wrote instead of appending a second copy, and a query that starts anew
-(its checkpoint lost) overwrites nothing of the one before.  Duplicate posts across
-batches are removed later by the batch cleaning step (dedup on id).
+delivery hazard is a replayed micro-batch.  The sink commits each batch to a
+versioned table under its query id and batch id: readers see whole batches
+only, and a replay adds nothing.  Duplicate posts across batches are removed
+later by the batch cleaning step (dedup on id).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from plume.sources.messages import parse_messages
+from plume.sources.versions import VersionedTable
 
 
 def read_message_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -34,13 +35,13 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, starting_offsets:
     return r.load().selectExpr("CAST(value AS STRING) AS value")
 
 
-def batch_writer(out_path: str, fmt: str = "parquet", query_id: str | None = None):
-    """foreachBatch function: overwrite ``out_path/query_id=<q>/batch_id=<n>`` (safe to replay).
+def batch_writer(out_path: str, query_id: str | None = None):
+    """foreachBatch function: one commit per batch to the table at ``out_path``; a replayed batch changes nothing.
 
     The query id is the running query's, which its checkpoint keeps over restarts, unless given."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
         q = query_id or batch_df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        batch_df.write.mode("overwrite").format(fmt).save(f"{out_path.rstrip('/')}/query_id={q}/batch_id={batch_id}")
+        VersionedTable(batch_df.sparkSession, out_path).append(batch_df, str(q), batch_id)
     return write
 
 
@@ -56,6 +57,6 @@ def start_ingest(source: DataFrame, out_path: str, checkpoint: str, available_no
     return w.start()
 
 
-def read_sink(spark: SparkSession, out_path: str) -> DataFrame:
-    """All micro-batches written so far, as one batch frame (folder columns dropped)."""
-    return spark.read.parquet(out_path).drop("query_id", "batch_id")
+def read_sink(spark: SparkSession, out_path: str, schema: StructType | None = None) -> DataFrame:
+    """All committed micro-batches as one batch frame; with ``schema``, empty before the first one."""
+    return VersionedTable(spark, out_path).read(schema)
