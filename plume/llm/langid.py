@@ -9,6 +9,8 @@ language's profile lacks it); the nearest language wins, ties go to the first by
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,36 +30,45 @@ def _letters() -> np.ndarray:
     """Whether each code point is a letter (built once a worker)."""
     if not _LETTERS:
         t = np.zeros(0x110000, bool)
-        t[[c for c in range(0x30000) if chr(c).isalpha()]] = True
+        t[[c for c in range(0x110000) if chr(c).isalpha()]] = True
         _LETTERS.append(t)
     return _LETTERS[0]
 
 
-def grams(text: str | None) -> np.ndarray:
-    """Packed n-grams of a text in order of their place, repeats included; none without a letter."""
-    if not text:
-        return np.zeros(0, np.int64)
-    c = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
-    c = np.where(_letters()[c], c, 32)
-    c = np.concatenate(([32], c, [32]))
-    c = c[np.concatenate(([True], (c[1:] != 32) | (c[:-1] != 32)))]
-    if len(c) < 3:
-        return np.zeros(0, np.int64)
-    one = c[c != 32]
-    two = c[:-1] | c[1:] << 21
-    three = (c[:-2] | c[1:-1] << 21 | c[2:] << 42)[c[1:-1] != 32]  # within a word and its two spaces
-    return np.concatenate((one, two, three))
-
-
-def counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams of a whole text and their numbers; a very long text is counted in overlapping parts."""
-    if text is None or len(text) <= CHUNK:
-        return np.unique(grams(text), return_counts=True)
-    parts = [np.unique(grams(text[i:i + CHUNK]), return_counts=True) for i in range(0, len(text), CHUNK)]
-    code = np.concatenate([p[0] for p in parts])
-    num = np.concatenate([p[1] for p in parts])
-    u, inv = np.unique(code, return_inverse=True)
-    return u, np.bincount(inv, num, len(u)).astype(np.int64)
+def _codes(lowered: str) -> np.ndarray:
+    c = np.frombuffer(lowered.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+    return np.where(_letters()[c], c, 32)
+
+
+def _gram_parts(text: str, chunk: int) -> Iterator[np.ndarray]:
+    """Packed n-grams of a text, part by part.
+
+    A part starts with the last two characters of the one before, and its n-grams are those that end in what is new,
+    so the parts together have exactly the n-grams of the whole.
+    """
+    lowered = text.lower()
+    tail = np.array([32], np.int64)
+    for i in range(0, len(lowered) + 1, chunk):
+        new = _codes(lowered[i:i + chunk])
+        if i + chunk > len(lowered):
+            new = np.concatenate((new, [32]))
+        c = np.concatenate((tail, new))
+        c = np.concatenate((tail, c[len(tail):][(c[len(tail):] != 32) | (c[len(tail) - 1:-1] != 32)]))
+        k = len(tail)
+        one = c[k:][c[k:] != 32]
+        two = (c[:-1] | c[1:] << 21)[k - 1:]
+        three = (c[:-2] | c[1:-1] << 21 | c[2:] << 42)[max(0, k - 2):][c[1:-1][max(0, k - 2):] != 32]  # in one word
+        yield np.concatenate((one, two, three))
+        tail = c[-2:]
+
+
+def counts(text: str | None, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of a whole text and their numbers, none without a letter; long texts are counted in parts."""
+    parts = [np.unique(g, return_counts=True) for g in _gram_parts(text or "", chunk)]
+    if len(parts) == 1:
+        return parts[0]
+    u, inv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return u, np.bincount(inv, np.concatenate([p[1] for p in parts]), len(u)).astype(np.int64)
 
 
 def train(labelled: DataFrame, profile: int = PROFILE) -> dict[str, list[int]]:

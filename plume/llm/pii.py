@@ -6,9 +6,10 @@ possessive runs and start guards, so that their cost stays linear on long runs o
 match is lost: a guard forbids starts within a run except right behind the last match (``\\G``).
 
 Base kinds (email, ip, card, phone) are kept whenever they are valid.  The other kinds are proposals with a
-score: their base score, plus ``CONFIRMED`` when their checksum or form holds, plus ``CONTEXT`` when one of
-their words stands within ``NEAR`` characters before them; those of at least ``ACCEPT`` that overlap no base
-span are added.
+score: what their pattern is worth, more when their checksum or form holds, and more when one of their words
+stands within ``NEAR`` characters before them (``WEIGHTS``); those of at least ``ACCEPT`` that overlap no base
+span are added.  So an IBAN stands by its checksum alone, a national id or a local phone number needs both a
+valid form and a word nearby, and a secret (whose word is part of the pattern) must mix letters and digits.
 """
 
 from __future__ import annotations
@@ -42,9 +43,12 @@ CONTEXT_WORDS = {
     "phone": r"phone|\btel\b|call|mobile|fax", "iban": "iban|account|bank", "national_id": r"\bssn\b|social security|\bid\b",
     "local_phone": r"phone|\btel\b|call|mobile|fax", "secret": "token|secret|password|key",
 }
-SCORES = {"email": 0.7, "ip": 0.5, "card": 0.4, "phone": 0.5, "iban": 0.3, "national_id": 0.4,
-          "local_phone": 0.4, "secret": 0.4}
-CONFIRMED, CONTEXT, NEAR, ACCEPT = 0.3, 0.2, 40, 0.6
+#: What a match scores by its pattern, by its check, and by a context word within ``NEAR`` characters before it.
+WEIGHTS = {
+    "email": (0.4, 0.3, 0.2), "ip": (0.2, 0.3, 0.2), "card": (0.1, 0.3, 0.2), "phone": (0.2, 0.3, 0.2),
+    "iban": (0.1, 0.5, 0.2), "national_id": (0.1, 0.3, 0.2), "local_phone": (0.2, 0.2, 0.2), "secret": (0.3, 0.3, 0.0),
+}
+NEAR, ACCEPT = 40, 0.6
 
 SPAN = "struct<start:int,ord:int,end:int,kind:string,score:double>"
 
@@ -77,8 +81,11 @@ def _valid(kind: str, m: Column) -> Column:
         return F.length(F.replace(m, F.lit(" "), F.lit(""))).between(15, 34) & _mod97(m)
     if kind == "national_id":
         return ~m.rlike(r"^(?:000|666|9)|-00-|-0000$")
+    if kind == "local_phone":
+        return _digits(m).rlike("^[2-9]")  # area codes do not start with 0 or 1
     if kind == "secret":
-        return m.rlike(r"[0-9]") & m.rlike(r"[A-Za-z]")
+        value = F.regexp_extract(m, r"[=:]\s{0,3}[\"']?([A-Za-z0-9_/+-]+)$", 1)
+        return value.rlike(r"[0-9]") & value.rlike(r"[A-Za-z]")
     return F.lit(True)
 
 
@@ -105,16 +112,16 @@ def _spans(kind: str, text: Column) -> Column:
 
     def scored(x):
         before = F.substring(text, F.greatest(x["s"] - NEAR, F.lit(0)) + 1, F.least(F.lit(NEAR), x["s"]))
-        near = before.rlike(f"(?i){CONTEXT_WORDS[kind]}") | (F.lit(kind == "secret"))
-        score = (F.lit(SCORES[kind]) + F.when(_valid(kind, x["m"]), CONFIRMED).otherwise(0.0)
-                 + F.when(near, CONTEXT).otherwise(0.0))
+        near = before.rlike(f"(?i){CONTEXT_WORDS[kind]}")
+        pattern, check, context = WEIGHTS[kind]
+        score = (F.lit(pattern) + F.when(_valid(kind, x["m"]), check).otherwise(0.0)
+                 + F.when(near, context).otherwise(0.0))
         return F.struct(x["s"].alias("start"), F.lit(KINDS.index(kind)).alias("ord"), x["e"].alias("end"),
                         F.lit(kind).alias("kind"), F.round(score, 3).alias("score"))
     found = _matches(kind, text)
     if base:
         return F.transform(F.filter(found, lambda x: _valid(kind, x["m"])), scored)
-    proposals = F.filter(found, lambda x: _valid(kind, x["m"])) if kind in ("iban", "national_id") else found
-    return F.filter(F.transform(proposals, scored), lambda x: x["score"] >= ACCEPT)
+    return F.filter(F.transform(found, scored), lambda x: x["score"] >= ACCEPT)
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -136,12 +143,13 @@ def _joined(spans: Column) -> Column:
 
 
 def pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, counts of the base kinds, their digest, and all spans with their best score."""
+    """Per row: doc_id, counts of the base kinds, their digest, all spans, and their scores in the same order."""
     found = find(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
     return found.select(
         "doc_id", *[F.size(f"__{k}").cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(_joined(F.col("__base")).cast("binary"), 256).alias("base_sha256"),
-        _joined(F.col("__spans")).alias("spans"))
+        _joined(F.col("__spans")).alias("spans"),
+        F.array_join(F.transform("__spans", lambda x: x["score"].cast("string")), ",").alias("scores"))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:

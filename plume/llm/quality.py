@@ -64,19 +64,22 @@ def context_table(docs: DataFrame, text: str = "text") -> np.ndarray:
     def run(batches):
         index, total = index_vectors(), np.zeros((BUCKETS, DIM), np.int64)
 
-        def add(b):
+        def add(b, first, last):  # of the tokens first to last, with the neighbours of all of ``b``
             near = np.zeros((len(b), DIM), np.int32)
             for o in range(1, REACH + 1):
                 near[o:] += index[b[:-o]]
                 near[:-o] += index[b[o:]]
+            b, near = b[first:last], near[first:last]
             order = np.argsort(b, kind="stable")
             at = np.flatnonzero(np.concatenate(([True], np.diff(b[order]) > 0)))
             total[b[order[at]]] += np.add.reduceat(near[order], at, axis=0)
         for batch in batches:
             for t in batch.column(0).to_pylist():
                 b = buckets(t)
-                for i in range(0, len(b), PART):  # a very long text in parts, each with its neighbours' ends cut off
-                    add(b[i:i + PART])
+                for i in range(0, len(b), PART):  # a very long text in parts, each with its neighbours' ends
+                    before = min(i, REACH)
+                    part = b[i - before:i + PART + REACH]
+                    add(part, before, before + min(PART, len(b) - i))
         used = np.flatnonzero(np.abs(total).sum(1))
         yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(total[used, i]) for i in range(DIM)]],
                                          ["bucket", *names])

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -95,12 +96,31 @@ def test_base_spans_match_plain_patterns(spark):
         digest = hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, _, e, k in b).encode()).hexdigest()
         want.append((r[0], *[sum(x[3] == k for x in b) for k in BASE], digest))
     got = pii.pii(frame(spark, rows))
-    assert bag(got.drop("spans").collect()) == bag(want)
+    assert bag(got.drop("spans", "scores").collect()) == bag(want)
     spans = {r.doc_id: r.spans for r in got.collect()}
     assert "iban:5:32" in spans[4011] and "iban" not in spans[4012] and "local_phone:5:17" in spans[4010]
     assert pii.pii(empty(spark)).count() == 0
 
 
+def test_checks_and_context_words_decide(spark):
+    pairs = [  # a proposal that is accepted, and one that a failed check or a missing word rejects
+        ("my ssn is 123-45-6789 here", "order 123-45-6789 here", "national_id", 0.6),
+        ("social security 123-45-6789", "social security 666-45-6789", "national_id", 0.6),
+        ("call 555-234-4567", "part 555-234-4567", "local_phone", 0.6),
+        ("fax: (555) 234-4567", "fax: (155) 234-4567", "local_phone", 0.6),
+        ("DE89 3704 0044 0532 0130 00", "my bank account DE88 3704 0044 0532 0130 00", "iban", 0.6),
+        ("IBAN DE89 3704 0044 0532 0130 00", "IBAN DE89 3704 0044 0532 0130 01", "iban", 0.8),
+        ("password: sixteenletters0nly", "password: sixteenlettersonly", "secret", 0.6),
+        ("token = 'a1b2c3d4e5f6a7b8c9'", "token = '12345678901234567890'", "secret", 0.6)]
+    rows = [(2 * i + k, p[k], *[None] * 6) for i, p in enumerate(pairs) for k in (0, 1)]
+    got = {r.doc_id: (r.spans, r.scores) for r in pii.pii(frame(spark, rows)).collect()}
+    for i, (_, _, kind, score) in enumerate(pairs):
+        assert got[2 * i][0].startswith(f"{kind}:") and float(got[2 * i][1]) == score, pairs[i]
+        assert got[2 * i + 1] == ("", ""), pairs[i]
+    far = "my ssn " + "x" * 40 + " 123-45-6789"
+    assert pii.pii(frame(spark, [(1, far, *[None] * 6)])).first().spans == ""
+
+
 def test_redaction(spark):
     rows = [(1, "x a@b.c y 192.168.0.1", "en", "s", 21, "", 1, ""), (2, None, None, None, None, None, None, None),
             (3, "", "en", "s", 0, "", 1, ""), (4, "nothing here", "en", "s", 12, "", 1, "")]
@@ -166,11 +186,43 @@ def test_languages_of_held_out_documents(spark):
     assert {r.lang_pred for r in langid.identify(docs, langid.learned(empty(spark))).collect()} == {"und"}
 
 
-def test_long_texts_count_as_their_parts():
-    text = "abc déf " * 300_000
-    code, n = langid.counts(text)
-    short, m = langid.counts("abc déf " * 100)
-    assert set(short) <= set(code) and n.sum() > 2500 * m.sum() and len(code) <= len(short) + 4
+def _plain_counts(text):
+    """N-grams of one to three characters, word by word."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    found = Counter()
+    for i, w in enumerate(words):
+        padded = f" {w} "
+        found.update(w)
+        found.update(padded[k:k + 2] for k in range(len(padded) - 1))
+        found.update(padded[k:k + 3] for k in range(len(padded) - 2))
+    pack = lambda g: sum(ord(c) << 21 * k for k, c in enumerate(g))
+    return {pack(g): n for g, n in found.items()}
+
+
+def test_counts_do_not_depend_on_the_parts():
+    texts = [r[1] or "" for r in odd()[:40]] + ["", " ", "1", "a", "a b", "  ab  c ", "abc déf " * 50, "x" * 100,
+                                               "\U0003134A\U00031350 \U00030000", "ÄÖ\U0001F600ß", "İIi ΣΑΣ"]
+    for text in texts:
+        want = _plain_counts(text)
+        for chunk in (1, 2, 3, 7, langid.CHUNK):
+            code, n = langid.counts(text, chunk)
+            assert dict(zip(code.tolist(), n.tolist())) == want, (text[:40], chunk)
+    long = "abc déf " * 300_000
+    code, n = langid.counts(long)
+    assert dict(zip(code.tolist(), n.tolist())) == _plain_counts(long)
+
+
+def test_every_letter_counts(spark):
+    docs = frame(spark, [(1, "\U0003134A\U00031350", "zh", "s", 2, "", 1, ""), (2, "plain words", "en", "s", 2, "", 1, "")])
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, langid.train(docs.select("text", "lang"))).collect()}
+    assert got == {1: "zh", 2: "en"}
+
+
+def test_context_pairs_cross_the_parts_of_a_long_text(spark, monkeypatch):
+    docs = frame(spark, [(1, " ".join(f"w{i % 37}" for i in range(900)), "en", "s", 1, "", 1, "")])
+    whole = quality.context_table(docs.select("text"))
+    monkeypatch.setattr(quality, "PART", 7)
+    assert np.array_equal(whole, quality.context_table(docs.select("text")))
 
 
 def test_quality_learns_and_ignores_held_out_labels(spark):
