@@ -9,8 +9,11 @@
    themselves and their wrappers again, as a reduction tree, so a hot host is no single task.
 3. Each slot of a wrapper knows over all pages how much text and linked text it held and whether it ever changed.
    Slots under furniture (navigation, footers, forms, adverts, comments and the like, by tag or class word), slots
-   of links outside an article, and slots whose text never changes while others of the page do are template; the main region is a skeleton's article or main
-   element, else the smallest container with most of its other text.
+   of links outside an article, and slots whose text never changes while others of the page do are template; the
+   main region is a skeleton's article or main element, else the smallest container with most of its other text.
+   Inside an article a class word alone drops nothing unless the whole name says so ("comment-list", "ad-box"); other
+   furniture words ("legal-analysis", "follow-up", "more") drop a slot only if the host's other pages show that it is
+   template: the same text on ``TEMPLATE_PAGES`` different pages, or mostly links.
 4. Each skeleton is found again in its host's wrapper, which holds it whole, and a page keeps the blocks of its main slots.
 """
 
@@ -55,6 +58,13 @@ subscribe subscription signup signin login register popup modal overlay menu nav
 sidebar side rail footer foot header masthead pagination pager paging widget copyright legal disclaimer skip hidden
 search form""".split())
 
+#: Words that name what no article consists of, and words that say nothing of their own beside them.
+NAMED = frozenset("""ad ads adv advert advertisement advertising sponsor sponsored cookie cookies consent gdpr notice notices
+comment comments disqus newsletter subscribe share sharing related recommended breadcrumb breadcrumbs nav navbar navigation
+menu sidebar footer pagination pager form""".split())
+NEUTRAL = frozenset("""area bar block box container content group inner item items links list posts section stories thread
+widget wrap wrapper""".split())
+
 _TAG = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+)>""",
                   re.S)
 _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -228,32 +238,42 @@ def align(a: list, b: list) -> list:
 
 
 def _is_furniture(label: str, in_article: bool) -> bool:
+    """Whether an element is furniture by its tag or class words.
+
+    Outside articles one furniture word will do.  Inside one the words must name nothing else than what an article
+    does not consist of (``NAMED``, with ``NEUTRAL`` ones); other furniture words only make its slots suspect.
+    """
     tag, *words = label.split(".")
-    found = {w for w in (tag, *words) if w in FURNITURE_WORDS or (w == tag and w in FURNITURE_TAGS)}
-    return bool(found - {"header"} if in_article else found)  # an article's header holds its title
+    if not in_article:
+        return tag in FURNITURE_TAGS or any(w in FURNITURE_WORDS for w in words)
+    if tag in FURNITURE_TAGS and tag != "header":  # an article's header holds its title
+        return True
+    return any(w in NAMED for w in words) and all(w in NAMED or w in NEUTRAL for w in words)
 
 
 def slots_of_wrapper(wrapper: list) -> tuple[list, list]:
     """Slots of a wrapper in order, as (path, free, semantic, changing, characters), and its containers' paths."""
     slots, regions, containers = [], [], []
 
-    def walk(node, path, furniture, semantic):
+    def walk(node, path, furniture, semantic, suspect):
         label = node[0]
         if label == "#":
             n, chars, linked, low, high = node[3]
-            free = not furniture and (semantic or linked <= 0.6 * chars)
-            slots.append((path, free, semantic, free and (semantic or n < TEMPLATE_PAGES or low != high), chars))
+            prose, changing = linked <= 0.6 * chars, n < TEMPLATE_PAGES or low != high
+            free = not furniture and (prose and changing if suspect else semantic or prose)
+            slots.append((path, free, semantic, free and (semantic or changing), chars))
             return
         tag = label.split(".")[0]
         furniture = furniture or _is_furniture(label, semantic)
+        suspect = suspect or (semantic and any(w in FURNITURE_WORDS for w in label.split(".")[1:]))
         semantic = semantic or (not furniture and tag in REGIONS)
         here = (*path, len(regions))  # a number of its own, so a path is a prefix of its descendants'
         regions.append(here)
         if tag in CONTAINERS:
             containers.append(here)
         for k in node[2]:
-            walk(k, here, furniture, semantic)
-    walk(wrapper, (), False, False)
+            walk(k, here, furniture, semantic, suspect)
+    walk(wrapper, (), False, False, False)
     return slots, containers
 
 

@@ -106,6 +106,21 @@ def test_copies_of_a_page_are_no_template(spark):
     assert all("Copied" in got[20 + i] for i in range(5))
 
 
+def test_class_words_in_an_article_need_evidence(spark):
+    page = ('<article><h1>Title {i}</h1><div class="legal-analysis"><p>First {i} part.</p></div>'
+            '<section id="follow-up"><p>Second {i} part.</p></section><p class="more">Third {i} part.</p>'
+            '<div class="promo-text"><p>Always the same words.</p></div><div class="ad-box"><p>Buy {i} now.</p></div>'
+            '<div class="more"><p><a href="x">Read {i} this too</a></p></div><ul class="comment-list"><li>Reader {i}.</li></ul>'
+            '</article>')
+    rows = [(i, "http://one.example/a", page.format(i=f"w{i}")) for i in range(5)] + [
+        (9, "http://alone.example/", page.format(i="only"))]
+    got = {r.page_id: r.text for r in wrappers.extract(_pages(spark, rows)).collect()}
+    for i in range(5):
+        assert got[i] == f"Title w{i}\nFirst w{i} part.\nSecond w{i} part.\nThird w{i} part."
+    # One page shows no template: what only a furniture word speaks against stays.
+    assert got[9] == "Title only\nFirst only part.\nSecond only part.\nThird only part.\nAlways the same words."
+
+
 def test_every_block_of_an_article_is_found_in_the_wrapper():
     def article(tags):
         return "<article>" + "".join(f"<{t}>{t} {i}</{t}>" for i, t in enumerate(tags)) + "</article>"
