@@ -82,22 +82,33 @@ def mentions_array(c="mentionedUsers") -> Column:
     return F.when(literal, F.filter(values, lambda v: v != "")).otherwise(F.array().cast("array<string>"))
 
 
+# What the normalised text is freed of, in order; each match becomes one space.  ``(?U)`` gives the URL rule Python's
+# Unicode ``\S`` on the JVM.
+_NOISE = (r"(?U)http\S+|www\.\S+", r"[@#][a-z0-9_]+", r"[^a-z]+")
+
+
 def clean_text(c) -> Column:
     """Lower-case; URLs, @names and #tags -> space; keep a-z and whitespace; collapse and strip.
 
     Three regex passes give the result of the five-step rule: ``@name`` and
     ``#tag`` matches never overlap, so one pass removes both; and "non-letter
     -> space, then whitespace runs -> one space" is "every run of characters
-    outside a-z -> one space".  ``(?U)`` gives the URL rule Python's Unicode
-    ``\\S`` on the JVM.
+    outside a-z -> one space".
     """
     t = F.lower(F.coalesce(_c(c), F.lit("")))
-    t = F.regexp_replace(t, r"(?U)http\S+|www\.\S+", " ")
-    t = F.regexp_replace(t, r"[@#][a-z0-9_]+", " ")
-    t = F.regexp_replace(t, r"[^a-z]+", " ")
+    for pattern in _NOISE:
+        t = F.regexp_replace(t, pattern, " ")
     return F.trim(t)
 
 
+def clean_text_sql(name: str) -> str:
+    """``clean_text`` of a column as Spark SQL text, for stages that are saved."""
+    t = f"lower(coalesce(`{name}`, ''))"
+    for pattern in _NOISE:
+        t = f"regexp_replace({t}, r'{pattern}', ' ')"
+    return f"trim({t})"
+
+
 def argmax_index(arr) -> Column:
     """0-based index of the largest element (first one on ties)."""
     a = _c(arr)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import NGram, SQLTransformer, StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plume.functions.columns import clean_text, label_id, label_name
-from plume.operators.text import balanced, collect_vocabulary, select_vocabulary, smooth_idf, term_stats, tfidf_stages, tokenized
+from plume.functions.columns import clean_text, clean_text_sql, label_id, label_name, score_to_class
+from plume.operators.text import (
+    balanced, collect_vocabulary, select_vocabulary, smooth_idf, stop_words, term_stats, tfidf_stages, tokenized,
+)
 from plume.session import work_dir
 from plume.schemas import LABEL_TO_ID, SENTIMENT_CLASSES, SPLIT_SEED, SPLIT_TEST_FRACTION, TFIDF_MAX_FEATURES
 
@@ -93,6 +96,24 @@ def train_classifier(train: DataFrame, text_col: str = "text_clean", max_iter: i
     return PipelineModel(stages=stages + [lr.fit(feats)])
 
 
+def portable_model(model: PipelineModel, text_col: str = "text") -> PipelineModel:
+    """A saved-and-loaded-anywhere form of a trained classifier: raw text in, class and class name out.
+
+    Cleaning, tokens, stop words and bigrams become stages before the model's own, and the class names one after, so
+    ``PipelineModel.load(path).transform(df)`` alone scores a frame with ``text_col``; it adds ``text_clean``,
+    ``prediction`` and ``sentiment_label`` among the stages' columns.
+    """
+    words = SQLTransformer(statement=(
+        f"SELECT *, filter(split(text_clean, ' '), t -> length(t) >= 2) AS raw_tokens FROM (SELECT *, {clean_text_sql(text_col)} "
+        "AS text_clean FROM __THIS__)"))
+    kept = StopWordsRemover(inputCol="raw_tokens", outputCol="unigrams", stopWords=list(stop_words()))
+    pairs = NGram(n=2, inputCol="unigrams", outputCol="bigrams")
+    both = SQLTransformer(statement="SELECT *, concat(unigrams, bigrams) AS tokens FROM __THIS__")
+    names = " ".join(f"WHEN {v} THEN '{k}'" for k, v in LABEL_TO_ID.items())
+    named = SQLTransformer(statement=f"SELECT *, CASE CAST(prediction AS INT) {names} END AS sentiment_label FROM __THIS__")
+    return PipelineModel(stages=[words, kept, pairs, both, *model.stages, named])
+
+
 def predict(model: PipelineModel, df: DataFrame, text_col: str = "text_clean") -> DataFrame:
     """Add ``pred`` (class id) and ``pred_label`` (class name)."""
     docs = tokenized(df, text_col, bigrams=True)
@@ -153,6 +174,48 @@ def lexicon_sentiment(df: DataFrame, lexicon: DataFrame, text_col: str = "text_c
     return out.withColumn("pred", label_id("pred_label"))
 
 
+#: Modifiers of English, in hundredths: what a lexicon word's score is multiplied by if one of these words stands within
+#: ``SCOPE`` words before it.  A negation turns the sign and weakens; two of them nearly cancel out.
+NEGATIONS = dict.fromkeys(("not", "no", "never", "nor", "neither", "nobody", "nothing", "without", "cannot", "hardly",
+                           "don", "doesn", "didn", "isn", "wasn", "aren", "won", "wouldn", "can", "couldn"), -75)
+INTENSIFIERS = {"very": 130, "really": 130, "extremely": 150, "so": 120, "most": 130, "more": 115, "too": 115,
+                "quite": 90, "slightly": 70, "somewhat": 80, "barely": 60, "less": 70}
+SCOPE, NORM = 3, 15.0
+
+
+def valence_sentiment(df: DataFrame, lexicon: DataFrame, modifiers: dict[str, int] | None = None, scope: int = SCOPE,
+                      norm: float = NORM, text_col: str = "text_clean") -> DataFrame:
+    """Rule scores over ordered words: lexicon scores under negations and intensifiers, then three classes at +-0.05.
+
+    Each known word counts its lexicon score times the ``modifiers`` (hundredths) among the ``scope`` words before it;
+    a text's sum ``x`` is brought to -1..1 as ``x / sqrt(x * x + norm)``, so long texts do not run away.  Sums are whole
+    numbers, so every engine gets the same.  Null and empty texts and texts without known words score 0 and are
+    Neutral; ``lexicon`` is ``(word, score)``, its words as ``clean_text`` leaves them.
+    """
+    modifiers = {**NEGATIONS, **INTENSIFIERS} if modifiers is None else modifiers
+    docs = tokenized(df.select("id", text_col), text_col, remove_stop_words=False)  # most modifiers are stop words
+    factor = F.lit(100).cast("long")
+    if modifiers:
+        known = F.create_map(*[F.lit(x) for kv in modifiers.items() for x in kv])
+        factors = F.transform("tokens", lambda t: F.coalesce(known[t].cast("long"), factor))
+        docs = docs.withColumn("f", F.concat(F.array_repeat(factor, scope), factors))
+    else:
+        docs = docs.withColumn("f", F.array_repeat(factor, F.size("tokens") + scope))
+    weight = F.slice("f", F.lit(1), F.size("tokens"))  # the words ``scope`` places before, then the nearer ones
+    for k in range(1, scope):
+        weight = F.zip_with(weight, F.slice("f", F.lit(k + 1), F.size("tokens")), lambda a, b: a * b)
+    placed = docs.select("id", F.explode(F.arrays_zip(F.col("tokens").alias("word"), weight.alias("m"))).alias("w"))
+    lex = lexicon.select("word", F.round(F.col("score") * 10000).cast("long").alias("e4"))
+    hits = (placed.select("id", "w.word", "w.m").join(lex, "word")
+            .select("id", (F.col("e4") * F.col("m")).cast("decimal(38,0)").alias("x")))
+    zero = df.select("id", F.lit(0).cast("decimal(38,0)").alias("x"))
+    total = hits.unionByName(zero).groupBy("id").agg(F.sum("x").cast("double").alias("t"))
+    x = F.col("t") / F.lit(10000.0 * 100.0 ** scope)
+    score = x / F.sqrt(x * x + F.lit(float(norm)))
+    out = total.select("id", score.alias("score")).withColumn("pred_label", score_to_class("score"))
+    return out.withColumn("pred", label_id("pred_label"))
+
+
 # --- metrics ---------------------------------------------------------------------------------------------------
 
 def _classes(spark) -> DataFrame:

@@ -71,7 +71,7 @@ def run_batch(spark: SparkSession, raw: DataFrame, out_root: str, labelled: Data
             write_dataset(sp, out_root, "labelled_split")
             sp = read_dataset(spark, out_root, "labelled_split")
             clf = S.train_classifier(sp.filter(F.col("split") == "train"))
-            clf.write().overwrite().save(f"{out_root}/models/sentiment_lr")
+            S.portable_model(clf).write().overwrite().save(f"{out_root}/models/sentiment_lr")
             test = sp.filter(F.col("split") == "test")
             write_dataset(S.report(S.predict(clf, test)), out_root, "eval_lr_report")
             write_dataset(S.score_posts(clf, posts), out_root, "post_sentiment")

@@ -607,6 +607,20 @@ UNION ALL SELECT topic, sentiment, count(*) FROM labelled WHERE sentiment IS NOT
 SQL["label_prep"] = with_ctes(["labelled"], "SELECT id, topic, sentiment, label, text_clean FROM prep")
 SQL["stratified_split"] = with_ctes(["labelled"], "SELECT id, sentiment, label, split FROM split")
 SQL["lexicon_sentiment"] = with_ctes(["lexicon"], "SELECT id, label, score, pred_label, pred FROM preds")
+_FACTOR = ("CASE {0} WHEN 'only' THEN -75 WHEN 'than' THEN -75 WHEN 'from' THEN -50 WHEN 'that' THEN 130 "
+           "WHEN 'this' THEN 115 WHEN 'as' THEN 80 ELSE 100 END")
+_FACTORS = " * ".join(f"CASE WHEN i > {k} THEN {_FACTOR.format(f'toks[i - {k}]')} ELSE 100 END" for k in (1, 2, 3))
+SQL["valence_sentiment"] = with_ctes(["lexicon", "posts_clean"], f"""
+, vt AS (SELECT id, [t FOR t IN string_split({_clean_sql('content')}, ' ') IF length(t) >= 2] AS toks
+         FROM posts_clean WHERE lang = 'en'),
+vh AS (SELECT p.id, sum(x.e4 * p.m) AS t
+       FROM (SELECT id, toks[i] AS word, {_FACTORS} AS m
+             FROM (SELECT id, toks, unnest(generate_series(1, len(toks))) AS i FROM vt)) p
+       JOIN lexicon x ON p.word = x.word GROUP BY p.id),
+vs AS (SELECT vt.id, CAST(coalesce(vh.t, 0) AS DOUBLE) / 10000000000.0 AS x FROM vt LEFT JOIN vh ON vt.id = vh.id),
+vc AS (SELECT id, x / sqrt(x * x + 15.0) AS score FROM vs)
+SELECT id, score, CASE WHEN score <= -0.05 THEN 'Negative' WHEN score >= 0.05 THEN 'Positive' ELSE 'Neutral' END AS pred_label,
+  CAST(CASE WHEN score <= -0.05 THEN 0 WHEN score >= 0.05 THEN 2 ELSE 1 END AS INTEGER) AS pred FROM vc""")
 SQL["eval_accuracy"] = with_ctes(["lexicon"], """
 SELECT avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS support FROM preds""")
 SQL["eval_confusion"] = with_ctes(["lexicon"], """

@@ -104,6 +104,56 @@ def test_classifier_learns_and_round_trips(spark, tmp_dir):
     assert rows(again, "id", "pred") == rows(pred, "id", "pred")
 
 
+def test_saved_model_scores_raw_text_alone(spark, tmp_dir):
+    words = {0: "terrible", 1: "average", 2: "wonderful"}
+    data = [(i, "x", ["Negative", "Neutral", "Positive"][i % 3], f"{words[i % 3]} day number {i}") for i in range(60)]
+    model = S.train_classifier(S.label_prep(spark.createDataFrame(data, "id long, topic string, sentiment string, text string")))
+    raw = [(1, "A Wonderful, WONDERFUL day! http://x.y/terrible @terrible #terrible"), (2, "terrible   days"), (3, None),
+           (4, ""), (5, "an average\n\naverage"), (6, "Üñ wonderful\u00a0day www.terrible.org")]
+    df = spark.createDataFrame(raw, "id long, text string")
+    from plume.functions.columns import clean_text
+    want = S.predict(model, df.withColumn("text_clean", clean_text("text")))
+    from pyspark.ml import PipelineModel
+    S.portable_model(model).write().overwrite().save(tmp_dir + "/whole")
+    got = PipelineModel.load(tmp_dir + "/whole").transform(df)  # nothing of this library is needed here
+    assert rows(got, "id", "text_clean") == rows(df.withColumn("text_clean", clean_text("text")), "id", "text_clean")
+    assert [(r.id, r.sentiment_label) for r in got.orderBy("id").collect()] == [
+        (r.id, r.pred_label) for r in want.orderBy("id").collect()]
+    assert {r.id: r.sentiment_label for r in got.collect()}[6] == "Positive"
+
+
+def test_valence_rules_match_a_plain_loop(spark):
+    import math
+    import random
+    lexicon = {"good": 1.9, "bad": -2.5, "fine": 0.8, "awful": -2.0}
+    rnd = random.Random(4)
+    pool = [*lexicon, "not", "never", "very", "slightly", "plain", "word", "a"]
+    texts = [" ".join(rnd.choice(pool) for _ in range(rnd.randint(0, 12))) for _ in range(200)]
+    texts += ["not good", "good", "not very good", "very not good", "not a plain word good", "a not good", "", "good " * 500, None]
+    modifiers = {**S.NEGATIONS, **S.INTENSIFIERS}
+
+    def score(text):
+        toks, x = [t for t in (text or "").split() if len(t) >= 2], 0
+        for i, t in enumerate(toks):
+            if t in lexicon:
+                x += round(lexicon[t] * 10000) * math.prod(modifiers.get(w, 100) for w in toks[max(0, i - 3):i]) * 100 ** (3 - len(toks[max(0, i - 3):i]))
+        x /= 1e10
+        return x / math.sqrt(x * x + 15)
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text_clean string")
+    lex = spark.createDataFrame(list(lexicon.items()), "word string, score double")
+    got = {r.id: r for r in S.valence_sentiment(df, lex).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        assert abs(got[i].score - score(t)) < 1e-12, t
+        assert got[i].pred == (0 if got[i].score <= -0.05 else 2 if got[i].score >= 0.05 else 1)
+    at = {t: got[i].score for i, t in enumerate(texts)}
+    assert at["not good"] < 0 < at["good"] < at["good " * 500] < 1 and at["not very good"] == at["very not good"] < at["not good"]
+    assert at["not a plain word good"] < 0  # one-letter words are no words
+    bare = {r.id: r.score for r in S.valence_sentiment(df, lex, {}).collect()}
+    assert bare[texts.index("not good")] == at["good"]
+    assert S.valence_sentiment(df.limit(0), lex).count() == 0
+
+
 def test_stop_words_are_the_library_default(spark):
     from pyspark.ml.feature import StopWordsRemover
     assert list(T.stop_words()) == StopWordsRemover.loadDefaultStopWords("english")
