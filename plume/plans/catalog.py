@@ -106,6 +106,23 @@ def q_stream_ingest(spark, sf_dir):
     return read_sink(spark, out)
 
 
+@register("topic_ingest")
+def q_topic_ingest(spark, sf_dir):
+    """Messages published to a partitioned topic, consumed from its earliest offsets in bounded batches, read back."""
+    from plume.session import scratch_path
+    from plume.streaming.ingest import read_sink, start_ingest
+    from plume.streaming.topic import publish, read_topic
+    topic, out, ckpt, progress = (scratch_path(spark, f"topic-{n}") for n in ("log", "out", "ckpt", "progress"))
+    publish(M.encode_messages(C.ingest_filter(posts_raw(spark, sf_dir))), topic)
+    source = read_topic(spark, topic, max_messages=50_000, progress=progress)
+    q = start_ingest(source, out, ckpt, processing_time="0 seconds")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return read_sink(spark, out)
+
+
 # --- exploded arrays -------------------------------------------------------------------------------------------
 
 @register("hashtags_exploded")

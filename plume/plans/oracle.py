@@ -196,6 +196,7 @@ UNION ALL SELECT 'after_text', r2 FROM f UNION ALL SELECT 'after_dedup', r3 FROM
 SQL["encode_messages"] = with_ctes(["messages"], "SELECT key, value FROM messages")
 SQL["parse_messages"] = with_ctes(["posts_stream"], "SELECT * FROM posts_stream")
 SQL["stream_ingest"] = SQL["parse_messages"]
+SQL["topic_ingest"] = SQL["parse_messages"]
 
 # --- exploded arrays -------------------------------------------------------------------------------------------
 
