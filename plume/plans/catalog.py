@@ -298,6 +298,20 @@ def q_user_nodes(spark, sf_dir):
     return _graph(spark, sf_dir)[2]
 
 
+@register("edges_with_author_kpis")
+def q_edges_with_author_kpis(spark, sf_dir):
+    """Edges and their author's KPIs from two tables laid out by the user: the join shuffles nothing."""
+    from plume.sources.keyed import buckets_for, write_keyed
+    _, edges, nodes = _graph(spark, sf_dir)
+    edges = edges.checkpoint(eager=True)
+    n = buckets_for(edges.count())
+    write_keyed(edges, "edges_by_source", "source_user", n, then=["target_user"])
+    write_keyed(nodes, "nodes_by_name", "username", n)
+    e, u = spark.table("edges_by_source"), spark.table("nodes_by_name")
+    return e.join(u, e["source_user"] == u["username"]).select(
+        "source_user", "target_user", "type", "weight", "tweets_count", "engagement_sum")
+
+
 @register("edges_collapsed")
 def q_edges_collapsed(spark, sf_dir):
     return G.collapse_edges(_graph(spark, sf_dir)[1])

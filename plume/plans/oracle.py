@@ -382,6 +382,9 @@ SQL["user_edges"] = with_ctes(["graph"], "SELECT * FROM user_edges")
 SQL["user_nodes"] = with_ctes(["graph"], "SELECT * FROM user_nodes")
 SQL["edges_collapsed"] = with_ctes(["graph"], "SELECT source_user, target_user, weight, type FROM ec")
 SQL["degrees"] = with_ctes(["graph"], "SELECT * FROM degrees")
+SQL["edges_with_author_kpis"] = with_ctes(["graph"], """
+SELECT source_user, target_user, type, weight, tweets_count, engagement_sum
+FROM user_edges JOIN user_nodes ON source_user = username""")
 SQL["undirected_edges"] = with_ctes(["graph"], "SELECT a, b FROM ud")
 SQL["pagerank"] = with_ctes(["pagerank_conv"], "SELECT username, round(rank, 8) AS pagerank FROM pr_final")
 SQL["communities"] = with_ctes(["lp"], "SELECT username, community_id FROM comm")
