@@ -176,6 +176,57 @@ def test_models_tell_like_urls_apart(spark):
     assert all(got[2000 + i] == "allow" and got[3000 + i] == "block" for i in range(30))
 
 
+def _plain_scores(taught, texts):
+    """The two models counted anew for every class with plain dictionaries of strings of bytes."""
+    import math
+    follow = {}
+    for text, verdict in taught:
+        b = text.encode() + b"\n"
+        for i in range(len(b)):
+            for j in range(max(0, i - 5), i + 1):
+                ctx = follow.setdefault((verdict, b[j:i]), {})
+                ctx[b[i]] = ctx.get(b[i], 0) + 1
+    out = {}
+    for text in texts:
+        b, total = text.encode() + b"\n", {"allow": 0.0, "block": 0.0}
+        for verdict in total:
+            for i in range(len(b)):
+                p = 1 / 256
+                for j in range(i, max(0, i - 5) - 1, -1):
+                    ctx = follow.get((verdict, b[j:i]))
+                    if ctx:
+                        p = (ctx.get(b[i], 0) + len(ctx) * p) / (sum(ctx.values()) + len(ctx))
+                total[verdict] += math.log(p)
+        out[text] = (total["allow"] - total["block"]) / len(text) if text else 0.0
+    return out
+
+
+def test_url_scores_match_plain_counts(spark):
+    rng = random.Random(4)
+    rows = [(i, f"http://{rng.choice('abc')}{rng.randrange(9)}.{rng.choice(['org', 'com', 'net'])}/"
+             f"{rng.choice(['fr', 'de', 'é', 'x'])}/{rng.randrange(30)}", "") for i in range(150)]
+    rows += [(200 + i, u[0], "") for i, u in enumerate(URLS)] + [(999, "http://n.net/" + "ab\n" * 50_000, "")] + rows[:9]
+    pages = _pages(spark, rows)
+    parts = urls.ruled(pages.select(urls.host("url").alias("host"), urls.path("url").alias("path")))
+    apart = {r.t for r in parts.selectExpr("concat(host, path) AS t").where("pmod(xxhash64(t), 5) = 0").collect()}
+    got = urls.judge(pages).collect()
+    text = {r: r.host + r.path for r in got}
+    taught = [(text[r], r.verdict) for r in got if r.rule and text[r] not in apart and text[r]]
+    want = _plain_scores(taught, set(text.values()))
+    assert len(got) == len(rows) and max(abs(r.score - want[text[r]]) for r in got) < 2e-6
+    held = [(want[text[r]], r.verdict) for r in got if r.rule and text[r] in apart]
+    assert {v for _, v in held} == {"allow", "block"}
+    line = {r.verdict: [x.score for x in got if not x.rule and x.verdict == r.verdict] for r in got}
+    assert max(line["block"]) < min(line["allow"])
+
+    def right(at):
+        return sum(sum((s >= at) == (v == "allow") for s, v in held if v == c) / sum(v == c for _, v in held)
+                   for c in ("allow", "block"))
+    best = max(right(k / 100) for k in range(-900, 900))
+    assert any(right(k / 200) > best - 1e-9 for k in range(-1800, 1800)
+               if max(line["block"]) < k / 200 <= min(line["allow"]))
+
+
 def test_sql_twin_of_decontamination(spark):
     from oracle_check import digest, duck
     df = QUERIES["op5_decontaminate"](spark, SF)
