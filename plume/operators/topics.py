@@ -1,22 +1,21 @@
 """LDA topic model over English posts: vocabulary, fit, per-post mixture, topic words, topic share.
 
-The model is ``spark.ml`` LDA (online variational Bayes with the whole corpus
-in every round, i.e. the batch method), fitted and applied in one distributed
-pass per round; nothing but the bounded vocabulary (``max_features`` terms)
+The model is batch variational Bayes (``variational``): one distributed pass over the corpus a round until the
+variational bound stops growing; nothing but the bounded vocabulary (``max_features`` terms) and its topic matrix
 passes through the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import LDA
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plume.functions.columns import argmax_index, percent
+from plume.operators import variational
 from plume.operators.text import balanced, collect_vocabulary, count_vectors, select_vocabulary, term_stats, tokenized
 from plume.schemas import (
-    BOW_MAX_DF, BOW_MAX_FEATURES, BOW_MIN_DF, LDA_MAX_ITER, LDA_SEED, LDA_TOPICS, LDA_WORDS, TOPIC_LABELS,
+    BOW_MAX_DF, BOW_MAX_FEATURES, BOW_MIN_DF, LDA_GAIN, LDA_MAX_ITER, LDA_SEED, LDA_TOPICS, LDA_WORDS, TOPIC_LABELS,
     UNKNOWN_TOPIC,
 )
 
@@ -35,36 +34,44 @@ def bow_vocabulary(corpus: DataFrame) -> DataFrame:
     return select_vocabulary(term_stats(corpus), n_docs, BOW_MAX_FEATURES, BOW_MIN_DF, BOW_MAX_DF)
 
 
-def fit_lda(corpus: DataFrame, k: int = LDA_TOPICS, max_iter: int = LDA_MAX_ITER, seed: int = LDA_SEED):
-    """Fit LDA; returns ``(model, terms, vectors)`` where ``vectors`` holds the count vectors."""
-    # The vocabulary pass, the vector pass and every optimiser round read the corpus: tokens and vectors are
-    # written once to the shared checkpoint folder, dealt by their number of tokens.
+def fit_lda(corpus: DataFrame, k: int = LDA_TOPICS, max_iter: int = LDA_MAX_ITER, seed: int = LDA_SEED,
+            gain: float = LDA_GAIN):
+    """Fit LDA; returns ``(model, terms, vectors)``: ``vectors`` holds ``(id, terms, counts)`` of every document.
+
+    Rounds end when the bound per token grows by less than ``gain``; a fit that needs more than ``max_iter`` rounds
+    raises.  Documents without known terms keep their row, with empty arrays.
+    """
+    # The vocabulary pass, the vector pass and every round read the corpus: tokens and vectors are written once
+    # to the shared checkpoint folder, dealt by their number of tokens.
     corpus = balanced(corpus.select("id", "tokens"))
     terms = collect_vocabulary(bow_vocabulary(corpus))
-    vecs = count_vectors(corpus, terms, out="features").select("id", "features").checkpoint(eager=True)
-    lda = LDA(k=k, maxIter=max_iter, seed=seed, optimizer="online", subsamplingRate=1.0,
-              learningOffset=1.0, optimizeDocConcentration=False, featuresCol="features")
-    model = lda.fit(vecs)
+    if terms:
+        vector = F.unwrap_udt("features")  # CountVectorizer's vectors are sparse
+        vecs = (count_vectors(corpus, terms, out="features")
+                .select("id", vector["indices"].alias("terms"), vector["values"].alias("counts")))
+    else:
+        vecs = corpus.select("id", F.array().cast("array<int>").alias("terms"),
+                             F.array().cast("array<double>").alias("counts"))
+    vecs = vecs.checkpoint(eager=True)
+    model = variational.fit(vecs, len(terms), k, seed, max_iter, gain)
+    if not model.converged:
+        raise RuntimeError(f"LDA has not converged in {max_iter} rounds; bound per token {model.bounds[-2:]}")
     return model, terms, vecs
 
 
-def topic_assignments(model, vecs: DataFrame, k: int = LDA_TOPICS) -> DataFrame:
+def topic_assignments(model: variational.TopicModel, vecs: DataFrame) -> DataFrame:
     """``(id, dominant_topic, topic_distribution)``; a document without known terms gets the uniform mixture."""
-    t = model.transform(vecs).select("id", vector_to_array("topicDistribution").alias("dist"))
-    total = F.aggregate("dist", F.lit(0.0), lambda acc, x: acc + x)
-    uniform = F.array_repeat(F.lit(1.0 / k), k)
-    dist = F.when(total > 0, F.col("dist")).otherwise(uniform)
-    return t.select("id", argmax_index(dist).alias("dominant_topic"), dist.alias("topic_distribution"))
-
-
-def topic_words(model, terms: list[str], n: int = LDA_WORDS) -> DataFrame:
-    """``(topic, rank, word, weight)``: the ``n`` heaviest words of every topic."""
-    d = model.describeTopics(n)  # k x n rows
-    vocab = d.sparkSession.createDataFrame([(i, t) for i, t in enumerate(terms)], "term_index int, word string")
-    ex = d.select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("pos", "tw"))
-    return (ex.select("topic", (F.col("pos") + 1).alias("rank"), F.col("tw.termIndices").alias("term_index"),
-                      F.col("tw.termWeights").alias("weight"))
-            .join(F.broadcast(vocab), "term_index").select("topic", "rank", "word", "weight"))
+    t = variational.mixtures(vecs, model)
+    return t.select("id", argmax_index(F.col("mixture")).alias("dominant_topic"),
+                    F.col("mixture").alias("topic_distribution"))
+
+
+def topic_words(spark, model: variational.TopicModel, terms: list[str], n: int = LDA_WORDS) -> DataFrame:
+    """``(topic, rank, word, weight)``: the ``n`` heaviest words of every topic, ties by vocabulary order."""
+    share = model.topics / model.topics.sum(axis=1, keepdims=True)
+    rows = [(t, r, terms[i], float(share[t, i])) for t in range(len(share))  # k x n rows
+            for r, i in enumerate(np.argsort(-share[t], kind="stable")[:n].tolist(), 1)]
+    return spark.createDataFrame(rows, "topic int, rank int, word string, weight double")
 
 
 def topic_labels(spark) -> DataFrame:

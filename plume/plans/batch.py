@@ -63,7 +63,7 @@ def run_batch(spark: SparkSession, raw: DataFrame, out_root: str, labelled: Data
     if with_text_models:
         model, terms, vecs = TP.fit_lda(TP.topic_corpus(posts))
         write_dataset(TP.topic_assignments(model, vecs), out_root, "post_topics")
-        write_dataset(TP.topic_words(model, terms), out_root, "topic_words")
+        write_dataset(TP.topic_words(spark, model, terms), out_root, "topic_words")
         topics = read_dataset(spark, out_root, "post_topics")
         write_dataset(TP.topic_share(topics, TP.topic_labels(spark)), out_root, "topic_share")
         if labelled is not None:

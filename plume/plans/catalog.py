@@ -497,7 +497,7 @@ def q_topic_assignments(spark, sf_dir):
 @register("topic_words")
 def q_topic_words(spark, sf_dir):
     model, terms, _ = _lda(spark, sf_dir)
-    return TP.topic_words(model, terms)
+    return TP.topic_words(spark, model, terms)
 
 
 @register("topic_share")

@@ -32,7 +32,7 @@ HASHTAG_NOISE = r"[\[\]'`\s]"
 # Score thresholds of the three-class mapping (<= NEG Negative, >= POS Positive).
 SENTIMENT_NEG, SENTIMENT_POS = -0.05, 0.05
 # Text-model parameters.
-LDA_TOPICS, LDA_WORDS, LDA_MAX_ITER, LDA_SEED = 8, 15, 10, 0
+LDA_TOPICS, LDA_WORDS, LDA_MAX_ITER, LDA_SEED, LDA_GAIN = 8, 15, 500, 0, 1e-4
 BOW_MAX_DF, BOW_MIN_DF, BOW_MAX_FEATURES = 0.9, 10, 5000
 TFIDF_MAX_FEATURES = 20000
 SPLIT_TEST_FRACTION, SPLIT_SEED = 0.2, 42

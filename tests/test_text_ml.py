@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -74,19 +76,73 @@ def test_lda_two_groups_and_empty_doc(spark):
     old = (mod.BOW_MIN_DF,)
     mod.BOW_MIN_DF = 1
     try:
-        model, terms, vecs = TP.fit_lda(corpus, k=2, max_iter=20)
+        model, terms, vecs = TP.fit_lda(corpus, k=2)
     finally:
         mod.BOW_MIN_DF = old[0]
-    asg = {r["id"]: r for r in TP.topic_assignments(model, vecs, k=2).collect()}
+    asg = {r["id"]: r for r in TP.topic_assignments(model, vecs).collect()}
     assert asg[999]["topic_distribution"] == [0.5, 0.5]
     assert all(abs(sum(r["topic_distribution"]) - 1) < 1e-6 for r in asg.values())
     assert asg[0]["dominant_topic"] != asg[100]["dominant_topic"]
-    words = TP.topic_words(model, terms, 3)
+    words = TP.topic_words(spark, model, terms, 3)
     assert words.count() == 6
-    share = TP.topic_share(TP.topic_assignments(model, vecs, k=2), TP.topic_labels(spark))
+    share = TP.topic_share(TP.topic_assignments(model, vecs), TP.topic_labels(spark))
     assert abs(sum(r["percent"] for r in share.collect()) - 100.0) < 0.2
 
 
+def _mixture(topics, alpha, counts):
+    """Mixture of one document by the textbook update, with derivatives of ``lgamma`` taken numerically."""
+    def psi(x, h=1e-4):
+        while x < 40:  # far from zero the difference quotient is exact enough
+            return psi(x + 1, h) - 1 / x
+        return (math.lgamma(x + h) - math.lgamma(x - h)) / (2 * h)
+    k = len(topics)
+    beta = [{w: math.exp(psi(t[w]) - psi(sum(t))) for w in counts} for t in topics]
+    gamma = [1.0] * k
+    for _ in range(400):
+        theta = [math.exp(psi(g) - psi(sum(gamma))) for g in gamma]
+        norm = {w: sum(theta[j] * beta[j][w] for j in range(k)) for w in counts}
+        gamma = [alpha + theta[j] * sum(n * beta[j][w] / norm[w] for w, n in counts.items()) for j in range(k)]
+    return [g / sum(gamma) for g in gamma]
+
+
+def test_lda_converges_and_mixtures_match_plain_inference(spark):
+    rng = random.Random(5)
+    words = [[f"w{'abcdefghij'[t]}{'abcdefghijkl'[i]}" for i in range(12)] for t in range(3)]
+    docs = []
+    for i in range(120):
+        docs.append((i, [rng.choice(words[rng.choice([i % 3] * 8 + [0, 1, 2])]) for _ in range(rng.randrange(3, 60))]))
+    docs += [(500, []), (501, ["unknown"]), (502, words[0] * 300), (502, words[0] * 300)]
+    corpus = spark.createDataFrame(docs, "id long, tokens array<string>").repartition(5)
+    model, terms, vecs = TP.fit_lda(corpus, k=3)
+    grown = [b - a for a, b in zip(model.bounds, model.bounds[1:])]
+    assert model.converged and len(grown) > 3 and min(grown) > -1e-3 and grown[-1] < 1e-4
+    got = TP.topic_assignments(model, vecs).collect()
+    at = {r.id: r.topic_distribution for r in got}
+    assert len(got) == len(docs) and at[500] == at[501] == [1 / 3] * 3
+    topics = model.topics.tolist()
+    for i, tokens in [*docs[:40], docs[-1]]:
+        counts = {terms.index(w): tokens.count(w) for w in set(tokens) if w in terms}
+        want = _mixture(topics, model.alpha, counts)
+        assert max(abs(a - b) for a, b in zip(at[i], want)) < 1e-3
+    heavy = {}
+    for r in TP.topic_words(spark, model, terms, 12).collect():
+        heavy.setdefault(r.topic, set()).add(r.word)
+    assert {frozenset(h) for h in heavy.values()} == {frozenset(w) & set(terms) for w in words}
+    # No documents, and documents without a term of the vocabulary.
+    for none in (corpus.limit(0), corpus.where("id >= 500 AND id < 502")):
+        model, terms, vecs = TP.fit_lda(none, k=3)
+        assert terms == [] and TP.topic_assignments(model, vecs).count() == none.count()
+        assert TP.topic_words(spark, model, terms).count() == 0
+
+
+def test_gamma_functions():
+    from plume.operators.variational import digamma, gammaln
+    for x in (1e-3, 0.125, 0.9, 1.0, 3.3, 50.0, 1e5):
+        assert abs(gammaln(x) - math.lgamma(x)) < 1e-9 * max(1, abs(math.lgamma(x)))
+        assert abs(digamma(x + 1) - digamma(x) - 1 / x) < 1e-9 * max(1, 1 / x)
+    assert abs(digamma(1.0) + 0.5772156649015329) < 1e-11
+
+
 def test_classifier_learns_and_round_trips(spark, tmp_dir):
     words = {0: "terrible", 1: "average", 2: "wonderful"}
     data = [(i, "x", ["Negative", "Neutral", "Positive"][i % 3], f"{words[i % 3]} day number {i}") for i in range(60)]
