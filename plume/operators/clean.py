@@ -11,20 +11,43 @@ from plume.functions.columns import (
 from plume.schemas import KEEP_COLUMNS
 
 
-def keep_best_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """One row per key: the row with the largest ``order`` tuple; a 64-bit hash of the row's other columns
+MARK_WORDS = 1 << 18  # words of 64 bits that mark the keys which may repeat: 16.8 million slots, broadcast
+
+
+def _mark(key: str) -> tuple[Column, Column]:
+    """Word and bit of a key's slot."""
+    h = F.xxhash64(F.col(f"`{key}`"))
+    return F.pmod(h, F.lit(MARK_WORDS)).cast("int"), F.expr(f"shiftleft(1L, cast(pmod(shiftright(xxhash64(`{key}`), 32), 64) as int))")
+
+
+def keep_best_per_key(df: DataFrame, key: str, order: list[str], reread: bool = False) -> DataFrame:
+    """One row per key: the row with the largest ``order`` columns; a 64-bit hash of the row's other columns
     (null flags included) breaks the remaining ties, so the survivor is the same on every run.
 
     An aggregate, not a window: partial aggregation combines a key's rows map-side, so a key holding a third of
-    all rows is reduced before the shuffle and never lands whole in one task.  One ``max_by`` carries the row as
-    one struct and the order once; select the columns a query needs before calling, the rest never travels.
+    all rows is reduced before the shuffle and never lands whole in one task.  One struct carries the row, its
+    ``order`` columns and the hash first; select the columns a query needs before calling, the rest never travels.
+
+    ``reread`` is for wide rows that can be computed again: a first pass counts the keys alone and marks those that
+    repeat in a bit table of fixed size.  Rows of unmarked keys are the only ones of their key and stay where they
+    are; only rows of marked keys (a few unrepeated ones share a mark) are shuffled.
     """
     payload = [c for c in df.columns if c != key]
-    cols = [F.col(f"`{c}`") for c in payload]
-    row_hash = F.xxhash64(*[x for c in cols for x in (c, c.isNull())])
-    ordering = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], row_hash.alias("__h"))
-    best = df.groupBy(key).agg(F.max_by(F.struct(*cols), ordering).alias("__row"))
-    return best.select(key, *[F.col(f"__row.`{c}`").alias(c) for c in payload])
+    rest = [c for c in payload if c not in order]
+    row_hash = F.xxhash64(*[x for c in payload for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())])
+
+    def best(rows: DataFrame) -> DataFrame:
+        row = F.struct(*[F.col(f"`{c}`") for c in order], row_hash.alias("__h"), *[F.col(f"`{c}`") for c in rest])
+        return rows.groupBy(key).agg(F.max(row).alias("__row")).select(
+            key, *[F.col(f"__row.`{c}`").alias(c) for c in payload])
+    if not reread:
+        return best(df)
+    word, bit = _mark(key)
+    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    marks = repeated.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    told = df.withColumn("__word", word).join(F.broadcast(marks), "__word", "left")
+    marked = F.coalesce(F.col("__bits").bitwiseAND(bit), F.lit(0)) != 0
+    return told.where(~marked).select(key, *payload).unionByName(best(told.where(marked).select(key, *payload)))
 
 
 def keep_first_read(df: DataFrame, key: str, at: str = "read_at") -> DataFrame:
@@ -39,12 +62,12 @@ def keep_columns(df: DataFrame, columns=KEEP_COLUMNS) -> DataFrame:
     return df.select([c for c in columns if c in df.columns])
 
 
-def ingest_filter(raw: DataFrame, lang: str | None = "en") -> DataFrame:
+def ingest_filter(raw: DataFrame, lang: str | None = "en", reread: bool = False) -> DataFrame:
     """CSV-to-Parquet cleaning: keep columns, parse dates (bad -> null), language filter,
     strip text and keep length > 5 (null text counts as ``nan``), one row per id.
 
     Where ``raw`` has ``read_at`` (``read_posts_csv(position=True)``), the first row read of an id stays; else the
-    latest date, then the greatest text."""
+    latest date, then the greatest text; ``reread`` as in ``keep_best_per_key``."""
     df = raw.select([c for c in KEEP_COLUMNS if c in raw.columns] + [c for c in raw.columns if c == "read_at"])
     if "date" in df.columns:
         df = df.withColumn("date", F.col("date").try_cast("timestamp"))
@@ -56,7 +79,7 @@ def ingest_filter(raw: DataFrame, lang: str | None = "en") -> DataFrame:
     if "id" in df.columns:
         if "read_at" in df.columns:
             return keep_first_read(df, "id").drop("read_at")
-        df = keep_best_per_key(df, "id", [F.col(c) for c in ("date", "content") if c in df.columns])
+        df = keep_best_per_key(df, "id", [c for c in ("date", "content") if c in df.columns], reread)
     return df.drop("read_at")
 
 
@@ -98,16 +121,17 @@ POST_COLUMNS = ["id", "date", "content", "lang", *COUNTERS, "conversationId", "i
                 *DERIVED]
 
 
-def clean_posts(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def clean_posts(raw: DataFrame, columns: list[str] | None = None, reread: bool = False) -> DataFrame:
     """``posts_clean``: typed, engagement (null-safe), one post per id (a copy with text wins, then the latest
     date, then the larger engagement), text not null, author name, hashtag and mention arrays.
 
-    ``columns`` (with ``id``) limits the result: only what those columns are made from passes the dedup shuffle.
+    ``columns`` (with ``id``) limits the result: only what those columns are made from passes the dedup shuffle;
+    ``reread`` as in ``keep_best_per_key``.
     """
     columns = columns or POST_COLUMNS
     df = typed_posts(raw).withColumn("engagement", engagement_safe()).withColumn("has_content", F.col("content").isNotNull())
     needed = dict.fromkeys(["id", "has_content", "date", "engagement", *[DERIVED.get(c, c) for c in columns]])
-    df = keep_best_per_key(df.select(*needed), "id", [F.col(c) for c in ("has_content", "date", "engagement")])
+    df = keep_best_per_key(df.select(*needed), "id", ["has_content", "date", "engagement"], reread)
     made = {"username": username_from_user, "hashtags_array": hashtags_array, "mentions_array": mentions_array}
     return df.filter(F.col("has_content")).select(
         *[made[c](DERIVED[c]).alias(c) if c in made else F.col(c) for c in columns])

@@ -33,7 +33,12 @@ def register(name: str):
 
 
 def _clean(spark, sf_dir, columns: list[str] | None = None) -> DataFrame:
-    return C.clean_posts(posts_raw(spark, sf_dir), columns)
+    texts = columns is None or "content" in columns  # only rows with texts are wide
+    return C.clean_posts(posts_raw(spark, sf_dir, spread=texts), columns, reread=texts)
+
+
+def _ingested(spark, sf_dir) -> DataFrame:
+    return C.ingest_filter(posts_raw(spark, sf_dir, spread=True), reread=True)
 
 
 KPI_COLUMNS = ["id", "date", "engagement"]
@@ -76,7 +81,7 @@ from plume.schemas import LABEL_TO_ID, TOP_DASHBOARD_N, TOP_USER_TABLE_N  # noqa
 @register("ingest_filter")
 def q_ingest_filter(spark, sf_dir):
     """CSV-export cleaning: kept columns, parsed date, English only, stripped text longer than 5, one row per id."""
-    return C.ingest_filter(posts_raw(spark, sf_dir))
+    return _ingested(spark, sf_dir)
 
 
 @register("ingest_funnel")
@@ -86,12 +91,12 @@ def q_ingest_funnel(spark, sf_dir):
 
 @register("encode_messages")
 def q_encode_messages(spark, sf_dir):
-    return M.encode_messages(C.ingest_filter(posts_raw(spark, sf_dir)))
+    return M.encode_messages(_ingested(spark, sf_dir))
 
 
 @register("parse_messages")
 def q_parse_messages(spark, sf_dir):
-    return M.parse_messages(M.encode_messages(C.ingest_filter(posts_raw(spark, sf_dir))))
+    return M.parse_messages(M.encode_messages(_ingested(spark, sf_dir)))
 
 
 @register("stream_ingest")
@@ -100,7 +105,7 @@ def q_stream_ingest(spark, sf_dir):
     from plume.session import scratch_path
     from plume.streaming.ingest import read_message_files, read_sink, start_ingest
     src, out, ckpt = (scratch_path(spark, n) for n in ("stream-src", "stream-out", "stream-ckpt"))
-    M.encode_messages(C.ingest_filter(posts_raw(spark, sf_dir))).select("value").write.text(src)
+    M.encode_messages(_ingested(spark, sf_dir)).select("value").write.text(src)
     q = start_ingest(read_message_files(spark, src), out, ckpt, available_now=True)
     q.awaitTermination()
     return read_sink(spark, out)
@@ -113,7 +118,7 @@ def q_topic_ingest(spark, sf_dir):
     from plume.streaming.ingest import read_sink, start_ingest
     from plume.streaming.topic import publish, read_topic
     topic, out, ckpt, progress = (scratch_path(spark, f"topic-{n}") for n in ("log", "out", "ckpt", "progress"))
-    publish(M.encode_messages(C.ingest_filter(posts_raw(spark, sf_dir))), topic)
+    publish(M.encode_messages(_ingested(spark, sf_dir)), topic)
     source = read_topic(spark, topic, max_messages=50_000, progress=progress)
     q = start_ingest(source, out, ckpt, processing_time="0 seconds")
     try:

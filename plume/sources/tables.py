@@ -30,11 +30,16 @@ def _quoted(expr) -> F.Column:
     return F.concat(F.lit("'"), expr, F.lit("'"))
 
 
-def posts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def posts_raw(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """The raw posts.  ``spread`` deals the events by their text into ``spark.sql.shuffle.partitions`` parts, whatever
+    the tables' bytes: for queries that work on the texts where they are joined, which are larger than the tables."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     n_docs = docs.select(F.count(F.lit(1))).scalar()  # scalar subquery, evaluated once
     ev = ev.withColumn("doc_key", F.col("event_id") % n_docs)
+    if spread:
+        ev = ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_key")
+        docs = docs.hint("merge")
     j = ev.join(docs, F.col("doc_key") == F.col("doc_id"), "left")  # an event without a document has no text
     # Posts of one event type arrive twice (at-least-once delivery upstream).
     twice = F.when(F.col("event_type") == "error", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))

@@ -126,3 +126,25 @@ def test_message_round_trip_and_bad_input(spark):
     assert all(v is None for v in got[0].asDict().values())
     assert got[1]["id"] == 1 and got[1]["replyCount"] is None and got[1]["likeCount"] is None
     assert got[1]["user"] == '{"a":1}' and got[1]["engagement"] is None
+
+
+def test_rows_of_keys_that_repeat_nowhere_stay_where_they_are(spark, monkeypatch):
+    rows_ = [(i if i % 7 else i % 3, i % 5 or None, f"text {i % 4}" if i % 6 else None) for i in range(300)]
+    rows_ += [(None, 1, "x"), (None, 2, "y"), (None, 2, "y")]
+    df = spark.createDataFrame(rows_, "id long, date int, content string").repartition(6)
+    want = sorted(map(str, C.keep_best_per_key(df, "id", ["date", "content"]).collect()))
+    best = {}
+    for i, d, c in rows_:
+        at = (d is not None, d or 0, c is not None, c or "")
+        best[i] = max(best.get(i, at), at)
+    assert len(want) == len(best)
+    for words in (C.MARK_WORDS, 1):  # with one word of marks many keys share theirs
+        monkeypatch.setattr(C, "MARK_WORDS", words)
+        found = C.keep_best_per_key(df, "id", ["date", "content"], reread=True)
+        assert sorted(map(str, found.collect())) == want
+        got = {r["id"]: (r["date"] is not None, r["date"] or 0, r["content"] is not None, r["content"] or "")
+               for r in found.collect()}
+        assert got == best
+    single = spark.range(40).select("id", F.lit(1).alias("date"), F.spark_partition_id().alias("at"))
+    found = C.keep_best_per_key(single, "id", ["date"], reread=True).select("at", F.spark_partition_id().alias("now"))
+    assert found.where("at != now").count() == 0  # unmarked rows keep the partition they were read in
