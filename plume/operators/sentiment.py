@@ -151,21 +151,33 @@ def learn_lexicon(train: DataFrame, text_col: str = "text_clean", min_docs: int
     return lex.filter(F.col("n") >= min_docs).select("word", (e4 / F.lit(10000.0)).alias("score"))
 
 
+BROADCAST_WORDS = 1_000_000
+
+
+def _lexicon(lexicon: DataFrame) -> DataFrame:
+    """``(word, e4)`` (score in ten-thousandths), written once; broadcast if it has at most ``BROADCAST_WORDS`` words.
+
+    Beside a broadcast lexicon the occurrences of words stay where their texts are read; a shuffle by word would move
+    every word of every text, and a frequent word's occurrences into one task.
+    """
+    work_dir(lexicon.sparkSession)
+    lex = lexicon.select("word", F.round(F.col("score") * 10000).cast("long").alias("e4")).checkpoint(eager=True)
+    return F.broadcast(lex) if lex.count() <= BROADCAST_WORDS else lex
+
+
 def lexicon_sentiment(df: DataFrame, lexicon: DataFrame, text_col: str = "text_clean") -> DataFrame:
     """Mean lexicon score of a text's known word occurrences (0 without any), then three classes at +-0.05.
 
     Scores are summed as integers in ten-thousandths and the class test is an
-    integer comparison, so the thresholds are exact.  The lexicon is joined
-    without a broadcast hint: AQE broadcasts it only when its measured size is
-    small and keeps a shuffle join otherwise.  Matches and one zero row per
-    text meet in one aggregate (no join back).
+    integer comparison, so the thresholds are exact.  A lexicon of bounded
+    size is broadcast (``_lexicon``), a larger one joins by a shuffle.  A text
+    without matches keeps one row of nulls, which counts 0 (no join back, and
+    the texts are read once).
     """
     docs = tokenized(df.select("id", text_col), text_col)
-    lex = lexicon.select("word", F.round(F.col("score") * 10000).cast("long").alias("e4"))
-    hits = (docs.select("id", F.explode("tokens").alias("word")).join(lex, "word")
-            .select("id", "e4", F.lit(1).cast("long").alias("n")))
-    zero = df.select("id", F.lit(0).cast("long").alias("e4"), F.lit(0).cast("long").alias("n"))
-    agg = hits.unionByName(zero).groupBy("id").agg(F.sum("e4").alias("e4"), F.sum("n").alias("n"))
+    words = docs.select("id", F.explode_outer("tokens").alias("word"))
+    hits = words.join(_lexicon(lexicon), "word", "left")
+    agg = hits.groupBy("id").agg(F.coalesce(F.sum("e4"), F.lit(0).cast("long")).alias("e4"), F.count("e4").alias("n"))
     score = F.when(F.col("n") > 0, F.col("e4") / F.col("n") / F.lit(10000.0)).otherwise(F.lit(0.0))
     # score <= -0.05  <=>  20 * e4 <= -10000 * n  (and the same for >= 0.05); no words -> Neutral
     cls = (F.when((F.col("n") > 0) & (F.col("e4") * 20 <= -10000 * F.col("n")), "Negative")
@@ -204,12 +216,10 @@ def valence_sentiment(df: DataFrame, lexicon: DataFrame, modifiers: dict[str, in
     weight = F.slice("f", F.lit(1), F.size("tokens"))  # the words ``scope`` places before, then the nearer ones
     for k in range(1, scope):
         weight = F.zip_with(weight, F.slice("f", F.lit(k + 1), F.size("tokens")), lambda a, b: a * b)
-    placed = docs.select("id", F.explode(F.arrays_zip(F.col("tokens").alias("word"), weight.alias("m"))).alias("w"))
-    lex = lexicon.select("word", F.round(F.col("score") * 10000).cast("long").alias("e4"))
-    hits = (placed.select("id", "w.word", "w.m").join(lex, "word")
+    placed = docs.select("id", F.explode_outer(F.arrays_zip(F.col("tokens").alias("word"), weight.alias("m"))).alias("w"))
+    hits = (placed.select("id", "w.word", "w.m").join(_lexicon(lexicon), "word", "left")
             .select("id", (F.col("e4") * F.col("m")).cast("decimal(38,0)").alias("x")))
-    zero = df.select("id", F.lit(0).cast("decimal(38,0)").alias("x"))
-    total = hits.unionByName(zero).groupBy("id").agg(F.sum("x").cast("double").alias("t"))
+    total = hits.groupBy("id").agg(F.coalesce(F.sum("x"), F.lit(0).cast("decimal(38,0)")).cast("double").alias("t"))
     x = F.col("t") / F.lit(10000.0 * 100.0 ** scope)
     score = x / F.sqrt(x * x + F.lit(float(norm)))
     out = total.select("id", score.alias("score")).withColumn("pred_label", score_to_class("score"))
