@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -85,6 +88,16 @@ def mentions_array(c="mentionedUsers") -> Column:
 # What the normalised text is freed of, in order; each match becomes one space.  ``(?U)`` gives the URL rule Python's
 # Unicode ``\S`` on the JVM.
 _NOISE = (r"(?U)http\S+|www\.\S+", r"[@#][a-z0-9_]+", r"[^a-z]+")
+# A text without any of these has no match, and no regex goes over it.
+_SIGNS = (("http", "www."), ("@", "#"), ())
+
+
+def _freed(text: Column, pattern: str, signs: tuple[str, ...]) -> Column:
+    """``text`` with matches as spaces; a lambda, so that ``text`` is computed once."""
+    if not signs:
+        return F.regexp_replace(text, pattern, " ")
+    return F.element_at(F.transform(F.array(text), lambda x: F.when(
+        reduce(or_, [F.contains(x, F.lit(s)) for s in signs]), F.regexp_replace(x, pattern, " ")).otherwise(x)), 1)
 
 
 def clean_text(c) -> Column:
@@ -93,11 +106,12 @@ def clean_text(c) -> Column:
     Three regex passes give the result of the five-step rule: ``@name`` and
     ``#tag`` matches never overlap, so one pass removes both; and "non-letter
     -> space, then whitespace runs -> one space" is "every run of characters
-    outside a-z -> one space".
+    outside a-z -> one space".  The first two passes only go over texts with
+    their signs.
     """
     t = F.lower(F.coalesce(_c(c), F.lit("")))
-    for pattern in _NOISE:
-        t = F.regexp_replace(t, pattern, " ")
+    for pattern, signs in zip(_NOISE, _SIGNS):
+        t = _freed(t, pattern, signs)
     return F.trim(t)
 
 

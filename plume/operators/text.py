@@ -1,15 +1,22 @@
 """Text side: normalised text, tokens, stop words, n-grams, term statistics and vocabularies.
 
-Term statistics are one aggregate keyed by term over exploded tokens (term
-occurrences and distinct-per-document occurrences in the same pass), so a
-very common term is combined map-side.  Vocabularies are capped by their
+Term statistics are counted by batches of documents (term occurrences and
+distinct-per-document occurrences in the same pass) and summed by term, so a
+very common term is one row a batch.  Vocabularies are capped by their
 ``max_features`` parameter, which is also the proven bound on what is
 collected to the driver to build the feature vectors.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, StopWordsRemover
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,11 +42,11 @@ def tokenized(df: DataFrame, text_col: str, out: str = "tokens", remove_stop_wor
 
     Bigrams are formed over the tokens left after stop-word removal.
     """
-    d = df.withColumn("text_clean", clean_text(F.col(text_col))).withColumn("__raw_tokens", tokens(F.col("text_clean")))
+    d = df.withColumn("text_clean", clean_text(F.col(text_col)))
+    words = tokens(F.col("text_clean"))
     if remove_stop_words:
-        d = StopWordsRemover(inputCol="__raw_tokens", outputCol="__tok", stopWords=list(stop_words())).transform(d)
-    else:
-        d = d.withColumn("__tok", F.col("__raw_tokens"))
+        words = F.filter(words, lambda t: ~t.isin(*stop_words()))
+    d = d.withColumn("__tok", words)
     if bigrams:
         # NGram reads the finished token column once per row; a lambda over it would let the optimizer
         # inline the whole token expression into every array access.
@@ -47,16 +54,33 @@ def tokenized(df: DataFrame, text_col: str, out: str = "tokens", remove_stop_wor
         d = d.withColumn(out, F.concat(F.col("__tok"), F.col("__bi"))).drop("__bi")
     else:
         d = d.withColumn(out, F.col("__tok"))
-    return d.drop("__raw_tokens", "__tok")
+    return d.drop("__tok")
+
+
+COUNTED = "stats array<struct<term: string, tf: bigint, df: bigint>>"
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The term statistics of every batch of token lists, one row a batch."""
+    for batch in batches:
+        lists = batch.column(0)
+        flat = lists.flatten().dictionary_encode()  # tokens of null lists are left out
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        term = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        m = len(flat.dictionary)
+        once = np.unique(np.repeat(np.arange(len(sizes)), sizes) * m + term) % m if m else term
+        stats = pa.StructArray.from_arrays(
+            [flat.dictionary, pa.array(np.bincount(term, minlength=m)), pa.array(np.bincount(once, minlength=m))],
+            ["term", "tf", "df"])
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, m], pa.int32()), stats)], ["stats"])
 
 
 def term_stats(docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """``(term, term_freq, doc_freq)`` over all documents: one tokenisation, one aggregate keyed by term."""
-    def rows(c, tf, df):
-        return F.transform(c, lambda t: F.struct(t.alias("term"), F.lit(tf).alias("tf"), F.lit(df).alias("df")))
-    both = F.concat(rows(F.col(tokens_col), 1, 0), rows(F.array_distinct(tokens_col), 0, 1))
-    return (docs.select(F.explode(both).alias("x")).groupBy(F.col("x.term").alias("term"))
-            .agg(F.sum("x.tf").cast("long").alias("term_freq"), F.sum("x.df").cast("long").alias("doc_freq")))
+    """``(term, term_freq, doc_freq)`` over all documents: one tokenisation, counted by batches of documents, then
+    one aggregate keyed by term."""
+    counted = docs.select(tokens_col).mapInArrow(_counted, COUNTED).select(F.explode("stats").alias("x"))
+    return counted.groupBy(F.col("x.term").alias("term")).agg(F.sum("x.tf").alias("term_freq"),
+                                                              F.sum("x.df").alias("doc_freq"))
 
 
 def select_vocabulary(stats: DataFrame, n_docs, max_features: int, min_df: int | None = None,
@@ -118,3 +142,6 @@ def tfidf_stages(terms: list[str], idf: list[float], tokens_col: str = "tokens",
     scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="__tf", outputCol="__tfidf")
     norm = Normalizer(p=2.0, inputCol="__tfidf", outputCol=out)
     return [cv, scale, norm]
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this module
