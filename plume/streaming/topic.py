@@ -209,12 +209,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 
 
 def publish(messages: DataFrame, path: str, partitions: int = 8) -> None:
-    """Append ``(key, value)`` messages; those of one key keep to one partition.  A null key counts as empty."""
+    """Append ``(key, value)`` messages; those of one key keep to one partition.  A null key counts as empty.
+
+    Every task writes its own messages, a file for each of the topic's partitions: none is moved for it, so a task's
+    share does not grow with the topic, which has few partitions."""
     spark = messages.sparkSession
     spark.dataSource.register(MessageLog)
     at = F.pmod(F.xxhash64(F.coalesce(F.col("key"), F.lit(""))), F.lit(partitions)).cast("int")
-    (messages.select("key", "value", at.alias("partition")).repartition(partitions, "partition")
-     .write.format(FORMAT).mode("append").save(path))
+    messages.select("key", "value", at.alias("partition")).write.format(FORMAT).mode("append").save(path)
 
 
 def read_topic(spark: SparkSession, path: str, starting_offsets: str = "earliest", max_messages: int | None = None,

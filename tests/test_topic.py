@@ -70,3 +70,14 @@ def test_uncommitted_files_and_odd_messages(spark, tmp_dir):
     _run(spark, read_topic(spark, topic), out, ck)
     got = VersionedTable(spark, out).read()
     assert {(r.key, r.value) for r in got.collect()} == {(None, "no key"), ("k", None), ("", "é\n漢")}
+
+
+def test_every_task_publishes_its_own_messages(spark, tmp_dir):
+    from plume.streaming.topic import _Log
+    df = spark.range(400).select(F.col("id").cast("string").alias("key"), F.lit("v").alias("value")).repartition(6)
+    publish(df, f"{tmp_dir}/t", partitions=2)
+    parts = _Log(f"{tmp_dir}/t").refresh().parts
+    assert sum(n for files in parts.values() for _, n, _ in files) == 400
+    assert [len(files) for _, files in sorted(parts.items())] == [6, 6]  # a task's share does not grow with the topic
+    for files in parts.values():
+        assert [a for a, _, _ in files] == [sum(n for _, n, _ in files[:i]) for i in range(len(files))]
