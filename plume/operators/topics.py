@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from plume.functions.columns import argmax_index, percent
 from plume.operators import variational
-from plume.operators.text import balanced, collect_vocabulary, count_vectors, select_vocabulary, term_stats, tokenized
+from plume.operators.text import collect_vocabulary, count_vectors, select_vocabulary, term_stats, tokenized
 from plume.schemas import (
     BOW_MAX_DF, BOW_MAX_FEATURES, BOW_MIN_DF, LDA_GAIN, LDA_MAX_ITER, LDA_SEED, LDA_TOPICS, LDA_WORDS, TOPIC_LABELS,
     UNKNOWN_TOPIC,
 )
+from plume.session import stored
 
 
 def topic_corpus(posts: DataFrame, lang: str | None = "en") -> DataFrame:
@@ -41,9 +42,8 @@ def fit_lda(corpus: DataFrame, k: int = LDA_TOPICS, max_iter: int = LDA_MAX_ITER
     Rounds end when the bound per token grows by less than ``gain``; a fit that needs more than ``max_iter`` rounds
     raises.  Documents without known terms keep their row, with empty arrays.
     """
-    # The vocabulary pass, the vector pass and every round read the corpus: tokens and vectors are written once
-    # to the shared checkpoint folder, dealt by their number of tokens.
-    corpus = balanced(corpus.select("id", "tokens"))
+    # The vocabulary pass and the vector pass read the tokens, every round reads the vectors: both are written once.
+    corpus = stored(corpus.select("id", "tokens"), "topic-tokens")
     terms = collect_vocabulary(bow_vocabulary(corpus))
     if terms:
         vector = F.unwrap_udt("features")  # CountVectorizer's vectors are sparse
@@ -52,7 +52,7 @@ def fit_lda(corpus: DataFrame, k: int = LDA_TOPICS, max_iter: int = LDA_MAX_ITER
     else:
         vecs = corpus.select("id", F.array().cast("array<int>").alias("terms"),
                              F.array().cast("array<double>").alias("counts"))
-    vecs = vecs.checkpoint(eager=True)
+    vecs = stored(vecs, "topic-vectors")
     model = variational.fit(vecs, len(terms), k, seed, max_iter, gain)
     if not model.converged:
         raise RuntimeError(f"LDA has not converged in {max_iter} rounds; bound per token {model.bounds[-2:]}")

@@ -18,6 +18,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plume.session import stored
+
 BLOCK_TERMS = 20_000  # (document, term) entries inferred at once
 TOTALS = -1            # "topic" of the row that carries a task's bound and number of tokens
 SHIFT = 8              # arguments are moved above this before the asymptotic series
@@ -163,7 +165,7 @@ def fit(docs: DataFrame, vocabulary: int, k: int, seed: int, max_rounds: int, ga
     Ends when a round raises the bound per token by less than ``gain``; ``converged`` is false if ``max_rounds`` came
     first.  Documents without terms take no part; without any token the prior is the model.
     """
-    once = _once(docs).checkpoint(eager=True)
+    once = stored(_once(docs), "topic-documents")
     start = np.random.default_rng(seed).gamma(100.0, 0.01, (k, vocabulary))
     model = TopicModel(start, 1.0 / k, 1.0 / k)
     for _ in range(max_rounds):

@@ -219,3 +219,39 @@ def test_term_stats_tokenise_once(spark):
     df = spark.createDataFrame([(1, "a cat and a dog")], "id long, t string")
     plan = T.term_stats(T.tokenized(df, "t"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Generate") == 1 and "Union" not in plan
+
+
+def test_term_stats_count_by_batches(spark):
+    docs = [(["a", "b", "a"],), ([],), (None,), (["b"],), (["a"],)] * 9
+    df = spark.createDataFrame(docs, "tokens array<string>").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        stats = T.term_stats(df)
+        assert rows(stats, "term", "term_freq", "doc_freq") == [("a", 27, 18), ("b", 18, 18)]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "MapInArrow" in stats._jdf.queryExecution().executedPlan().toString()  # no row for every word
+
+
+def test_words_stay_beside_a_bounded_lexicon(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "good good bad"), (2, "meh"), (3, ""), (3, "good"), (None, "bad")],
+                                 "id long, text_clean string")
+    lex = spark.createDataFrame([("good", 0.5), ("bad", -0.25)], "word string, score double")
+    for score in (S.lexicon_sentiment, lambda d, x: S.valence_sentiment(d, x, {})):
+        found = {}
+        for most, join in ((1_000_000, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+            monkeypatch.setattr(S, "BROADCAST_WORDS", most)
+            out = score(docs, lex)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert join in plan
+            found[most] = {r["id"]: (round(r["score"], 9), r["pred_label"]) for r in out.collect()}
+        assert found[1] == found[1_000_000] and set(found[1]) == {1, 2, 3, None}
+        assert found[1][2] == (0.0, "Neutral") and found[1][None][1] == "Negative"
+
+
+def test_topic_fit_keeps_words_and_vectors_as_columns(spark):
+    docs = spark.createDataFrame([(i, ["apple", "pear"] * (1 + i % 3)) for i in range(30)], "id long, tokens array<string>")
+    _, terms, vecs = TP.fit_lda(docs, k=2)
+    plan = vecs._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" in plan.lower() and "ExistingRDD" not in plan  # a checkpoint's rows are many times larger
+    assert len(terms) == 0 or vecs.count() == 30
