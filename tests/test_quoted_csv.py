@@ -9,6 +9,7 @@ import pytest
 from plume.operators import clean as C
 from plume.sources.files import read_labelled_csv, read_posts_csv
 from plume.sources.quoted_csv import read_quoted_csv, records
+from pyspark.sql import functions as F
 
 FIELDS = ["a", "", 'say "hi"', "two\nlines", "\n\n", '"', '""', ",", " ", "é漢\n\U0001F600", "x" * 40, "end\r\nof", "l\nm\nn\no"]
 
@@ -99,3 +100,14 @@ def test_first_row_read_of_an_id_stays(spark, tmp_dir, splits_of):
         got = C.ingest_filter(read_posts_csv(spark, path, position=True))
         assert got.columns == ["id", "date", "content", "lang"]
         assert {r.id: r.content for r in got.collect()} == want
+
+
+def test_compressed_export_of_bounded_files(spark, tmp_dir):
+    import glob
+    from plume.plans.catalog import _export
+    df = spark.range(120_000).coalesce(2).select("id", F.format_string('say "%d",\nthen go', "id").alias("content"))
+    _export(df, f"{tmp_dir}/x")
+    assert len(glob.glob(f"{tmp_dir}/x/part-*.csv.gz")) == 4
+    back = read_quoted_csv(spark, f"{tmp_dir}/x")
+    assert back.columns == ["id", "content"] and back.count() == 120_000
+    assert back.where(F.col("content") != F.format_string('say "%s",\nthen go', "id")).count() == 0
