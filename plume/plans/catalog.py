@@ -32,9 +32,14 @@ def register(name: str):
     return deco
 
 
-def _clean(spark, sf_dir, columns: list[str] | None = None) -> DataFrame:
+def _clean(spark, sf_dir, columns: list[str] | None = None, lang: str | None = None) -> DataFrame:
     texts = columns is None or "content" in columns  # only rows with texts are wide
-    return C.clean_posts(posts_raw(spark, sf_dir, spread=texts), columns, reread=texts)
+    return C.clean_posts(posts_raw(spark, sf_dir, spread=texts), columns, reread=texts, lang=lang)
+
+
+def _english(spark, sf_dir) -> DataFrame:
+    """Texts of the English posts."""
+    return _clean(spark, sf_dir, TEXT_COLUMNS, lang="en")
 
 
 def _ingested(spark, sf_dir) -> DataFrame:
@@ -471,14 +476,13 @@ from plume.sources.tables import labelled_text  # noqa: E402
 @register("text_clean")
 def q_text_clean(spark, sf_dir):
     """Normalised text of English posts; posts whose text normalises to '' are dropped."""
-    p = _clean(spark, sf_dir, TEXT_COLUMNS).filter(F.col("lang") == "en")
-    return p.select("id", clean_text(F.col("content")).alias("text_clean")).filter(F.length("text_clean") > 0)
+    return _english(spark, sf_dir).select("id", clean_text(F.col("content")).alias("text_clean")).filter(F.length("text_clean") > 0)
 
 
 @register("term_counts")
 def q_term_counts(spark, sf_dir):
     """Bag-of-words vocabulary of the topic model: df bounds, then the most frequent terms."""
-    return TP.bow_vocabulary(TP.topic_corpus(_clean(spark, sf_dir, TEXT_COLUMNS)))
+    return TP.bow_vocabulary(TP.topic_corpus(_english(spark, sf_dir)))
 
 
 def _split(spark, sf_dir):
@@ -496,7 +500,7 @@ def q_tfidf_terms(spark, sf_dir):
 
 
 def _lda(spark, sf_dir):
-    corpus = TP.topic_corpus(_clean(spark, sf_dir, TEXT_COLUMNS))
+    corpus = TP.topic_corpus(_english(spark, sf_dir))
     return TP.fit_lda(corpus)
 
 
@@ -545,7 +549,7 @@ GIVEN_LEXICON = [("er", 0.5), ("es", -0.5), ("th", 0.05), ("en", -0.05), ("ed",
 @register("lexicon_sentiment_given")
 def q_lexicon_sentiment_given(spark, sf_dir):
     """Lexicon classes of every English post with a lexicon that the caller supplies."""
-    posts = _clean(spark, sf_dir, TEXT_COLUMNS).filter(F.col("lang") == "en")
+    posts = _english(spark, sf_dir)
     lexicon = spark.createDataFrame(GIVEN_LEXICON, "word string, score double")
     return S.lexicon_sentiment(posts.select("id", clean_text(F.col("content")).alias("text_clean")), lexicon)
 
@@ -557,7 +561,7 @@ GIVEN_MODIFIERS = {"only": -75, "than": -75, "from": -50, "that": 130, "this": 1
 @register("valence_sentiment")
 def q_valence_sentiment(spark, sf_dir):
     """Rule scores of every English post: the lexicon of the training split under the caller's modifiers."""
-    posts = _clean(spark, sf_dir, TEXT_COLUMNS).filter(F.col("lang") == "en")
+    posts = _english(spark, sf_dir)
     lexicon = S.learn_lexicon(_split(spark, sf_dir).filter(F.col("split") == "train"))
     texts = posts.select("id", clean_text(F.col("content")).alias("text_clean"))
     return S.valence_sentiment(texts, lexicon, GIVEN_MODIFIERS)
@@ -611,13 +615,13 @@ def _lr(spark, sf_dir):
 def q_sentiment_scores(spark, sf_dir):
     """Logistic-regression scoring of all English posts (model trained on the labelled split)."""
     model, _ = _lr(spark, sf_dir)
-    return S.score_posts(model, _clean(spark, sf_dir, TEXT_COLUMNS))
+    return S.score_posts(model, _english(spark, sf_dir))
 
 
 @register("sentiment_distribution")
 def q_sentiment_distribution(spark, sf_dir):
     model, _ = _lr(spark, sf_dir)
-    return S.sentiment_distribution(S.score_posts(model, _clean(spark, sf_dir, TEXT_COLUMNS)))
+    return S.sentiment_distribution(S.score_posts(model, _english(spark, sf_dir)))
 
 
 @register("eval_lr_report")

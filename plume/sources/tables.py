@@ -18,6 +18,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+PART_POSTS = 50_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -31,14 +34,15 @@ def _quoted(expr) -> F.Column:
 
 
 def posts_raw(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """The raw posts.  ``spread`` deals the events by their text into ``spark.sql.shuffle.partitions`` parts, whatever
-    the tables' bytes: for queries that work on the texts where they are joined, which are larger than the tables."""
+    """The raw posts.  ``spread`` deals the events by their text into ``spark.sql.shuffle.partitions`` parts, or one for
+    every ``PART_POSTS`` of them if these are more, whatever the tables' bytes: for queries that work on the texts where
+    they are joined, which are larger than the tables, so that a task sorts its posts in memory at any size."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     n_docs = docs.select(F.count(F.lit(1))).scalar()  # scalar subquery, evaluated once
     ev = ev.withColumn("doc_key", F.col("event_id") % n_docs)
     if spread:
-        ev = ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_key")
+        ev = ev.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-ev.count() // PART_POSTS)), "doc_key")
         docs = docs.hint("merge")
     j = ev.join(docs, F.col("doc_key") == F.col("doc_id"), "left")  # an event without a document has no text
     # Posts of one event type arrive twice (at-least-once delivery upstream).

@@ -148,3 +148,36 @@ def test_rows_of_keys_that_repeat_nowhere_stay_where_they_are(spark, monkeypatch
     single = spark.range(40).select("id", F.lit(1).alias("date"), F.spark_partition_id().alias("at"))
     found = C.keep_best_per_key(single, "id", ["date"], reread=True).select("at", F.spark_partition_id().alias("now"))
     assert found.where("at != now").count() == 0  # unmarked rows keep the partition they were read in
+
+
+def test_posts_of_one_language_are_those_of_all_posts(spark):
+    posts = [raw_post(id=i % 40, date=f"2024-01-0{1 + i % 3} 00:00:00", lang=[None, "en", "fr", "en"][i % 4],
+                      content=None if i % 9 == 0 else f"text {i % 6}", likeCount=i % 2) for i in range(150)]
+    posts += [raw_post(id=None, content="x", lang="en"), raw_post(id=99, content="only", lang="en")]
+    raw = raw_df(spark, posts + posts[:30]).repartition(5)
+    cols = ["id", "content", "lang"]
+    want = sorted(map(str, C.clean_posts(raw, cols).where("lang = 'en'").collect()))
+    assert 10 < len(want) < 42
+    for reread in (False, True):
+        assert sorted(map(str, C.clean_posts(raw, cols, reread, lang="en").collect())) == want
+
+
+def test_marks_grow_with_the_keys_that_repeat(spark, monkeypatch):
+    monkeypatch.setattr(C, "KEYS_PER_WORD", 1)
+    twice = spark.range(2000).select(F.col("id"), F.lit(1).alias("date"), F.lit(0).alias("at"))
+    once = spark.range(10_000, 14_000).select("id", F.lit(1).alias("date"), F.lit(0).alias("at"))
+    words = []
+    mark = C._mark
+    monkeypatch.setattr(C, "_mark", lambda key, n: words.append(n) or mark(key, n))
+    for df in (once, twice.unionByName(twice).unionByName(once)):
+        assert C.keep_best_per_key(df, "id", ["date"], reread=True).count() == df.distinct().count()
+    assert words[0] <= 2 and words[1] >= 2000
+
+
+def test_spread_posts_have_parts_of_bounded_size(spark, monkeypatch):
+    from plume.sources import tables
+    sf = "/root/testdata/sf0.001"
+    n = tables.table(spark, sf, "events").count()
+    monkeypatch.setattr(tables, "PART_POSTS", 50)
+    plan = tables.posts_raw(spark, sf, spread=True)
+    assert plan.where("false").count() == 0 and f"{-(-n // 50)}), REPARTITION_BY_NUM" in plan._jdf.queryExecution().toString().replace("\n", "")
