@@ -27,3 +27,17 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark, tmp_dir):
     assert read_sink(spark, out).count() == before
     batch_writer(out, query_id="another")(parse_messages(parts[0]), 0)  # a new query overwrites nothing
     assert read_sink(spark, out).count() == before + parts[0].count()
+
+
+def test_messages_and_sink_are_compressed(spark):
+    from pathlib import Path
+    from plume.plans.catalog import QUERIES
+    from plume.session import local_path, work_dir
+    folder = Path(local_path(work_dir(spark)))
+    before = {f for f in folder.glob("stream-*")}
+    streamed = QUERIES["stream_ingest"](spark, SF)
+    assert rows(streamed, "id") == rows(C.ingest_filter(posts_raw(spark, SF)), "id")
+    files = [f.name for d in set(folder.glob("stream-*")) - before for f in d.rglob("part-*")]
+    messages = [f for f in files if ".txt" in f]
+    assert messages and all(f.endswith(".gz") for f in messages)
+    assert any(f.endswith(".zstd.parquet") or f.endswith(".zst.parquet") for f in files)
