@@ -34,6 +34,7 @@ class TopicModel:
     eta: float
     bounds: list[float] = field(default_factory=list)
     converged: bool = False
+    fitted: tuple[DataFrame, DataFrame] | None = None  # the documents of the fit, and the different ones among them
 
 
 def digamma(x: np.ndarray) -> np.ndarray:
@@ -167,7 +168,7 @@ def fit(docs: DataFrame, vocabulary: int, k: int, seed: int, max_rounds: int, ga
     """
     once = stored(_once(docs), "topic-documents")
     start = np.random.default_rng(seed).gamma(100.0, 0.01, (k, vocabulary))
-    model = TopicModel(start, 1.0 / k, 1.0 / k)
+    model = TopicModel(start, 1.0 / k, 1.0 / k, fitted=(docs, once))
     for _ in range(max_rounds):
         stats, bound, tokens = _round(once, model, tolerance, inner) if vocabulary else (start, 0.0, 0.0)
         if not tokens:
@@ -184,7 +185,7 @@ def fit(docs: DataFrame, vocabulary: int, k: int, seed: int, max_rounds: int, ga
 def mixtures(docs: DataFrame, model: TopicModel, tolerance: float = 1e-6, inner: int = 1000) -> DataFrame:
     """``(id, mixture)`` of ``docs`` ``(id, terms, counts)``: expected topic shares; uniform without known terms.
 
-    Equal documents are inferred once.
+    Equal documents are inferred once; those of the fit are not gathered again.
     """
     k = model.topics.shape[0]
     topics, alpha = model.topics, model.alpha
@@ -201,7 +202,8 @@ def mixtures(docs: DataFrame, model: TopicModel, tolerance: float = 1e-6, inner:
             yield pa.RecordBatch.from_arrays(
                 [part.column(3), part.column(4), pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, k, dtype=np.int32), flat)],
                 ["h0", "h1", "mixture"])
-    found = _once(docs).mapInArrow(run, "h0 long, h1 long, mixture array<double>")
+    once = model.fitted[1] if model.fitted and model.fitted[0] is docs else _once(docs)
+    found = once.mapInArrow(run, "h0 long, h1 long, mixture array<double>")
     return _keyed(docs).select("id", "h0", "h1").join(found, ["h0", "h1"]).select("id", "mixture")
 
 

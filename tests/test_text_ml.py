@@ -255,3 +255,16 @@ def test_topic_fit_keeps_words_and_vectors_as_columns(spark):
     plan = vecs._jdf.queryExecution().executedPlan().toString()
     assert "parquet" in plan.lower() and "ExistingRDD" not in plan  # a checkpoint's rows are many times larger
     assert len(terms) == 0 or vecs.count() == 30
+
+
+def test_mixtures_of_the_fitted_documents_gather_them_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, ["a", "b"] if i % 2 else ["c", "d", "c"]) for i in range(40)],
+                                 "id int, tokens array<string>")
+    model, _, vecs = TP.fit_lda(docs, k=2)
+    want = {r["id"]: r["topic_distribution"] for r in TP.topic_assignments(model, vecs.select("*")).collect()}
+
+    def again(_):
+        raise AssertionError("documents gathered again")
+    monkeypatch.setattr(TP.variational, "_once", again)
+    got = {r["id"]: r["topic_distribution"] for r in TP.topic_assignments(model, vecs).collect()}
+    assert len(got) == 40 and got == want
