@@ -89,7 +89,7 @@ def train_classifier(train: DataFrame, text_col: str = "text_clean", max_iter: i
     feats = tokenized(train, text_col, bigrams=True)
     for st in stages:
         feats = st.transform(feats)
-    feats = balanced(feats.select("features", "label", "tokens"), "tokens").drop("tokens")
+    feats = balanced(feats.select("features", "label", "tokens"), "tokens")
     n = feats.count()
     lr = LogisticRegression(featuresCol="features", labelCol="label", family="multinomial", maxIter=max_iter,
                             regParam=1.0 / max(n, 1), elasticNetParam=0.0, standardization=False, tol=tol)

@@ -120,14 +120,14 @@ TOKENS_PER_PARTITION = 2_000_000
 
 
 def balanced(docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """``docs`` written once for the passes of an iterative fit, dealt into partitions by its number of tokens:
-    one for each core at least, and one for every ``TOKENS_PER_PARTITION`` tokens beyond."""
+    """``docs`` without their tokens, written once for the passes of an iterative fit and dealt into partitions by the
+    number of tokens: one for each core at least, and one for every ``TOKENS_PER_PARTITION`` tokens beyond."""
     spark = docs.sparkSession
     work_dir(spark)
-    docs = docs.checkpoint(eager=True)
-    tokens_ = docs.agg(F.sum(F.size(tokens_col))).first()[0] or 0
+    docs = docs.withColumn(tokens_col, F.size(tokens_col)).checkpoint(eager=True)
+    tokens_ = docs.agg(F.sum(tokens_col)).first()[0] or 0
     parts = max(spark.sparkContext.defaultParallelism, -(-tokens_ // TOKENS_PER_PARTITION))
-    return docs.repartition(parts).checkpoint(eager=True)
+    return docs.drop(tokens_col).repartition(parts).checkpoint(eager=True)
 
 
 def count_vectors(df: DataFrame, terms: list[str], tokens_col: str = "tokens", out: str = "tf") -> DataFrame:

@@ -268,3 +268,10 @@ def test_mixtures_of_the_fitted_documents_gather_them_once(spark, monkeypatch):
     monkeypatch.setattr(TP.variational, "_once", again)
     got = {r["id"]: r["topic_distribution"] for r in TP.topic_assignments(model, vecs).collect()}
     assert len(got) == 40 and got == want
+
+
+def test_balanced_writes_no_tokens(spark):
+    from plume.operators.text import balanced
+    docs = spark.createDataFrame([(i, ["word"] * i) for i in range(30)], "label int, tokens array<string>")
+    kept = balanced(docs)
+    assert kept.columns == ["label"] and rows(kept) == [(i,) for i in range(30)]
