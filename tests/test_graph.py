@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from table_rows import rows
 from plume.operators import communities as LP
 from plume.operators import graph as G
-from plume.operators.iterate import SpreadEdges, dense_index, round_state
+from plume.operators.iterate import MeetingEdges, SpreadEdges, dense_index, round_state
 from plume.operators.pagerank import pagerank
 
 # two 4-cliques joined by one edge, a dangling node, an isolated node, a reciprocal pair, a self-loop
@@ -122,6 +122,59 @@ def test_rounds_do_not_move_the_edges_and_hubs_are_dealt(spark):
     assert one == 600.0
 
 
+def _numbered(spark, pairs, n):
+    both = sorted({(a, b, False) for p in pairs for a, b in (p, p[::-1])}) + [(i, i, True) for i in range(n)]
+    return spark.createDataFrame(both, "node long, nbr long, own boolean")
+
+
+@pytest.mark.parametrize("block_edges", [1000, 20])  # without and with vertices that have more edges than a block
+def test_votes_and_waits_are_counted_in_blocks_that_never_move(spark, block_edges):
+    n = 60
+    pairs = [(0, i) for i in range(50)] + [(i, (i * 7 + 3) % 55) for i in range(1, 55)]  # a hub, self-loops, lonely ones
+    nb = MeetingEdges(_numbered(spark, pairs, n), block_edges)
+    assert (nb.hubs is not None) == (block_edges == 20)
+    label = {i: i * 5 % 7 for i in range(n)}
+    near = {i: {b for p in pairs for a, b in (p, p[::-1]) if a == i} for i in range(n)}
+    votes = {i: [label[q] for q in near[i]] for i in range(n)}
+    want = {i: max({*votes[i], label[i]}, key=lambda x: (votes[i].count(x), x == label[i], x)) for i in range(n)}  # noqa: B023
+    state = spark.createDataFrame(sorted(label.items()), "id long, label long")
+    asked = LP.wishes(nb, state)
+    assert rows(asked, "node", "label", "target") == [(i, label[i], want[i]) for i in range(n)]
+    wish = {i: f"{want[i] * 3 % 7:032d}{want[i]:010d}" for i in range(n) if want[i] != label[i]}
+    free = [(i, want[i]) for i in sorted(wish) if all(wish[i] >= wish.get(q, "") for q in near[i])]
+    moves = LP.free_moves(nb, spark.createDataFrame([(i, w, want[i]) for i, w in sorted(wish.items())],
+                                                    "id long, wish string, target long"))
+    assert 0 < len(free) < len(wish) and rows(moves, "node", "new") == free
+    if nb.hubs is None:  # the state is dealt; neither the packed edges nor what is counted passes an exchange
+        plan = asked._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].splitlines()
+        edges = next(i for i, x in enumerate(plan) if "Scan" in x and "packed" in x)
+        assert not any("Exchange" in x for x in plan[:edges]) and any("Exchange hashpartitioning" in x for x in plan[edges:])
+
+
+def test_spread_edges_are_not_dealt_again(spark):
+    spread = SpreadEdges(spark.createDataFrame([(i % 20, i) for i in range(100)], "src long, dst long"), "src")
+    state = spark.range(20).select(F.col("id").alias("src"), F.lit(1).alias("x"))
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")  # as with a large state
+    try:
+        joined = spread.look_up(state)
+        lines = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert joined.count() == 100
+    finally:
+        spark.conf.set(name, before)
+    scan = next(i for i, x in enumerate(lines) if "Scan" in x and "__edges" in x)
+    assert any("SortMergeJoin" in x for x in lines[:scan]) and not any("Exchange" in x for x in lines[:scan])
+
+
+def test_label_propagation_of_a_hub_beyond_a_block(spark):
+    pairs = [("h", f"l{i:02d}") for i in range(40)] + [(f"l{i:02d}", f"l{i + 1:02d}") for i in range(0, 39, 3)]
+    verts = spark.createDataFrame([(n,) for n in sorted({n for p in pairs for n in p} | {"alone"})], "username string")
+    made = [sorted(rows(LP.label_propagation(verts, spark.createDataFrame(pairs, "a string, b string"), k)[0]))
+            for k in (1000, 15)]
+    assert made[0] == made[1] and _stable(dict(made[0]), pairs) and dict(made[0])["alone"] == "alone"
+
+
 def test_communities_planted_cliques(spark):
     v, e = graph(spark)
     c = {r["username"]: r["community_id"] for r in LP.communities(v, G.undirected_edges(e)).collect()}
