@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from plume.functions.columns import clean_text
 from plume.functions.stopwords import ENGLISH
-from plume.session import work_dir
+from plume.session import stored, work_dir
 
 
 def stop_words() -> tuple[str, ...]:
@@ -75,10 +75,47 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, m], pa.int32()), stats)], ["stats"])
 
 
+ROW_WORDS = 200_000     # words of a row of counted documents
+BATCH_ROWS = 64         # of these rows
+
+
+def _counted_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of documents ``(key, tokens)``, see ``counted_documents``."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, first = np.cumsum(sizes), 0
+        while first < len(sizes):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] - sizes[first] + ROW_WORDS, side="right")))
+            part, n = batch.slice(first, last - first), last - first
+            flat = part.column(1).flatten().dictionary_encode()  # tokens of null lists are left out
+            m = len(flat.dictionary)
+            word = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            entry, counts = np.unique(np.repeat(np.arange(n), sizes[first:last]) * max(m, 1) + word, return_counts=True)
+            doc, place = np.divmod(entry, max(m, 1))
+            stats = pa.StructArray.from_arrays(
+                [flat.dictionary, pa.array(np.bincount(word, minlength=m)), pa.array(np.bincount(place, minlength=m))],
+                ["term", "tf", "df"])
+            packed = [x.astype(np.int32).tobytes() for x in (np.bincount(doc, minlength=n), place, counts)]
+            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+            yield pa.RecordBatch.from_arrays(
+                [one(part.column(0)), *[pa.array([x], pa.binary()) for x in packed], one(stats)],
+                ["keys", "sizes", "places", "counts", "stats"])
+            first = last
+
+
+def counted_documents(docs: DataFrame, key: str = "id", tokens_col: str = "tokens") -> DataFrame:
+    """Documents of about ``ROW_WORDS`` words a row, written once: their ``keys``, how many different words each has
+    (``sizes``), these as ``places`` in the row's words with their ``counts`` (32-bit numbers), and the row's words with
+    their numbers of occurrences and documents (``stats``).  ``term_stats`` and ``count_vectors`` read them."""
+    schema = f"keys array<{docs.schema[key].dataType.simpleString()}>, sizes binary, places binary, counts binary, {COUNTED}"
+    return stored(docs.select(key, tokens_col).mapInArrow(_counted_documents, schema), "counted-documents")
+
+
 def term_stats(docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     """``(term, term_freq, doc_freq)`` over all documents: one tokenisation, counted by batches of documents, then
     one aggregate keyed by term."""
-    counted = docs.select(tokens_col).mapInArrow(_counted, COUNTED).select(F.explode("stats").alias("x"))
+    counted = docs if "stats" in docs.columns else docs.select(tokens_col).mapInArrow(_counted, COUNTED)
+    counted = counted.select(F.explode("stats").alias("x"))
     return counted.groupBy(F.col("x.term").alias("term")).agg(F.sum("x.tf").alias("term_freq"),
                                                               F.sum("x.df").alias("doc_freq"))
 
@@ -130,10 +167,32 @@ def balanced(docs: DataFrame, tokens_col: str = "tokens") -> DataFrame:
     return docs.drop(tokens_col).repartition(parts).checkpoint(eager=True)
 
 
-def count_vectors(df: DataFrame, terms: list[str], tokens_col: str = "tokens", out: str = "tf") -> DataFrame:
-    """Term-count vectors over a fixed vocabulary."""
-    model = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens_col, outputCol=out)
-    return model.transform(df)
+def count_vectors(counted: DataFrame, terms: list[str], key: str = "id") -> DataFrame:
+    """``(key, terms, counts)`` of counted documents, written once: numbers of the known terms, ascending, and counts."""
+    def vectors(batches):
+        known = pa.array(terms, pa.string())
+        for batch in batches:
+            words = batch.column(4)
+            for i in range(len(batch)):
+                keys = batch.column(0).slice(i, 1).flatten()
+                sizes, places, counts = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int32) for c in (1, 2, 3))
+                number = pc.fill_null(pc.index_in(words.slice(i, 1).flatten(), value_set=known), -1).to_numpy()
+                term, doc = number[places], np.repeat(np.arange(len(sizes)), sizes)
+                order = np.lexsort((term, doc))
+                order = order[term[order] >= 0]
+                ends = np.r_[0, np.cumsum(np.bincount(doc[order], minlength=len(sizes)))].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [keys, pa.ListArray.from_arrays(ends, pa.array(term[order], pa.int32())),
+                     pa.ListArray.from_arrays(ends, pa.array(counts[order], pa.float64()))], [key, "terms", "counts"])
+    rows = counted.select("keys", "sizes", "places", "counts", F.col("stats.term").alias("words"))
+    of_key = counted.schema["keys"].dataType.elementType.simpleString()
+    conf, name = counted.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, str(BATCH_ROWS))  # the rows are large
+    try:
+        return stored(rows.mapInArrow(vectors, f"{key} {of_key}, terms array<int>, counts array<double>"), "count-vectors")
+    finally:
+        conf.set(name, before)
 
 
 def tfidf_stages(terms: list[str], idf: list[float], tokens_col: str = "tokens", out: str = "features"):

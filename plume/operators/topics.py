@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from plume.functions.columns import argmax_index, percent
 from plume.operators import variational
-from plume.operators.text import collect_vocabulary, count_vectors, select_vocabulary, term_stats, tokenized
+from plume.operators.text import (
+    collect_vocabulary, count_vectors, counted_documents, select_vocabulary, term_stats, tokenized,
+)
 from plume.schemas import (
     BOW_MAX_DF, BOW_MAX_FEATURES, BOW_MIN_DF, LDA_GAIN, LDA_MAX_ITER, LDA_SEED, LDA_TOPICS, LDA_WORDS, TOPIC_LABELS,
     UNKNOWN_TOPIC,
 )
-from plume.session import stored
 
 
 def topic_corpus(posts: DataFrame, lang: str | None = "en") -> DataFrame:
@@ -30,8 +31,9 @@ def topic_corpus(posts: DataFrame, lang: str | None = "en") -> DataFrame:
 
 
 def bow_vocabulary(corpus: DataFrame) -> DataFrame:
-    """Terms with ``min_df <= doc_freq <= max_df * n_docs``, top ``max_features`` by frequency."""
-    n_docs = corpus.select(F.count(F.lit(1))).scalar()
+    """Of documents with tokens, or of counted ones: terms with ``min_df <= doc_freq <= max_df * n_docs``, top ``max_features`` by frequency."""
+    one = F.size("keys") if "keys" in corpus.columns else F.lit(1)
+    n_docs = corpus.select(F.coalesce(F.sum(one), F.lit(0))).scalar()
     return select_vocabulary(term_stats(corpus), n_docs, BOW_MAX_FEATURES, BOW_MIN_DF, BOW_MAX_DF)
 
 
@@ -42,17 +44,10 @@ def fit_lda(corpus: DataFrame, k: int = LDA_TOPICS, max_iter: int = LDA_MAX_ITER
     Rounds end when the bound per token grows by less than ``gain``; a fit that needs more than ``max_iter`` rounds
     raises.  Documents without known terms keep their row, with empty arrays.
     """
-    # The vocabulary pass and the vector pass read the tokens, every round reads the vectors: both are written once.
-    corpus = stored(corpus.select("id", "tokens"), "topic-tokens")
-    terms = collect_vocabulary(bow_vocabulary(corpus))
-    if terms:
-        vector = F.unwrap_udt("features")  # CountVectorizer's vectors are sparse
-        vecs = (count_vectors(corpus, terms, out="features")
-                .select("id", vector["indices"].alias("terms"), vector["values"].alias("counts")))
-    else:
-        vecs = corpus.select("id", F.array().cast("array<int>").alias("terms"),
-                             F.array().cast("array<double>").alias("counts"))
-    vecs = stored(vecs, "topic-vectors")
+    # The words are counted once: the vocabulary pass and the vector pass read the counts, every round the vectors.
+    counted = counted_documents(corpus)
+    terms = collect_vocabulary(bow_vocabulary(counted))
+    vecs = count_vectors(counted, terms)
     model = variational.fit(vecs, len(terms), k, seed, max_iter, gain)
     if not model.converged:
         raise RuntimeError(f"LDA has not converged in {max_iter} rounds; bound per token {model.bounds[-2:]}")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from plume.session import stored
 
-BLOCK_TERMS = 20_000  # (document, term) entries inferred at once
+BLOCK_TERMS = 200_000  # (document, term) entries inferred at once
 TOTALS = -1            # "topic" of the row that carries a task's bound and number of tokens
 SHIFT = 8              # arguments are moved above this before the asymptotic series
 
@@ -68,25 +68,33 @@ def infer(weights: np.ndarray, alpha: float, starts: np.ndarray, terms: np.ndarr
     ``weights`` is exp(E[ln topic]), a row a term.  Documents are runs of entries from ``starts``, none empty; each
     goes on until its parameters change by less than ``tolerance`` of their sum.
     """
-    gamma = np.ones((len(starts), weights.shape[1]))
     sizes = np.diff(np.append(starts, len(terms)))
-    every = weights[terms]
-    live, beta, n = np.arange(len(starts)), every, counts
+    gamma, going = np.ones((len(starts), weights.shape[1])), np.ones(len(starts), bool)
+    # Documents of like size are filled up to the largest with entries that count 0: one product for all of them.
+    order, like, first = np.argsort(sizes, kind="stable"), [], 0
+    while first < len(order):
+        most = sizes[order[first]] * 5 // 4 + 4
+        docs = order[first:np.searchsorted(sizes[order], most, side="right")]
+        place = np.arange(sizes[docs[-1]])
+        inside = place < sizes[docs, None]
+        at = np.where(inside, starts[docs, None] + place, 0)
+        like.append((docs, np.ascontiguousarray(weights[terms[at]].transpose(0, 2, 1)), np.where(inside, counts[at], 0.0)))
+        first += len(docs)
     for _ in range(rounds):
-        own = sizes[live]
-        begin = np.cumsum(own) - own
-        theta = np.exp(expected_logs(gamma[live]))
-        share = n / np.einsum("ij,ij->i", np.repeat(theta, own, axis=0), beta)
-        new = alpha + theta * np.add.reduceat(share[:, None] * beta, begin, axis=0)
-        moved = np.abs(new - gamma[live]).sum(axis=1) >= tolerance * new.sum(axis=1)
-        gamma[live] = new
-        if not moved.any():
+        theta, new = np.exp(expected_logs(gamma)), gamma.copy()
+        for docs, beta, n in like:
+            own = theta[docs]
+            share = n / np.matmul(own[:, None], beta)[:, 0]
+            new[docs] = alpha + own * np.matmul(beta, share[:, :, None])[:, :, 0]
+        new[~going] = gamma[~going]
+        going &= np.abs(new - gamma).sum(axis=1) >= tolerance * new.sum(axis=1)
+        gamma = new
+        if not going.any():
             break
-        if not moved.all():
-            entries = np.repeat(moved, own)
-            live, beta, n = live[moved], beta[entries], n[entries]
+        left = [(part, going[part[0]]) for part in like]
+        like = [part if some.mean() > 0.7 else tuple(x[some] for x in part) for part, some in left if some.any()]
     theta = np.exp(expected_logs(gamma))
-    return gamma, np.einsum("ij,ij->i", np.repeat(theta, sizes, axis=0), every)
+    return gamma, np.einsum("ij,ij->i", np.repeat(theta, sizes, axis=0), weights[terms])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -131,7 +139,9 @@ def _round(docs: DataFrame, model: TopicModel, tolerance: float, rounds: int) ->
             gamma, likelihood = infer(weights, alpha, starts, terms, counts, tolerance, rounds)
             logs = expected_logs(gamma)
             theta = np.repeat(np.exp(logs), sizes, axis=0)
-            np.add.at(stats, terms, theta * weights[terms] * (times * counts / likelihood)[:, None])
+            expected = theta * weights[terms] * (times * counts / likelihood)[:, None]
+            for t in range(k):
+                stats[:, t] += np.bincount(terms, expected[:, t], v)
             each = (((alpha - gamma) * logs + gammaln(gamma)).sum(axis=1) - gammaln(gamma.sum(axis=1))
                     + gammaln(k * alpha) - k * gammaln(alpha))
             bound += float((times * counts * np.log(likelihood)).sum() + (n * each).sum())

@@ -275,3 +275,45 @@ def test_balanced_writes_no_tokens(spark):
     docs = spark.createDataFrame([(i, ["word"] * i) for i in range(30)], "label int, tokens array<string>")
     kept = balanced(docs)
     assert kept.columns == ["label"] and rows(kept) == [(i,) for i in range(30)]
+
+
+def test_counted_documents_give_statistics_and_vectors(spark, monkeypatch):
+    """Words are counted once, in rows of bounded size; statistics and vectors come from the counts."""
+    monkeypatch.setattr(T, "ROW_WORDS", 5)
+    monkeypatch.setattr(T, "BATCH_ROWS", 2)
+    docs = [(1, ["b", "a", "b"]), (2, []), (3, None), (None, ["c", "x", "a"]), (1, ["b", "a", "b"]), (4, ["a"] * 9), (5, ["x"])]
+    counted = T.counted_documents(spark.createDataFrame(docs, "id int, tokens array<string>").coalesce(1))
+    assert counted.count() > 3
+    assert rows(T.term_stats(counted), "term", "term_freq", "doc_freq") == [
+        ("a", 12, 4), ("b", 4, 2), ("c", 1, 1), ("x", 2, 2)]
+    terms = ["c", "a", "b"]
+    vecs = T.count_vectors(counted, terms)
+    assert vecs.dtypes == [("id", "int"), ("terms", "array<int>"), ("counts", "array<double>")]
+    got = sorted((str(r.id), r.terms, r.counts) for r in vecs.collect())
+    want = [(str(i), sorted(terms.index(w) for w in set(t or []) & set(terms))) for i, t in docs]
+    assert got == sorted((i, n, [float((dict(docs)[int(i) if i != "None" else None]).count(terms[x])) for x in n]) for i, n in want)
+    assert all(r.terms == [] for r in T.count_vectors(counted, []).collect())
+
+
+def test_inference_of_documents_of_all_sizes():
+    """Documents filled up to like sizes give what each gives alone, whatever stands beside them."""
+    import numpy as np
+    from plume.operators.variational import BLOCK_TERMS, expected_logs, infer
+    assert BLOCK_TERMS >= 200_000  # few passes over small arrays
+    rng = np.random.default_rng(3)
+    weights = np.exp(expected_logs(rng.gamma(1.0, 1.0, (4, 60)))).T.copy()
+    sizes = np.r_[rng.integers(1, 60, 40), 1, 60, 2]
+    starts = np.cumsum(sizes) - sizes
+    terms = np.concatenate([rng.choice(60, n, replace=False) for n in sizes])
+    counts = rng.integers(1, 9, len(terms)).astype(float)
+    gamma, likelihood = infer(weights, 0.25, starts, terms, counts, 1e-3, 100)
+    for s, n, got in zip(starts, sizes, gamma):
+        beta, c, want = weights[terms[s:s + n]], counts[s:s + n], np.ones((1, 4))
+        for _ in range(100):
+            theta = np.exp(expected_logs(want))
+            new = 0.25 + theta * ((c / (beta @ theta[0])) @ beta)
+            done, want = np.abs(new - want).sum() < 1e-3 * new.sum(), new
+            if done:
+                break
+        assert np.allclose(got, want[0], rtol=1e-9)
+        assert np.allclose(likelihood[s:s + n], beta @ np.exp(expected_logs(want))[0], rtol=1e-9)
