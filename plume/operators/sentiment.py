@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import NGram, SQLTransformer, StopWordsRemover
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, NGram, Normalizer, SQLTransformer, StopWordsRemover
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plume.functions.columns import clean_text, clean_text_sql, label_id, label_name, score_to_class
@@ -114,12 +120,71 @@ def portable_model(model: PipelineModel, text_col: str = "text") -> PipelineMode
     return PipelineModel(stages=[words, kept, pairs, both, *model.stages, named])
 
 
-def predict(model: PipelineModel, df: DataFrame, text_col: str = "text_clean") -> DataFrame:
-    """Add ``pred`` (class id) and ``pred_label`` (class name)."""
-    docs = tokenized(df, text_col, bigrams=True)
-    out = model.transform(docs)
+def _scored(texts: pa.Array, words: pa.Array, first: np.ndarray, pairs: np.ndarray, of_pair: np.ndarray, idf: np.ndarray,
+            coefficients: np.ndarray, intercepts: np.ndarray) -> np.ndarray:
+    """Class of every normalised text, see ``_class_of``."""
+    lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+    flat = lists.flatten().dictionary_encode()
+    token = flat.indices.to_numpy(zero_copy_only=False)
+    doc = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    kept = pc.and_(pc.greater_equal(pc.utf8_length(flat.dictionary), 2),
+                   pc.invert(pc.is_in(flat.dictionary, value_set=pa.array(stop_words(), pa.string()))))
+    kept = kept.to_numpy(zero_copy_only=False)[token]
+    token, doc = token[kept], doc[kept]
+    word = pc.fill_null(pc.index_in(flat.dictionary, value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int64)[token]
+    beside = (doc[1:] == doc[:-1]) & (word[1:] >= 0) & (word[:-1] >= 0)
+    pair = (word[:-1] * len(words) + word[1:])[beside]
+    at = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
+    hit = pairs[at] == pair if len(pairs) else np.zeros(len(pair), bool)
+    single = np.where(word >= 0, first[word] if len(first) else -1, -1)
+    entry = np.r_[(doc * len(idf) + single)[single >= 0], (doc[1:][beside] * len(idf))[hit] + of_pair[at[hit]]]
+    entry, n = np.unique(entry, return_counts=True)
+    doc, term = np.divmod(entry, max(len(idf), 1))
+    value = n * idf[term]
+    norm = np.sqrt(np.bincount(doc, value * value, len(texts)))
+    value = value / norm[doc]
+    margins = [np.bincount(doc, value * c[term], len(texts)) + b for c, b in zip(coefficients, intercepts)]
+    return np.argmax(np.stack(margins, axis=1), axis=1).astype(np.int32)
+
+
+def _class_of(model: PipelineModel):
+    """A column function for the class of a normalised text by the stages of ``train_classifier``, or None for other models.
+
+    Batches of texts are split and scored at once: a word is a number in the vocabulary's words, a bigram a pair of such
+    numbers, and the counts, idf, norm and margins of all texts are sums over (text, term).  Stage by stage, every text's
+    words and bigrams would be made and looked up as strings of their own."""
+    cv, scale, norm, lr = model.stages if len(model.stages) == 4 else [None] * 4
+    if not (isinstance(cv, CountVectorizerModel) and isinstance(scale, ElementwiseProduct) and isinstance(norm, Normalizer)
+            and isinstance(lr, LogisticRegressionModel)) or lr.getFamily() != "multinomial" or lr.isSet("thresholds"):
+        return None
+    terms = [t.split(" ") for t in cv.vocabulary]
+    words = sorted({w for t in terms for w in t})
+    number = {w: i for i, w in enumerate(words)}
+    first = np.full(len(words), -1)
+    for i, t in enumerate(terms):
+        if len(t) == 1:
+            first[number[t[0]]] = i
+    pairs = sorted((number[t[0]] * len(words) + number[t[1]], i) for i, t in enumerate(terms) if len(t) == 2)
+    sent = SparkSession.active().sparkContext.broadcast((
+        words, first, np.array([p for p, _ in pairs], np.int64), np.array([i for _, i in pairs], np.int64),
+        scale.getScalingVec().toArray(), lr.coefficientMatrix.toArray(), lr.interceptVector.toArray()))
+
+    @F.arrow_udf("int")
+    def classes(texts: pa.Array) -> pa.Array:
+        words, *rest = sent.value
+        return pa.array(_scored(texts, pa.array(words, pa.string()), *rest), pa.int32())
+    return classes
+
+
+def predict(model: PipelineModel, df: DataFrame, text_col: str = "text_clean", normalised: bool = False) -> DataFrame:
+    """Add ``pred`` (class id) and ``pred_label`` (class name); ``normalised``: ``clean_text`` has been over the texts."""
+    classes = _class_of(model)
     keep = [c for c in df.columns]
-    return out.select(*keep, F.col("prediction").cast("int").alias("pred")).withColumn("pred_label", label_name("pred"))
+    if classes is None:
+        out = model.transform(tokenized(df, text_col, bigrams=True)).select(*keep, F.col("prediction").cast("int").alias("pred"))
+    else:
+        out = df.select(*keep, classes(F.col(text_col) if normalised else clean_text(F.col(text_col))).alias("pred"))
+    return out.withColumn("pred_label", label_name("pred"))
 
 
 def score_posts(model: PipelineModel, posts: DataFrame, lang: str | None = "en") -> DataFrame:
@@ -127,9 +192,9 @@ def score_posts(model: PipelineModel, posts: DataFrame, lang: str | None = "en")
     d = posts.filter(F.col("content").isNotNull())
     if lang is not None:
         d = d.filter(F.col("lang") == F.lit(lang))
-    d = d.select("id", F.col("content").alias("text"), clean_text(F.col("content")).alias("text_clean"))
-    d = d.filter(F.length("text_clean") > 0)
-    p = predict(model, d)
+    # A filter on the normalised text would normalise it once more.
+    some = F.explode(F.filter(F.array(clean_text(F.col("content"))), lambda t: F.length(t) > 0))
+    p = predict(model, d.select("id", F.col("content").alias("text"), some.alias("text_clean")), normalised=True)
     return p.select("id", "text", F.col("pred_label").alias("sentiment_label"), F.col("pred").alias("sentiment_id"))
 
 
@@ -286,3 +351,6 @@ def agreement(a: DataFrame, b: DataFrame, key: str = "id", pred: str = "pred") -
     j = a.select(key, F.col(pred).alias("__a")).join(b.select(key, F.col(pred).alias("__b")), key)
     return j.agg(F.avg((F.col("__a") == F.col("__b")).cast("double")).alias("agreement"),
                  F.count(F.lit(1)).alias("compared"))
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this module

@@ -317,3 +317,30 @@ def test_inference_of_documents_of_all_sizes():
                 break
         assert np.allclose(got, want[0], rtol=1e-9)
         assert np.allclose(likelihood[s:s + n], beta @ np.exp(expected_logs(want))[0], rtol=1e-9)
+
+
+def test_texts_are_scored_in_batches_as_stage_by_stage(spark):
+    rng = random.Random(11)
+    pool = ["good", "bad", "the", "not", "x", "day", "sun", "rain", "http", "of", "meh", "fine"]
+    texts = [" ".join(rng.choice(pool) for _ in range(rng.randrange(1, 12))) for _ in range(150)]
+    data = [(i, t, 2 if "day" in t else int("good" in t or "sun" in t)) for i, t in enumerate(texts)]
+    train = spark.createDataFrame(data, "id long, text_clean string, label int")
+    model = S.train_classifier(train)
+    odd = ["", None, "x", "the of", "unknown words", "good", "Sun, RAIN & day!! http://a.b @good #bad", "good good  bad"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts + odd)] + [(-1, "bad day")], "id long, text_clean string")
+    staged = model.transform(T.tokenized(df, "text_clean", bigrams=True)).select("id", F.col("prediction").cast("int"))
+    got = S.predict(model, df)
+    assert got.columns == ["id", "text_clean", "pred", "pred_label"] and len(set(rows(got, "pred"))) == 3
+    assert rows(got, "id", "pred") == rows(staged)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "UDF(" not in plan.replace("classes", "")  # no vectors, text by text
+    posts = spark.createDataFrame([(i, t, "en" if i % 9 else "fr") for i, t in enumerate(texts + odd)],
+                                  "id long, content string, lang string")
+    scored = S.score_posts(model, posts)
+    want = {i: p for i, p in staged.collect()}
+    kept = [i for i, t in enumerate(texts + odd) if i % 9 and t]
+    assert rows(scored, "id", "sentiment_id") == sorted((i, want[i]) for i in kept)
+    # Models of another make go stage by stage.
+    other = model.copy()
+    other.stages[-1].set(other.stages[-1].thresholds, [0.2, 0.5, 0.3])
+    assert S._class_of(other) is None and S.predict(other, df).count() == df.count()
