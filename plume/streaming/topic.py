@@ -33,6 +33,7 @@ FORMAT = "message_log"
 SCHEMA = "key string, value string, partition int, offset long"
 STORED = pa.schema([("key", pa.string()), ("value", pa.string())])
 TASK_MESSAGES = 1_000_000
+LEVEL = 9  # texts take a third less than with the default codec, in little more time
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -168,7 +169,9 @@ class TopicWriter(DataSourceArrowWriter):
                 mine = b.filter(pc.equal(b.column("partition"), p)).select(["key", "value"]).cast(STORED)
                 if p not in open_:
                     name = f"data/{uuid.uuid4().hex}.parquet"
-                    open_[p] = [pq.ParquetWriter(f"{root}/{name}", STORED, filesystem=files), 0, name]
+                    writer = pq.ParquetWriter(f"{root}/{name}", STORED, filesystem=files, compression="zstd",
+                                              compression_level=LEVEL)
+                    open_[p] = [writer, 0, name]
                 open_[p][0].write_batch(mine)
                 open_[p][1] += len(mine)
         for w, _, _ in open_.values():

@@ -81,3 +81,12 @@ def test_every_task_publishes_its_own_messages(spark, tmp_dir):
     assert [len(files) for _, files in sorted(parts.items())] == [6, 6]  # a task's share does not grow with the topic
     for files in parts.values():
         assert [a for a, _, _ in files] == [sum(n for _, n, _ in files[:i]) for i in range(len(files))]
+
+
+def test_message_files_are_zstd(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+    publish(_messages(spark, 0, 50), os.path.join(tmp_dir, "topic"), 2)
+    files = glob.glob(os.path.join(tmp_dir, "topic", "data", "*.parquet"))
+    assert files and {pq.ParquetFile(f).metadata.row_group(0).column(1).compression for f in files} == {"ZSTD"}
